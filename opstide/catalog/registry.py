@@ -20,13 +20,13 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def query(key: str, sql: str | None = None):
+def query(key: str, sql: str | None = None, digits: int = 4):
     """Register ``fn(inputs) -> DataFrame`` under ``key``, with optional checking SQL."""
 
     def register(fn: Callable[[Inputs], DataFrame]):
         if key in QUERIES:
             raise KeyError(f"duplicate query {key}")
-        QUERIES[key] = lambda spark, sf_dir: rounded(fn(Inputs(spark, sf_dir)))
+        QUERIES[key] = lambda spark, sf_dir: rounded(fn(Inputs(spark, sf_dir)), digits)
         if sql is not None:
             ORACLES[key] = with_views(sql)
         return fn
