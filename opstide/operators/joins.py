@@ -28,24 +28,28 @@ def conflict_pairs(
         .select(second_start("event_datetime").alias("second"), "session_id", "table_name")
     )
     per_session = rows.groupBy("second", "session_id", "table_name").agg(F.count("*").alias("n"))
+    result = pair_counts(per_session)
+    return result.orderBy(F.desc("conflicts"), "table1", "table2").limit(limit) if limit else result
+
+
+def pair_counts(per_session: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Cross-session table pairs from counts ``n`` per (second, session_id, table_name)."""
     per_table = per_session.groupBy("second", "table_name").agg(F.sum("n").alias("n"))
-    pairs = signed_pairs(per_table, ["second"], 1).unionByName(
-        signed_pairs(per_session, ["second", "session_id"], -1)
+    pairs = signed_pairs(per_table, ["second"], 1, by).unionByName(
+        signed_pairs(per_session, ["second", "session_id"], -1, by)
     )
-    result = (
-        pairs.groupBy("table1", "table2").agg(F.sum("weight").alias("conflicts")).filter(F.col("conflicts") > 0)
-    )
-    return result.orderBy(F.desc("conflicts"), "table1", "table2").limit(limit) if limit else result
+    totals = pairs.groupBy(*by, "table1", "table2").agg(F.sum("weight").alias("conflicts"))
+    return totals.filter(F.col("conflicts") > 0)
 
 
-def signed_pairs(counts: DataFrame, keys: list[str], sign: int) -> DataFrame:
+def signed_pairs(counts: DataFrame, keys: list[str], sign: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Products of counts for ordered table pairs that share ``keys``, summed per pair."""
     left = counts.select(*keys, F.col("table_name").alias("table1"), F.col("n").alias("n1"))
     right = counts.select(*keys, F.col("table_name").alias("table2"), F.col("n").alias("n2"))
     return (
         left.join(right, keys)
         .filter(F.col("table1") < F.col("table2"))
-        .groupBy("table1", "table2")
+        .groupBy(*by, "table1", "table2")
         .agg(F.sum(F.lit(sign) * F.col("n1") * F.col("n2")).alias("weight"))
     )
 

@@ -99,7 +99,8 @@ def _build_tree(seed: int, features: int):
             if depth >= limit or len(rows) <= 1 or len(usable) == 0:
                 continue
             feature = int(rng.choice(usable))
-            split = float(rng.uniform(low[feature], high[feature]))
+            # Below the maximum, so that neither side is ever empty.
+            split = min(float(rng.uniform(low[feature], high[feature])), np.nextafter(high[feature], low[feature]))
             goes_left = part[:, feature] <= split
             nodes[node][2:4] = [feature, split]
             pending.append((rows[~goes_left], depth + 1, node, "right"))
