@@ -9,13 +9,14 @@ from ..operators.features import SESSION_FEATURES, operation_features
 from ..plans import models as M
 from ..plans.iforest import Forest, iforest_fit, iforest_score
 from ..plans.sessions import anomaly_verdict, model_warnings
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from .q_features import session_frame
 from .registry import query
 
 
 def _session_forest(t):
-    frame = session_frame(t)
+    # Hourly rows, written once: training and scoring read them several times.
+    frame = materialise(session_frame(t), "session_features")
     return frame, iforest_fit(frame, SESSION_FEATURES, ["date", "hour"])
 
 

@@ -1,7 +1,5 @@
 """Reports A19-A22, A24, A25, A27, A28, A31-A35 and growth plans M24-M33."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import within
@@ -118,11 +116,11 @@ def _(t):
 
 
 @query("a27_recent_anomalies", f"""
-SELECT ts AS detected_at, instance AS metric_name, value AS actual_value, round(mean, 4) AS expected_value,
-  round(abs(value - mean) / nullif(std, 0), 4) AS deviation_sigma
+SELECT ts AS detected_at, instance AS metric_name, value AS actual_value, round(mean, 9) AS expected_value,
+  round(abs(value - mean) / nullif(std, 0), 9) AS deviation_sigma
 FROM (SELECT *, avg(value) OVER w AS mean, stddev_pop(value) OVER w AS std FROM metric_samples
   WINDOW w AS (PARTITION BY instance ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW))
-WHERE abs(value - mean) / nullif(std, 0) > 2 AND ts >= {NOW} - INTERVAL 7 DAY AND ts <= {NOW}""")
+WHERE abs(value - mean) / nullif(std, 0) > 2 AND ts >= {NOW} - INTERVAL 7 DAY AND ts <= {NOW}""", digits=9)
 def _(t):
     chart = S.control_chart(t.metric_samples, AS_OF, ["instance"], sigmas=2.0)
     found = chart.filter("alarm").select(
@@ -367,10 +365,15 @@ def _(t):
     tests = t.performance_tests
     best = F.struct("avg_response_time", "test_id")
     wide = tests.agg(
-        *[
-            F.struct(F.avg(s).alias("current"), F.min_by(F.col(s).cast("double"), best).alias("optimal")).alias(s)
-            for s in SETTINGS
-        ]
+        F.array(
+            *[
+                F.struct(
+                    F.lit(s).alias("parameter"),
+                    F.avg(s).alias("current"),
+                    F.min_by(F.col(s).cast("double"), best).alias("optimal"),
+                )
+                for s in SETTINGS
+            ]
+        ).alias("settings")
     )
-    rows = [wide.select(F.lit(s).alias("parameter"), f"{s}.*") for s in SETTINGS]
-    return V.settings_report(reduce(lambda a, b: a.unionByName(b), rows))
+    return V.settings_report(wide.select(F.inline("settings")))

@@ -103,21 +103,20 @@ def slow_queries(df: DataFrame, min_micros: int = 5_000_000) -> DataFrame:
 
 
 def index_findings(df: DataFrame, stale_days: int = 7) -> DataFrame:
-    """Tables of queries that used no index, and how many queries ran on stale statistics."""
-    missing = (
-        df.filter(F.col("index_used") == "")
-        .select(F.explode(extract_tables("query_text")).alias("table_name"))
-        .groupBy("table_name")
-        .agg(F.count("*").alias("queries"))
-        .select(F.lit("missing_index").alias("finding"), "table_name", "queries")
-    )
-    stale = (
-        df.filter(F.col("stats_age_days") > stale_days)
-        .agg(F.count("*").alias("queries"))
-        .filter(F.col("queries") > 0)
-        .select(F.lit("old_statistics").alias("finding"), F.lit("").alias("table_name"), "queries")
-    )
-    return missing.unionByName(stale)
+    """Tables of queries that used no index, and how many queries ran on stale statistics.
+
+    One pass: each query unfolds into the findings it supports.
+    """
+
+    def finding(kind: str, table: Column) -> Column:
+        return F.struct(F.lit(kind).alias("finding"), table.alias("table_name"))
+
+    none = F.array().cast("array<struct<finding:string,table_name:string>>")
+    unindexed = F.transform(extract_tables("query_text"), lambda t: finding("missing_index", t))
+    missing = F.when(F.col("index_used") == "", unindexed).otherwise(none)
+    stale = F.when(F.col("stats_age_days") > stale_days, F.array(finding("old_statistics", F.lit("")))).otherwise(none)
+    rows = df.select(F.inline(F.concat(missing, stale)))
+    return rows.groupBy("finding", "table_name").agg(F.count("*").alias("queries"))
 
 
 def flag(condition: Column) -> Column:

@@ -22,7 +22,9 @@ def exact_quantile(
     ``ln(1 + |value|)``; correctness only needs the bucketing to be monotone.
     """
     v = F.col("_v")
-    bucket = F.floor(F.signum(v) * F.log1p(F.abs(v)) * resolution).cast("bigint")
+    # Never NULL, so the join below adds no filter of its own to one of its two
+    # sides and both sides share a single shuffle of the counts.
+    bucket = F.coalesce(F.floor(F.signum(v) * F.log1p(F.abs(v)) * resolution), F.lit(0)).cast("bigint")
     counts = (
         df.select(*keys, F.col(value).cast("double").alias("_v"))
         .filter(v.isNotNull())

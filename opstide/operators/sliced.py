@@ -1,11 +1,9 @@
 """Range functions over long label series without one task per series.
 
-A series may hold any share of all samples, so it is cut into time slices.  A
-look-back of width ``w`` reaches at most one slice of the same width back; each
-sample is therefore also sent to the following slice, windows run per
-(series, slice), and only a slice's own rows are kept.  State that can reach
-further back (previous sample, start of a run) is carried through one summary
-row per slice.
+A series may hold any share of all samples, so it is cut into time slices and
+every window runs per (series, slice).  What has to cross slice borders - running
+sums, the previous sample, the start of a run - is carried by one summary row per
+slice, so the only windows over a whole series hold one row per slice.
 """
 
 from __future__ import annotations
@@ -16,49 +14,78 @@ from pyspark.sql import functions as F
 from ..functions.timeparts import AsOf, epoch_micros, ts_literal
 
 SECOND = 1_000_000
+HOUR = 3_600
 DAY = 86_400
 
 
-def _slice(seconds: int) -> Column:
-    return F.floor(F.col("_t") / (seconds * SECOND))
+def _slice(seconds: int, time: str = "_t") -> Column:
+    return F.floor(F.col(time) / (seconds * SECOND))
 
 
-def overlapped(df: DataFrame, seconds: int, ts: str = "ts") -> DataFrame:
-    """Every sample in its own and in the next slice."""
-    timed = df.withColumn("_t", epoch_micros(ts)).withColumn("_own", _slice(seconds))
-    return timed.withColumn("_slice", F.explode(F.array("_own", F.col("_own") + 1)))
+def trailing_sums(
+    df: DataFrame,
+    labels: list[str],
+    ranges: dict[str, int],
+    values: dict[str, Column],
+    *,
+    closed: bool = True,
+    slice_seconds: int = HOUR,
+) -> DataFrame:
+    """Sums of ``values`` over the trailing ``ranges`` (name -> seconds) of each sample.
+
+    Adds a column ``<value>_<range>`` per pair; needs ``_t`` (microseconds).  A
+    sum over ``[t - w, t]`` (``closed``) or ``(t - w, t]`` is the running sum at
+    ``t`` minus the running sum at ``t - w``.  So each sample puts itself at ``t``
+    and one empty marker at ``t - w`` into the series, wherever that slice is, and
+    the cost does not depend on how many samples a range holds.
+    """
+    marker_rank = -1 if closed else 1
+    points = [F.struct(F.lit("").alias("_kind"), F.col("_t").alias("_at"), F.lit(0).alias("_rank"))]
+    for name, seconds in ranges.items():
+        at = F.col("_t") - seconds * SECOND
+        points.append(F.struct(F.lit(name).alias("_kind"), at.alias("_at"), F.lit(marker_rank).alias("_rank")))
+    weights = {name: F.when(F.col("_kind") == "", F.col(name)).otherwise(0) for name in values}
+    laid_out = (
+        df.select(*labels, "_t", *[v.cast("double").alias(name) for name, v in values.items()])
+        .select("*", F.inline(F.array(*points)))
+        .withColumns(weights)
+        .withColumn("_cut", _slice(slice_seconds, "_at"))
+    )
+    earlier = Window.partitionBy(*labels).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (
+        laid_out.groupBy(*labels, "_cut")
+        .agg(*[F.sum(name).alias(name) for name in values])
+        .select(
+            *labels, "_cut", *[F.coalesce(F.sum(name).over(earlier), F.lit(0.0)).alias(f"_before_{name}") for name in values]
+        )
+    )
+    # Peers (equal time and rank) are included, so all samples at one time see the same sum.
+    inside = Window.partitionBy(*labels, "_cut").orderBy("_at", "_rank").rangeBetween(Window.unboundedPreceding, 0)
+    running = laid_out.withColumns({name: F.sum(name).over(inside) for name in values}).join(carry, [*labels, "_cut"])
 
+    def at_point(name: str, kind: str) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col(name) + F.col(f"_before_{name}")))
 
-def _trailing_sums(labels: list[str], seconds: int, closed: bool, **values: Column) -> dict[str, Column]:
-    """Sums over the trailing range as differences of two growing frames, so the
-    cost per sample does not depend on how many samples the range holds."""
-    part = Window.partitionBy(*labels, "_slice").orderBy("_t")
-    upto = part.rangeBetween(Window.unboundedPreceding, 0)
-    gone = part.rangeBetween(Window.unboundedPreceding, -(seconds * SECOND + (1 if closed else 0)))
-    return {
-        name: F.sum(v).over(upto) - F.coalesce(F.sum(v).over(gone), F.lit(0)) for name, v in values.items()
-    }
+    sums = running.groupBy(*labels, "_t").agg(
+        *[(at_point(n, "") - at_point(n, r)).alias(f"{n}_{r}") for n in values for r in ranges]
+    )
+    return df.join(sums, [*labels, "_t"])
 
 
 def control_chart(
     samples: DataFrame, as_of: AsOf, labels: list[str], days: int = 7, sigmas: float = 3.0
 ) -> DataFrame:
     """Trailing mean and population deviation per sample, the control band and the alarm."""
-    seconds = days * DAY
-    rows = overlapped(samples.filter(F.col("ts") <= ts_literal(as_of)), seconds)
-    # Values are shifted by the first one of the slice to keep the squares small.
-    anchor = F.first("value").over(Window.partitionBy(*labels, "_slice").orderBy("_t"))
-    shifted = rows.withColumn("_a", anchor).withColumn("_x", F.col("value") - F.col("_a"))
-    sums = _trailing_sums(
-        labels, seconds, True, _n=F.lit(1), _s1=F.col("_x"), _s2=F.col("_x") * F.col("_x")
-    )
-    mean = F.col("_s1") / F.col("_n")
-    spread = F.sqrt(F.greatest(F.col("_s2") / F.col("_n") - mean * mean, F.lit(0.0)))
-    chart = (
-        shifted.withColumns(sums)
-        .filter(F.col("_slice") == F.col("_own"))
-        .select(*labels, "ts", "value", (F.col("_a") + mean).alias("mean"), spread.alias("std"))
-    )
+    rows = samples.filter(F.col("ts") <= ts_literal(as_of))
+    # Values are taken relative to the series' mean, which keeps the squares small.
+    centres = rows.groupBy(*labels).agg(F.avg("value").alias("_a"))
+    timed = rows.join(centres, labels).withColumn("_t", epoch_micros("ts"))
+    x = F.col("value") - F.col("_a")
+    sums = trailing_sums(timed, labels, {"w": days * DAY}, {"_n": F.lit(1), "_s1": x, "_s2": x * x})
+    n = F.col("_n_w")
+    mean = F.col("_s1_w") / n
+    spread = F.sqrt(F.greatest(F.col("_s2_w") / n - mean * mean, F.lit(0.0)))
+    chart = sums.select(*labels, "ts", "value", (F.col("_a") + mean).alias("mean"), spread.alias("std"))
     distance = F.try_divide(F.abs(F.col("value") - F.col("mean")), F.col("std"))
     return chart.withColumns(
         {
@@ -70,7 +97,7 @@ def control_chart(
     )
 
 
-def lag_across_slices(df: DataFrame, labels: list[str], value: str, out: str, seconds: int = DAY) -> DataFrame:
+def lag_across_slices(df: DataFrame, labels: list[str], value: str, out: str, seconds: int = HOUR) -> DataFrame:
     """Previous value of the series (needs ``_t``); the first row of a slice takes the
     last value of the nearest earlier slice that has rows."""
     cut = df.withColumn("_cut", _slice(seconds))
@@ -96,35 +123,28 @@ def counter_increase(samples: DataFrame, labels: list[str]) -> DataFrame:
     change = F.col("value") - F.col("_prev")
     return rows.withColumn(
         "increase", F.when(change < 0, F.col("value")).otherwise(F.coalesce(change, F.lit(0.0)))
-    ).drop("_prev", "_t")
-
-
-def trailing_rate(increases: DataFrame, labels: list[str], seconds: int, out: str) -> DataFrame:
-    """Per-second rate over the trailing range ``(t - seconds, t]``."""
-    rows = overlapped(increases, seconds)
-    sums = _trailing_sums(labels, seconds, False, _sum=F.col("increase"))
-    return (
-        rows.withColumns(sums)
-        .filter(F.col("_slice") == F.col("_own"))
-        .withColumn(out, F.col("_sum") / seconds)
-        .drop("_t", "_own", "_slice", "_sum")
-    )
+    ).drop("_prev")
 
 
 def counter_rate(
-    samples: DataFrame, labels: list[str], short: int = 3600, long: int = DAY, factor: float = 1.5
+    samples: DataFrame, labels: list[str], short: int = HOUR, long: int = DAY, factor: float = 1.5
 ) -> DataFrame:
-    """Short- and long-range counter rates per sample and whether their ratio passes ``factor``."""
-    columns = samples.columns
-    with_short = trailing_rate(counter_increase(samples, labels), labels, short, "rate_short")
-    both = trailing_rate(with_short, labels, long, "rate_long")
+    """Per-second counter rates over the trailing ``(t - w, t]`` of a short and a long
+    range, and whether their ratio passes ``factor``."""
+    ranges = {"short": short, "long": long}
+    sums = trailing_sums(
+        counter_increase(samples, labels), labels, ranges, {"_inc": F.col("increase")}, closed=False
+    )
+    rates = [(F.col(f"_inc_{r}") / seconds).alias(f"rate_{r}") for r, seconds in ranges.items()]
     ratio = F.try_divide("rate_short", "rate_long")
-    return both.select(*columns, "rate_short", "rate_long", ratio.alias("ratio")).withColumn(
-        "alarm", F.coalesce(F.col("ratio") > factor, F.lit(False))
+    return (
+        sums.select(*samples.columns, *rates)
+        .withColumn("ratio", ratio)
+        .withColumn("alarm", F.coalesce(F.col("ratio") > factor, F.lit(False)))
     )
 
 
-def condition_runs(df: DataFrame, labels: list[str], condition: Column, seconds: int = DAY) -> DataFrame:
+def condition_runs(df: DataFrame, labels: list[str], condition: Column, seconds: int = HOUR) -> DataFrame:
     """Start time (``run_start``) of the unbroken run of true samples each sample is in."""
     rows = df.withColumns({"_t": epoch_micros("ts"), "_c": F.coalesce(condition, F.lit(False))}).withColumn(
         "_cut", _slice(seconds)

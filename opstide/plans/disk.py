@@ -7,12 +7,14 @@ volume: one shuffle for the whole chain.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.alerting import worst_level
 from ..functions.numeric import t_quantile_975
-from ..functions.timeparts import AsOf, within
+from ..functions.timeparts import AsOf, as_datetime, date_literal, within
 from ..operators.joins import limit_status
 from ..operators.windows import chrono_split
 from ..sources.tables import usage_history
@@ -214,12 +216,14 @@ def growth_rate_30d(usage: DataFrame, as_of: AsOf, days: int = 30) -> DataFrame:
     )
 
 
-def days_to_full(usage: DataFrame, as_of: AsOf, limit: float = 200.0) -> DataFrame:
-    """(limit - last value) / 30-day growth rate, per volume."""
-    last = usage.groupBy("volume").agg(F.max_by("used_gb", "date").alias("last_used_gb"))
-    rate = growth_rate_30d(usage, as_of).select("volume", "growth_rate")
-    days = F.try_divide(F.lit(limit) - F.col("last_used_gb"), F.col("growth_rate"))
-    return last.join(rate, "volume").select("volume", days.alias("days_to_full"))
+def days_to_full(usage: DataFrame, as_of: AsOf, limit: float = 200.0, days: int = 30) -> DataFrame:
+    """(limit - last value) / 30-day growth rate, per volume, from one pass over the history."""
+    start = as_datetime(as_of) - timedelta(days=days)
+    recent = F.col("date").between(date_literal(start), date_literal(as_of))
+    used, day = F.when(recent, F.col("used_gb")), F.when(recent, F.col("date"))
+    growth = F.try_divide(F.max(used) - F.min(used), F.datediff(F.max(day), F.min(day)).cast("double"))
+    last = F.max_by("used_gb", "date")
+    return usage.groupBy("volume").agg(F.try_divide(F.lit(limit) - last, growth).alias("days_to_full"))
 
 
 def latest_quality(quality: DataFrame) -> DataFrame:
@@ -229,20 +233,14 @@ def latest_quality(quality: DataFrame) -> DataFrame:
 
 def forecast_series(table: DataFrame, as_of: AsOf, days: int = 30, limit: float = 200.0) -> DataFrame:
     """Chart rows: actual values, forecasts moved to the day they speak about, the limit line."""
-    recent = within(table, "metric_date", as_of, days=days)
-    parts = [recent.select("volume", F.col("metric_date").alias("time"), F.lit("actual").alias("series"), F.col("actual_used_gb").alias("value"))]
-    for h in (7, 14):
-        value = f"forecast_{h}d_gb"
-        parts.append(
-            recent.filter(F.col(value).isNotNull()).select(
-                "volume",
-                F.date_add("metric_date", h).alias("time"),
-                F.lit(f"forecast_{h}d").alias("series"),
-                F.col(value).alias("value"),
-            )
+
+    def point(name: str, shift: int, value: Column) -> Column:
+        return F.struct(
+            F.date_add("metric_date", shift).alias("time"), F.lit(name).alias("series"), value.cast("double").alias("value")
         )
-    parts.append(recent.select("volume", F.col("metric_date").alias("time"), F.lit("limit").alias("series"), F.lit(limit).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    points = [point("actual", 0, F.col("actual_used_gb")), point("limit", 0, F.lit(limit))]
+    points += [point(f"forecast_{h}d", h, F.col(f"forecast_{h}d_gb")) for h in (7, 14)]
+    # One pass over the forecasts: each row unfolds into its chart points.
+    series = within(table, "metric_date", as_of, days=days).select("volume", F.inline(F.array(*points)))
+    return series.filter(~F.startswith("series", F.lit("forecast")) | F.col("value").isNotNull())

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import exact_quantile
+from ..session import materialise
 
 NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, size int, depth int"
 EULER = 0.5772156649
@@ -77,7 +78,7 @@ def _deal(df: DataFrame, row_id: list[str], n_rows: int, trees: int, psi: int, s
     return df.withColumn("tree", F.explode(F.filter(numbers, lambda t: uniform(t) < share)))
 
 
-def _build_tree(seed: int, features: int):
+def _build_tree(seed: int):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
         data = pdf.drop(columns="tree").to_numpy(dtype=float)
@@ -177,9 +178,12 @@ def iforest_fit(
     scaled = df.select(*[F.col(c).alias(f"_id{i}") for i, c in enumerate(row_id)], *scaled_columns(scaler))
     ids = [f"_id{i}" for i in range(len(row_id))]
     dealt = _deal(scaled, ids, scaler.rows, trees, psi, seed).select("tree", *features)
-    nodes = dealt.groupBy("tree").applyInPandas(_build_tree(seed, len(features)), NODE_SCHEMA).toPandas()
+    # At most trees x 2 psi rows, whatever the input size.
+    built = dealt.groupBy("tree").applyInPandas(_build_tree(seed), NODE_SCHEMA).toPandas()
+    nodes = built.sort_values(["tree", "node"], ignore_index=True)
     score = _scorer(df.sparkSession, nodes, psi)
-    scores = scaled.select((-score(*features)).alias("score"))
+    # Written once: the quantile reads the scores twice, the trees should run once.
+    scores = materialise(scaled.select((-score(*features)).alias("score")), "forest_scores")
     offset = exact_quantile(scores, [], "score", contamination, "offset", resolution=65536).first()["offset"]
     return Forest(scaler, nodes, psi, offset)
 

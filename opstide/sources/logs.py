@@ -12,7 +12,7 @@ REPLACEMENT = "�"
 
 
 def _lines(frame: DataFrame) -> DataFrame:
-    clean = F.replace(F.col("value"), F.lit(REPLACEMENT), F.lit(""))
+    clean = F.replace(F.make_valid_utf8("value"), F.lit(REPLACEMENT), F.lit(""))
     return frame.select(F.col("_metadata.file_name").alias("file"), clean.alias("line"))
 
 
