@@ -275,7 +275,7 @@ WITH c AS (SELECT instance, ts, value, avg(value) OVER w AS mean, stddev_pop(val
   FROM metric_samples WHERE ts <= {NOW}
   WINDOW w AS (PARTITION BY instance ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW))
 SELECT instance, ts, value, round(mean, 9) AS mean, round(std, 9) AS std, round(mean + 3 * std, 9) AS upper,
-  round(mean - 3 * std, 9) AS lower, round(abs(value - mean) / nullif(std, 0), 9) AS sigma,
+  round(mean - 3 * std, 9) + 0.0::double AS lower, round(abs(value - mean) / nullif(std, 0), 9) AS sigma,
   coalesce(abs(value - mean) / nullif(std, 0) > 3, false) AS alarm
 FROM c""", digits=9)
 def _(t):
