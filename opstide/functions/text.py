@@ -26,11 +26,6 @@ def contains_ci(text: str | Column, needle: str) -> Column:
     return F.contains(F.lower(col(text)), F.lit(needle.lower()))
 
 
-def line_flag(text: str | Column, pattern: str) -> Column:
-    """1 when the pattern occurs in the line, ignoring case."""
-    return col(text).rlike(f"(?i){pattern}").cast("int")
-
-
 def error_text(text: str | Column) -> Column:
     """Message after ``Exception in <where>: ``, up to the end of the line."""
     return F.regexp_extract(col(text), r"Exception in .*?: ([^\n]*)", 1)

@@ -53,6 +53,23 @@ def epoch_micros(ts: str | Column) -> Column:
     return minutes * 60_000_000 + micros
 
 
+def from_epoch_micros(micros: Column) -> Column:
+    """Inverse of :func:`epoch_micros`."""
+    day_micros = 86_400_000_000
+    day = F.floor(micros / day_micros).cast("int")
+    return F.timestamp_add("MICROSECOND", F.pmod(micros, F.lit(day_micros)), F.date_from_unix_date(day).cast("timestamp_ntz"))
+
+
+def as_instant(ts: str | Column) -> Column:
+    """Wall-clock time as the UTC instant with the same digits, for operators that need a zoned type."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def from_instant(instant: Column) -> Column:
+    """Inverse of :func:`as_instant`."""
+    return from_epoch_micros(F.unix_micros(instant))
+
+
 def within(
     df: DataFrame,
     column: str,

@@ -7,11 +7,11 @@ string when a pattern is absent, so defaults are one ``coalesce`` away.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import line_flag
-
 # The log's field patterns.
 HEADER = r"^\d{8} \d{2}:\d{2}:\d{2}\.\d{3}"
 EVENT_TYPE = r"[ ,]([A-Z_]+),"
@@ -36,7 +36,7 @@ TEXT = {
     "lock_mode": r'lockMode="?([^",]+)"?',
     "lock_name": r'lockName="?([^",]+)"?',
 }
-FLAGS = {"is_deadlock": "deadlock", "is_exception": "exception|error", "is_timeout": "ttimeout"}
+FLAGS = {"is_deadlock": ["deadlock"], "is_exception": ["exception", "error"], "is_timeout": ["ttimeout"]}
 
 SESSION_NUMBERS = ["session_id", "duration", "lock_wait_time", "lock_time", "connection_id", "transaction_id"]
 SESSION_TEXTS = ["user_name", "computer_name", "process_name", "app_name", "dbms", "func"]
@@ -52,12 +52,21 @@ def _trimmed(line: str) -> Column:
     return F.btrim(F.col(line), F.lit(SPACE))
 
 
+def _with_trimmed(lines: DataFrame, line: str) -> DataFrame:
+    """Add the trimmed line as ``_line``.
+
+    A one-element ``inline`` is a border the optimizer does not move filters
+    across, so cleaning and trimming run once per line and not once per pattern.
+    """
+    return lines.select("*", F.inline(F.array(F.struct(_trimmed(line).alias("_line")))))
+
+
 def header_time(line: Column) -> Column:
     """Header time as NTZ, NULL when the header is absent or not a real time."""
     iso = F.concat(
         F.substring(line, 1, 4), F.lit("-"), F.substring(line, 5, 2), F.lit("-"), F.substring(line, 7, 15)
     )
-    return F.when(line.rlike(HEADER), iso.try_cast("timestamp_ntz"))
+    return F.when(F.substring(line, 1, 21).rlike(HEADER), iso.try_cast("timestamp_ntz"))
 
 
 def int_field(line: Column, pattern: str) -> Column:
@@ -69,8 +78,14 @@ def text_field(line: Column, pattern: str) -> Column:
 
 
 def event_type(line: Column) -> Column:
-    found = F.regexp_extract(line, EVENT_TYPE, 1)
-    return F.when(found == "", "UNKNOWN").otherwise(found)
+    return F.coalesce(F.nullif(F.regexp_extract(line, EVENT_TYPE, 1), F.lit("")), F.lit("UNKNOWN"))
+
+
+def line_flag(line: Column, words: list[str]) -> Column:
+    """1 when any of the words occurs in the line, ignoring case."""
+    lowered = F.lower(line)
+    hits = [F.contains(lowered, F.lit(w)) for w in words]
+    return reduce(lambda a, b: a | b, hits).cast("int")
 
 
 def _time_parts(df: DataFrame) -> DataFrame:
@@ -91,7 +106,7 @@ def parse_session_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Session events; other input columns (file name, ids) are kept."""
     text = F.col("_line")
     dated = (
-        lines.withColumn("_line", _trimmed(line))
+        _with_trimmed(lines, line)
         .withColumn("event_datetime", header_time(text))
         .filter(F.col("event_datetime").isNotNull())
     )
@@ -106,7 +121,7 @@ def parse_lock_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Lock events; lines of other types are dropped before any field is extracted."""
     text = F.col("_line")
     locks = (
-        lines.withColumn("_line", _trimmed(line))
+        _with_trimmed(lines, line)
         .withColumn("event_type", event_type(text))
         .filter(F.col("event_type").isin(LOCK_KINDS))
         .withColumn("event_datetime", header_time(text))
@@ -166,7 +181,7 @@ def parse_legacy_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     for c in time_columns:
         valid = valid & F.col(c).isNotNull()
     return (
-        lines.withColumn("_line", _trimmed(line))
+        _with_trimmed(lines, line)
         .filter(F.size(parts) >= 5)
         .withColumns({c: F.when(has_clock, e) for c, e in time_columns.items()})
         .filter(~has_clock | valid)

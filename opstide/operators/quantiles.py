@@ -9,7 +9,7 @@ and only that bucket is ranked.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,14 +59,21 @@ def exact_quantile(
     return ranked.groupBy(*keys).agg((lower + (upper - lower) * fraction).alias(out))
 
 
+def approx_quantile(value: str, p: float, out: str, exact: bool) -> list[Column]:
+    """The approximate quantile as a column of an aggregate, or nothing in exact mode."""
+    return [] if exact else [F.percentile_approx(value, p).cast("double").alias(out)]
+
+
 def add_quantile(
     grouped: DataFrame, rows: DataFrame, keys: list[str], value: str, p: float, out: str, exact: bool = True
 ) -> DataFrame:
-    """Join the per-key quantile of ``rows[value]`` onto an aggregate by the same keys."""
-    if exact:
-        quantile = exact_quantile(rows, keys, value, p, out)
-    else:
-        quantile = rows.groupBy(*keys).agg(F.percentile_approx(value, p).cast("double").alias(out))
+    """Join the exact per-key quantile of ``rows[value]`` onto an aggregate by the same keys.
+
+    In approximate mode the aggregate already holds it, see :func:`approx_quantile`.
+    """
+    if not exact:
+        return grouped
+    quantile = exact_quantile(rows, keys, value, p, out)
     if not keys:
         return grouped.withColumn(out, quantile.scalar())
     return grouped.join(quantile, keys, "left")

@@ -22,7 +22,7 @@ from ..functions.timeparts import (
     ts_literal,
     within,
 )
-from .quantiles import add_quantile
+from .quantiles import add_quantile, approx_quantile
 
 HOUR_KEYS = ["event_date", "event_hour"]
 
@@ -35,7 +35,7 @@ DEADLOCKS = ("deadlocks", "DEADLOCK")
 TIMEOUTS = ("timeouts", "TTIMEOUT")
 
 
-def _kinds(*pairs: tuple[str, str]) -> list[Column]:
+def kinds(*pairs: tuple[str, str]) -> list[Column]:
     return [_type_count(kind).alias(name) for name, kind in pairs]
 
 
@@ -51,7 +51,7 @@ def non_empty(df: DataFrame, *columns: str) -> DataFrame:
 def last_hour_locks(df: DataFrame, as_of: AsOf, exact: bool = True) -> DataFrame:
     return within(df, "event_datetime", as_of, hours=1).agg(
         F.count("*").alias("total_locks"),
-        *_kinds(DEADLOCKS, TIMEOUTS),
+        *kinds(DEADLOCKS, TIMEOUTS),
         wait_ms(F.avg("lock_wait_time")).alias("avg_wait_ms"),
         wait_ms(F.max("lock_wait_time")).alias("max_wait_ms"),
         distinct_count("table_name", exact).alias("tables_involved"),
@@ -70,6 +70,7 @@ def last_hour_sessions(df: DataFrame, as_of: AsOf, exact: bool = True) -> DataFr
         F.coalesce(F.sum("is_deadlock"), F.lit(0)).alias("deadlocks"),
         F.coalesce(F.sum("is_exception"), F.lit(0)).alias("exceptions"),
         F.coalesce(F.sum("is_timeout"), F.lit(0)).alias("timeouts"),
+        *approx_quantile("duration", 0.95, "p95_duration", exact),
     )
     return add_quantile(stats, rows, [], "duration", 0.95, "p95_duration", exact).withColumns(
         {
@@ -86,7 +87,7 @@ def last_hour_by_type(df: DataFrame, as_of: AsOf, exact: bool = True) -> DataFra
         F.count("*").alias("sessions"),
         distinct_count("user_name", exact).alias("users"),
         F.coalesce(F.avg("duration"), F.lit(0.0)).alias("avg_duration"),
-        *_kinds(DEADLOCKS, ("exceptions", "EXCEPTION")),
+        *kinds(DEADLOCKS, ("exceptions", "EXCEPTION")),
     )
 
 
@@ -105,6 +106,7 @@ def session_hourly(df: DataFrame, exact: bool = True) -> DataFrame:
         F.sum("is_deadlock").alias("deadlock_count"),
         F.sum("is_exception").alias("exception_count"),
         F.sum("is_timeout").alias("timeout_count"),
+        *approx_quantile("duration", 0.95, "p95_duration", exact),
     )
     per_minute = (
         df.groupBy(*HOUR_KEYS, "event_minute")
@@ -122,7 +124,7 @@ def session_hourly(df: DataFrame, exact: bool = True) -> DataFrame:
 def lock_hourly(df: DataFrame, exact: bool = True) -> DataFrame:
     hourly = df.groupBy(*HOUR_KEYS).agg(
         F.count("*").alias("total_lock_events"),
-        *_kinds(("total_deadlocks", "DEADLOCK"), ("total_timeouts", "TTIMEOUT")),
+        *kinds(("total_deadlocks", "DEADLOCK"), ("total_timeouts", "TTIMEOUT")),
         F.avg("lock_wait_time").alias("avg_lock_wait_time"),
         F.max("lock_wait_time").alias("max_lock_wait_time"),
         F.min("lock_wait_time").alias("min_lock_wait_time"),
@@ -131,6 +133,7 @@ def lock_hourly(df: DataFrame, exact: bool = True) -> DataFrame:
         distinct_count("session_id", exact).alias("unique_sessions"),
         distinct_count("transaction_id", exact).alias("unique_transactions"),
         distinct_count("user_name", exact).alias("unique_users"),
+        *approx_quantile("lock_wait_time", 0.95, "p95_lock_wait_time", exact),
     )
     # Counting per table first answers both "how many tables" and "which one leads".
     named = F.when(F.col("table_name") != "", F.struct("n", "table_name"))
@@ -158,7 +161,7 @@ def lock_table_daily(df: DataFrame, exact: bool = True) -> DataFrame:
     rows = non_empty(df, "table_name")
     daily = rows.groupBy(*keys).agg(
         F.count("*").alias("lock_count"),
-        *_kinds(("deadlock_count", "DEADLOCK"), ("timeout_count", "TTIMEOUT")),
+        *kinds(("deadlock_count", "DEADLOCK"), ("timeout_count", "TTIMEOUT")),
         F.avg("lock_wait_time").alias("avg_lock_wait_time"),
         F.max("lock_wait_time").alias("max_lock_wait_time"),
         F.avg("lock_time").alias("avg_lock_time"),
@@ -166,6 +169,7 @@ def lock_table_daily(df: DataFrame, exact: bool = True) -> DataFrame:
         distinct_count("session_id", exact).alias("unique_sessions"),
         distinct_count("transaction_id", exact).alias("unique_transactions"),
         distinct_count("user_name", exact).alias("unique_users"),
+        *approx_quantile("lock_wait_time", 0.95, "p95_lock_wait_time", exact),
     )
     by_day = Window.partitionBy("table_name").orderBy("event_date")
     growth = pct_change(F.lag("lock_count").over(by_day), "lock_count")
@@ -179,7 +183,7 @@ def lock_user_daily(df: DataFrame, exact: bool = True) -> DataFrame:
         .groupBy("event_date", "user_name")
         .agg(
             F.count("*").alias("lock_count"),
-            *_kinds(("deadlock_count", "DEADLOCK"), ("timeout_count", "TTIMEOUT")),
+            *kinds(("deadlock_count", "DEADLOCK"), ("timeout_count", "TTIMEOUT")),
             F.avg("lock_wait_time").alias("avg_lock_wait_time"),
             F.max("lock_wait_time").alias("max_lock_wait_time"),
             distinct_count("table_name", exact).alias("unique_tables"),
@@ -203,6 +207,7 @@ def techlog_hourly(df: DataFrame, exact: bool = True) -> DataFrame:
         distinct_count("user_name", exact).alias("unique_users"),
         distinct_count("computer", exact).alias("unique_computers"),
         F.count_if(F.contains(F.col("raw_line"), F.lit("Exception"))).alias("errors"),
+        *approx_quantile("duration", 0.95, "p95_duration", exact),
     )
     return add_quantile(hourly, df, keys, "duration", 0.95, "p95_duration", exact)
 
@@ -217,6 +222,7 @@ def hourly_metrics(df: DataFrame, exact: bool = True) -> DataFrame:
         F.sum("lock_time").alias("total_lock_time"),
         F.count_if(F.col("lock_time") > 0).alias("lock_count"),
         F.count("error").alias("error_count"),
+        *approx_quantile("duration", 0.95, "p95_duration", exact),
     )
     return add_quantile(hourly, rows, ["hour"], "duration", 0.95, "p95_duration", exact)
 
@@ -243,9 +249,10 @@ def lock_daily(df: DataFrame, as_of: AsOf, days: int = 30, exact: bool = True) -
     rows = within(df, "event_date", as_of, days=days)
     daily = rows.groupBy("event_date").agg(
         F.count("*").alias("total_locks"),
-        *_kinds(DEADLOCKS, TIMEOUTS),
+        *kinds(DEADLOCKS, TIMEOUTS),
         F.avg("lock_wait_time").alias("avg_wait"),
         F.max("lock_wait_time").alias("max_wait"),
+        *approx_quantile("lock_wait_time", 0.95, "p95_wait", exact),
     )
     return add_quantile(daily, rows, ["event_date"], "lock_wait_time", 0.95, "p95_wait", exact)
 
@@ -256,7 +263,7 @@ def lock_hour_trend(df: DataFrame, as_of: AsOf, days: int = 7, exact: bool = Tru
         .groupBy(hour_start("event_datetime").alias("hour"))
         .agg(
             F.count("*").alias("locks"),
-            *_kinds(DEADLOCKS, TIMEOUTS),
+            *kinds(DEADLOCKS, TIMEOUTS),
             F.avg("lock_wait_time").alias("avg_wait"),
             F.max("lock_wait_time").alias("max_wait"),
             distinct_count("session_id", exact).alias("sessions"),
@@ -285,7 +292,7 @@ def top_tables(
         .groupBy("table_name")
         .agg(
             F.count("*").alias("lock_count"),
-            *_kinds(DEADLOCKS, TIMEOUTS),
+            *kinds(DEADLOCKS, TIMEOUTS),
             F.avg("lock_wait_time").alias("avg_wait"),
             F.max("lock_wait_time").alias("max_wait"),
             distinct_count("session_id", exact).alias("sessions"),
@@ -301,7 +308,7 @@ def top_lock_users(df: DataFrame, as_of: AsOf, days: int = 7, n: int = 20, exact
         .groupBy("user_name")
         .agg(
             F.count("*").alias("locks"),
-            *_kinds(DEADLOCKS),
+            *kinds(DEADLOCKS),
             distinct_count("table_name", exact).alias("tables"),
         )
         .orderBy(F.desc("locks"), "user_name")

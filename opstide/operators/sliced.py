@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import AsOf, epoch_micros, ts_literal
+from ..functions.timeparts import AsOf, epoch_micros, from_epoch_micros, ts_literal
 
 SECOND = 1_000_000
 HOUR = 3_600
@@ -217,6 +217,4 @@ def notification_times(alerts: DataFrame, labels: list[str], repeat_hours: int =
         .agg(F.aggregate(times, empty, pick).alias("_sent"))
         .select(*labels, F.explode("_sent").alias("_minute"))
     )
-    day, rest = F.floor(F.col("_minute") / 1440).cast("int"), (F.col("_minute") % 1440).cast("int")
-    day_start = F.date_from_unix_date(day).cast("timestamp_ntz")
-    return chosen.select(*labels, F.timestamp_add("MINUTE", rest, day_start).alias("notified_at"))
+    return chosen.select(*labels, from_epoch_micros(F.col("_minute") * (60 * SECOND)).alias("notified_at"))

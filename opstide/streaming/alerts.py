@@ -9,43 +9,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-STATE_SCHEMA = "run_start timestamp"
+from ..functions.timeparts import epoch_micros, from_epoch_micros
 
+STATE_SCHEMA = "run_start bigint"
 
-def _advance(labels: list[str], seconds: int):
-    hold = pd.Timedelta(seconds=seconds)
 
+def _advance(labels: list[str], hold_micros: int):
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start = pd.Timestamp(state.get[0]) if state.exists and state.get[0] is not None else None
-        # Samples of one label set within one micro-batch arrive unordered.
-        rows = pd.concat(list(batches)).sort_values("ts", ignore_index=True)
-        times = rows["ts"]
-        # The start of a run is the first true sample after the latest false one.
-        begins = rows["condition"] & ~rows["condition"].shift(fill_value=start is not None)
-        starts = times.where(begins)
-        if start is not None:
-            starts.iloc[:1] = starts.iloc[:1].fillna(start)
-        starts = starts.ffill().where(rows["condition"])
-        held = (times - starts) >= hold
-        rows["run_start"] = starts
-        rows["state"] = held.map({True: "firing", False: "pending"}).where(rows["condition"], "inactive")
+        open_run = state.get[0] if state.exists else None
+        # Samples of one label set within one micro-batch arrive unordered; the
+        # trigger's file or offset limit bounds how many there are.
+        rows = pd.concat(list(batches)).sort_values("_t", ignore_index=True)
+        true, time = rows["condition"], rows["_t"].astype("Int64")
+        # A run starts at a true sample that does not follow another true one.
+        begins = true & ~true.shift(fill_value=open_run is not None)
+        starts = time.where(begins)
+        if open_run is not None and true.iloc[0]:
+            starts.iloc[0] = open_run
+        starts = starts.ffill().where(true)
+        held = ((time - starts) >= hold_micros).fillna(False)
+        rows["_start"] = starts
+        rows["state"] = held.map({True: "firing", False: "pending"}).where(true, "inactive")
         last = starts.iloc[-1]
-        state.update((None if pd.isna(last) else last.to_pydatetime(),))
+        state.update((None if pd.isna(last) else int(last),))
         for i, name in enumerate(labels):
             rows[name] = key[i]
-        yield rows[[*labels, "ts", "value", "condition", "run_start", "state"]]
+        yield rows[[*labels, "_t", "value", "condition", "_start", "state"]]
 
     return step
 
 
 def alert_states(samples: DataFrame, labels: list[str], condition: Column, seconds: int) -> DataFrame:
-    """Streaming form of "fire once the condition has held": one state row per label set."""
+    """Streaming form of "fire once the condition has held": one open run per label set as state."""
     rows = samples.select(
-        *labels, F.col("ts").cast("timestamp").alias("ts"), "value", F.coalesce(condition, F.lit(False)).alias("condition")
+        *labels, epoch_micros("ts").alias("_t"), "value", F.coalesce(condition, F.lit(False)).alias("condition")
     )
     label_fields = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in labels)
-    schema = f"{label_fields}, ts timestamp, value double, condition boolean, run_start timestamp, state string"
+    schema = f"{label_fields}, _t bigint, value double, condition boolean, _start bigint, state string"
     stated = rows.groupBy(*labels).applyInPandasWithState(
-        _advance(labels, seconds), schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        _advance(labels, seconds * 1_000_000), schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
-    return stated.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "run_start")})
+    times = [from_epoch_micros(F.col("_t")).alias("ts"), from_epoch_micros(F.col("_start")).alias("run_start")]
+    return stated.select(*labels, times[0], "value", "condition", times[1], "state")

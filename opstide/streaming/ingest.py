@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import pair_counts
-from ..operators.parsing import parse_lock_lines, parse_session_lines
+from ..operators.parsing import SPACE, header_time, parse_lock_lines, parse_session_lines
 from ..session import scratch_path
 from ..sinks.tables import upsert_latest
 from .rollups import EVENT_TIME, second_counts_stream, timed
@@ -22,6 +22,17 @@ def lock_event_stream(lines: DataFrame) -> DataFrame:
     return parse_lock_lines(lines)
 
 
+def observed_lines(lines: DataFrame, name: str = "parse_stats", line: str = "line") -> DataFrame:
+    """Count lines, parsed and blank ones while they pass; the counts appear in the query's progress."""
+    text = F.btrim(F.col(line), F.lit(SPACE))
+    return lines.observe(
+        name,
+        F.count(F.lit(1)).alias("lines"),
+        F.count(header_time(text)).alias("parsed"),
+        F.count_if(text == "").alias("blank"),
+    )
+
+
 def deduplicated(events: DataFrame, line: str = "raw_line", delay: str = "1 hour") -> DataFrame:
     """Drop lines that were read again within the watermark delay."""
     hashed = timed(events, delay=delay).withColumn("_line_hash", F.xxhash64(line, EVENT_TIME))

@@ -1,7 +1,7 @@
 """Incremental rollups with Structured Streaming.
 
-Inputs carry an NTZ event time; watermarks need a zoned one, so the time is cast
-at the edge and cast back on output.
+Inputs carry an NTZ event time and watermarks need a zoned one, so the time is
+taken as UTC at the edge and turned back on output; the session time zone has no say.
 """
 
 from __future__ import annotations
@@ -9,18 +9,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.rollups import DEADLOCKS, TIMEOUTS, _kinds
-from ..functions.timeparts import col, is_weekend, is_work_hour
+from ..functions.timeparts import as_instant, col, from_instant, is_weekend, is_work_hour
+from ..operators.rollups import DEADLOCKS, TIMEOUTS, kinds
 
 EVENT_TIME = "_event_time"
 
 
 def timed(df: DataFrame, ts: str = "event_datetime", delay: str = "10 minutes") -> DataFrame:
-    return df.withColumn(EVENT_TIME, F.col(ts).cast("timestamp")).withWatermark(EVENT_TIME, delay)
+    return df.withColumn(EVENT_TIME, as_instant(ts)).withWatermark(EVENT_TIME, delay)
 
 
 def window_start() -> Column:
-    return F.col("window.start").cast("timestamp_ntz")
+    return from_instant(F.col("window.start"))
 
 
 def _hour_columns(df: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def lock_hourly_stream(events: DataFrame, delay: str = "10 minutes") -> DataFram
         .groupBy(F.window(EVENT_TIME, "1 hour"))
         .agg(
             F.count("*").alias("total_lock_events"),
-            *_kinds(("total_deadlocks", "DEADLOCK"), ("total_timeouts", "TTIMEOUT")),
+            *kinds(("total_deadlocks", "DEADLOCK"), ("total_timeouts", "TTIMEOUT")),
             F.avg("lock_wait_time").alias("avg_lock_wait_time"),
             F.max("lock_wait_time").alias("max_lock_wait_time"),
             F.min("lock_wait_time").alias("min_lock_wait_time"),
@@ -74,7 +74,7 @@ def lock_table_daily_stream(events: DataFrame, delay: str = "10 minutes") -> Dat
         .groupBy(F.window(EVENT_TIME, "1 day"), "table_name")
         .agg(
             F.count("*").alias("lock_count"),
-            *_kinds(("deadlock_count", "DEADLOCK"), ("timeout_count", "TTIMEOUT")),
+            *kinds(("deadlock_count", "DEADLOCK"), ("timeout_count", "TTIMEOUT")),
             F.max("lock_wait_time").alias("max_lock_wait_time"),
         )
     )
@@ -88,12 +88,12 @@ def rolling_last_hour(events: DataFrame, slide: str = "15 minutes", delay: str =
         .groupBy(F.window(EVENT_TIME, "1 hour", slide))
         .agg(
             F.count("*").alias("total_locks"),
-            *_kinds(DEADLOCKS, TIMEOUTS),
+            *kinds(DEADLOCKS, TIMEOUTS),
             (F.avg("lock_wait_time") / 1000).alias("avg_wait_ms"),
             (F.max("lock_wait_time") / 1000).alias("max_wait_ms"),
         )
     )
-    return stats.withColumn("as_of", F.col("window.end").cast("timestamp_ntz")).drop("window")
+    return stats.withColumn("as_of", from_instant(F.col("window.end"))).drop("window")
 
 
 def second_counts_stream(events: DataFrame, event_type: str, delay: str = "10 minutes") -> DataFrame:

@@ -42,3 +42,15 @@ def test_nulls_and_empty(spark):
     assert got == {"a": 2.0, "b": None}
     total = add_quantile(df.filter("false").groupBy().count(), df.filter("false"), [], "v", 0.5, "q").first()
     assert total["q"] is None
+
+
+def test_approximate_mode_is_one_pass(spark, inputs):
+    from opstide.operators import rollups as R
+
+    exact = {r["event_date"]: r for r in R.lock_daily(inputs.lock_events, "2024-01-31 00:00:00").collect()}
+    approx = R.lock_daily(inputs.lock_events, "2024-01-31 00:00:00", exact=False)
+    assert set(approx.columns) == set(exact[next(iter(exact))].asDict())
+    assert approx._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    for r in approx.collect():
+        assert r["max_wait"] >= r["p95_wait"] > 0
+        assert r["total_locks"] == exact[r["event_date"]]["total_locks"]

@@ -95,3 +95,26 @@ def test_upserts_are_idempotent(spark, inputs, tmp_path):
     got = {r["event_type"]: r["n"] for r in spark.read.parquet(path).collect()}
     want = {r["event_type"]: r["count"] for r in events.groupBy("event_type").count().collect()}
     assert got == want
+
+
+def test_parse_counters_in_progress(spark, tmp_path):
+    folder, out = tmp_path / "logs", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "24010100.log").write_text("20240101 00:00:01.000,CALL,session=1\njunk\n\n")
+    stream = I.session_event_stream(I.observed_lines(stream_log_lines(spark, str(folder))))
+    query = I.run_to_table(stream, out, str(tmp_path / "cp"))
+    query.awaitTermination()
+    seen = [p.observedMetrics["parse_stats"] for p in query.recentProgress if p.observedMetrics]
+    assert [sum(getattr(m, c) for m in seen) for c in ("lines", "parsed", "blank")] == [3, 1, 1]
+
+
+def test_window_days_ignore_the_session_zone(spark, inputs, tmp_path):
+    events = inputs.lock_events
+    stream = in_steps(spark, events, str(tmp_path / "in"), 2, "event_datetime")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = I.drained(SR.lock_table_daily_stream(stream), "daily")
+        batch = R.lock_table_daily(events).select(*got.columns)
+        assert got.count() > 0 and got.exceptAll(batch).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
