@@ -6,6 +6,7 @@ from ..functions import alerting as A
 from ..functions import numeric, text, timeparts
 from ..operators import features as X
 from ..operators import rollups as R
+from ..session import materialise
 from .bindings import AS_OF
 from .q_rollups import DAY, LAST_HOUR, NOW, SESSION_HOURLY, last_days
 from .registry import query
@@ -165,6 +166,11 @@ FEATURE_DOUBLES = (
 ).split()
 
 
+def stored_session_hourly(t):
+    """The hourly session rollup as a written table, for queries that read it more than once."""
+    return materialise(R.session_hourly(t.session_events), "session_hourly")
+
+
 def session_frame(t):
     return X.session_features(X.training_rows(R.session_hourly(t.session_events), AS_OF))
 

@@ -10,7 +10,7 @@ from ..plans import locks as L
 from ..plans import sessions as Q
 from ..plans.iforest import fit_scaler, standardise
 from .bindings import AS_OF
-from .q_features import SESSION_FEATURES_SQL, TRAINING, session_frame
+from .q_features import SESSION_FEATURES_SQL, TRAINING, session_frame, stored_session_hourly
 from .q_rollups import DL, LAST_HOUR, NOW, SESSION_HOURLY, TT, last_days
 from .q_windows import LOCK_DAILY, LOCK_TRENDS, TREND_DOUBLES, replace_rounded, trend_sql
 from .registry import query
@@ -105,7 +105,7 @@ THRESHOLDS = f"""(SELECT metric, avg(v) AS mean, stddev_samp(v) AS std FROM (
 
 
 def _training(t):
-    return X.training_rows(R.session_hourly(t.session_events), AS_OF)
+    return X.training_rows(stored_session_hourly(t), AS_OF)
 
 
 @query("m12_sigma_thresholds", f"""
@@ -154,7 +154,7 @@ SELECT hour_start, sessions, round((sessions - coalesce(a, 1)) / greatest(coales
   round(ln(1 + sessions), 4) AS log_sessions, round(ln(1 + d), 4) AS log_duration
 FROM c, b, e""")
 def _(t):
-    row = Q.current_features(t.session_events, R.session_hourly(t.session_events), AS_OF)
+    row = Q.current_features(t.session_events, stored_session_hourly(t), AS_OF)
     derived = "sessions_deviation sessions_trend error_rate hour_sin hour_cos log_sessions log_duration".split()
     return row.select("hour_start", "sessions", *derived)
 
@@ -179,7 +179,8 @@ FROM {TRAINING} LEFT JOIN w ON w.hour_start = date + INTERVAL 1 HOUR * hour""")
 def _(t):
     rows = _training(t)
     hour_start = F.timestamp_add("HOUR", F.col("hour"), F.col("date").cast("timestamp_ntz"))
-    history = Q.check_history(rows.withColumn("hour_start", hour_start), _checked(t), AS_OF)
+    current = rows.withColumn("hour_start", hour_start)
+    history = Q.check_history(current, Q.sigma_check(current, Q.sigma_thresholds(rows)), AS_OF)
     return history.select(
         "hour_start", "sessions", "deadlocks", "has_anomaly", F.coalesce(F.size("warnings"), F.lit(0)).alias("n_warnings")
     )

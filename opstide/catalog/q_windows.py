@@ -10,7 +10,7 @@ from ..operators import sliced as S
 from ..operators import windows as W
 from ..sources import samples, tables
 from .bindings import AS_OF
-from .q_features import SESSION_FEATURES_SQL, TRAINING, session_frame
+from .q_features import SESSION_FEATURES_SQL, TRAINING, session_frame, stored_session_hourly
 from .q_rollups import DL, HOURLY_EXTRACT, NOW, SESSION_HOURLY, TT, last_days
 from .registry import query
 
@@ -24,9 +24,11 @@ WHERE {last_days(days, 'a.event_date')} AND a.table_name < b.table_name
 GROUP BY 1, 2 {tail}"""
 
 
-@query("j1_conflict_pairs", pairs_sql("DEADLOCK", "second", 30))
+@query("j1_conflict_pairs", pairs_sql("DEADLOCK", "minute", 30))
 def _(t):
-    return J.conflict_pairs(t.lock_events, "DEADLOCK", AS_OF, days=30)
+    """Event times stored to the minute."""
+    minute = F.timestamp_add("MINUTE", F.minute("event_datetime"), hour_start("event_datetime"))
+    return J.conflict_pairs(t.lock_events.withColumn("event_datetime", minute), "DEADLOCK", AS_OF, days=30)
 
 
 TOP_PAIRS = "ORDER BY conflicts DESC, table1, table2 LIMIT 20"
@@ -59,9 +61,8 @@ SELECT h.event_date, h.event_hour, h.is_weekend, round(coalesce(s, 0), 4) AS bas
   round(coalesce(ex, 0), 4) AS baseline_avg_exceptions
 FROM h LEFT JOIN b ON h.event_hour = b.event_hour AND h.is_weekend = b.is_weekend""")
 def _(t):
-    hourly = R.session_hourly(t.session_events)
-    joined = J.attach_baseline(hourly.select("event_date", *J.BASELINE_KEYS), J.hourly_baseline(hourly, AS_OF))
-    return joined
+    hourly = stored_session_hourly(t)
+    return J.attach_baseline(hourly.select("event_date", *J.BASELINE_KEYS), J.hourly_baseline(hourly, AS_OF))
 
 
 @query("j6_vector_match", f"""

@@ -9,14 +9,16 @@ and only that bucket is ranked.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantile(
-    df: DataFrame, keys: list[str], value: str, p: float, out: str, resolution: int = 256
+def exact_quantiles(
+    df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], resolution: int = 256
 ) -> DataFrame:
-    """Quantile ``p`` of ``value`` per ``keys`` with linear interpolation.
+    """Quantiles of ``value`` per ``keys`` with linear interpolation, as columns name -> p.
 
     ``resolution`` sets the number of logarithmic buckets per unit of
     ``ln(1 + |value|)``; correctness only needs the bucketing to be monotone.
@@ -32,17 +34,21 @@ def exact_quantile(
         .agg(F.count("*").alias("_n"))
         .withColumn("_b", bucket)
     )
+    ranks = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in wanted.items()}
     # At most (range in log units) x resolution buckets per group: small windows.
     per_group = Window.partitionBy(*keys)
     running = per_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.lit(p) * (F.sum("_bn").over(per_group) - 1)
+    needed = reduce(
+        lambda a, b: a | b,
+        [(F.col("_start") <= F.ceil(r)) & (F.col("_end") > F.floor(r)) for r in ranks.values()],
+    )
     targets = (
         counts.groupBy(*keys, "_b")
         .agg(F.sum("_n").alias("_bn"))
-        .withColumns({"_pos": rank, "_end": F.sum("_bn").over(running)})
+        .withColumns({"_total": F.sum("_bn").over(per_group), "_end": F.sum("_bn").over(running)})
         .withColumn("_start", F.col("_end") - F.col("_bn"))
-        .filter((F.col("_start") <= F.ceil("_pos")) & (F.col("_end") > F.floor("_pos")))
-        .select(*keys, "_b", "_pos", "_start")
+        .filter(needed)
+        .select(*keys, "_b", "_total", "_start")
     )
     inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
@@ -51,12 +57,19 @@ def exact_quantile(
         .withColumn("_lo", F.col("_hi") - F.col("_n"))
     )
 
-    def at(position):
-        return F.max(F.when((F.col("_lo") <= position) & (position < F.col("_hi")), v))
+    def quantile(rank: Column) -> Column:
+        def at(position: Column) -> Column:
+            return F.max(F.when((F.col("_lo") <= position) & (position < F.col("_hi")), v))
+
+        lower, upper = at(F.floor(rank)), at(F.ceil(rank))
+        return lower + (upper - lower) * F.max(rank - F.floor(rank))
+
+    return ranked.groupBy(*keys).agg(*[quantile(r).alias(name) for name, r in ranks.items()])
+
 
-    lower, upper = at(F.floor("_pos")), at(F.ceil("_pos"))
-    fraction = F.max(F.col("_pos") - F.floor("_pos"))
-    return ranked.groupBy(*keys).agg((lower + (upper - lower) * fraction).alias(out))
+def exact_quantile(df: DataFrame, keys: list[str], value: str, p: float, out: str, resolution: int = 256) -> DataFrame:
+    """One quantile per group, see :func:`exact_quantiles`."""
+    return exact_quantiles(df, keys, value, {out: p}, resolution)
 
 
 def approx_quantile(value: str, p: float, out: str, exact: bool) -> list[Column]:

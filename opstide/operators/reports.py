@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import pct_change
 from ..functions.text import extract_tables, with_error_type
 from ..functions.timeparts import AsOf, as_datetime, date_literal, within
-from .quantiles import add_quantile
+from .quantiles import exact_quantiles
 
 
 def ranked(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -93,9 +93,8 @@ def describe_measure(df: DataFrame, measure: str, keys: list[str]) -> DataFrame:
         F.min(measure).alias("min"),
         F.max(measure).alias("max"),
     )
-    for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
-        stats = add_quantile(stats, df, keys, measure, p, name)
-    return stats
+    quartiles = exact_quantiles(df, keys, measure, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return stats.join(quartiles, keys, "left")
 
 
 def value_counts(df: DataFrame, column: str, keys: list[str]) -> DataFrame:

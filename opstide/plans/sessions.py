@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import AsOf
+from ..functions.timeparts import AsOf, as_datetime, date_literal, hour_start, ts_literal
 from ..operators.features import cyclic_hour, error_rate, scale_features
 from ..operators.joins import hourly_baseline
 from ..operators.rollups import last_hour_sessions
@@ -61,28 +63,33 @@ def current_features(events: DataFrame, hourly: DataFrame, as_of: AsOf, exact: b
     The deviation is taken from the baseline of the same hour and weekend flag (1
     when there is none) and the trend from the mean of the last 24 hourly counts.
     """
-    now = last_hour_sessions(events, as_of, exact).withColumn("event_hour", F.hour("hour_start"))
-    baseline = hourly_baseline(hourly, as_of).select("event_hour", "is_weekend", "avg_sessions")
+    checked = as_datetime(as_of) - timedelta(hours=1)
+    # The checked hour and the weekend flag are known, so both look-ups are
+    # filtered scalar subqueries and nothing is joined.
+    weekend = int(as_datetime(as_of).isoweekday() >= 6)
+    same_hour = (F.col("event_hour") == checked.hour) & (F.col("is_weekend") == weekend)
+    baseline = hourly_baseline(hourly.filter(same_hour), as_of).select("avg_sessions")
     hour_time = F.timestamp_add("HOUR", F.col("event_hour"), F.col("event_date").cast("timestamp_ntz"))
     earlier = (
-        hourly.select(hour_time.alias("_hour"), "total_sessions")
-        .filter(F.col("_hour") < now.select("hour_start").scalar())
+        hourly.filter(F.col("event_date") <= date_literal(checked))
+        .select(hour_time.alias("_hour"), "total_sessions")
+        .filter(F.col("_hour") < hour_start(ts_literal(checked)))
         .orderBy(F.desc("_hour"))
         .limit(23)
         .agg(F.struct(F.sum("total_sessions").alias("s"), F.count("*").alias("n")))
     )
-    joined = now.join(baseline, ["event_hour", "is_weekend"], "left").withColumn("_earlier", earlier.scalar())
-    expected = F.coalesce(F.col("avg_sessions"), F.lit(1.0))
+    now = last_hour_sessions(events, as_of, exact).withColumns({"_mean": baseline.scalar(), "_earlier": earlier.scalar()})
+    expected = F.coalesce(F.col("_mean"), F.lit(1.0))
     mean_24 = (F.coalesce(F.col("_earlier.s"), F.lit(0)) + F.col("sessions")) / (F.col("_earlier.n") + 1)
-    return joined.withColumns(
+    return now.withColumns(
         {
             "sessions_deviation": (F.col("sessions") - expected) / F.greatest(expected, F.lit(1.0)),
             "sessions_trend": F.col("sessions") - mean_24,
             "error_rate": error_rate(),
-            **cyclic_hour("event_hour"),
+            **cyclic_hour(F.hour("hour_start")),
             **scale_features(),
         }
-    ).drop("_earlier", "avg_sessions", "event_hour")
+    ).drop("_earlier", "_mean")
 
 
 def model_warnings(scores: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from opstide.operators.quantiles import add_quantile, exact_quantile
+from opstide.operators.quantiles import add_quantile, exact_quantile, exact_quantiles
 
 
 def frame(spark, groups):
@@ -54,3 +54,12 @@ def test_approximate_mode_is_one_pass(spark, inputs):
     for r in approx.collect():
         assert r["max_wait"] >= r["p95_wait"] > 0
         assert r["total_locks"] == exact[r["event_date"]]["total_locks"]
+
+
+def test_several_quantiles_share_one_count(spark):
+    values = np.random.default_rng(2).integers(0, 10**6, 999)
+    df = frame(spark, {"a": values, "b": values[:3]})
+    wanted = {"low": 0.01, "mid": 0.5, "high": 0.99}
+    for row in exact_quantiles(df, ["k"], "v", wanted).collect():
+        part = values if row["k"] == "a" else values[:3]
+        assert [row[n] for n in wanted] == pytest.approx([np.quantile(part, p) for p in wanted.values()])
