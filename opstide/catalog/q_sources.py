@@ -37,15 +37,12 @@ def _log_folder(t):
     return path
 
 
-TEXT_GLOB = "*.{txt,txt.gz}"
-
-
 @query("s1_read_log_lines", f"""
 SELECT CAST(event_id % 2 AS int) AS packed, CAST({LINE_TS} AS date) AS day, count(*) AS lines,
   CAST(sum(length(line)) AS bigint) AS chars
 FROM log_lines GROUP BY 1, 2""")
 def _(t):
-    lines = logs.read_log_lines(t.spark, _log_folder(t), TEXT_GLOB, partitions=8)
+    lines = logs.read_log_lines(t.spark, _log_folder(t), "*.txt", gzip_partitions=8)
     return lines.groupBy(
         F.endswith("file", F.lit(".gz")).cast("int").alias("packed"),
         F.to_date(P.header_time(F.col("line"))).alias("day"),

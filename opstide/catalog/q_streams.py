@@ -10,7 +10,7 @@ from ..streaming import ingest as I
 from ..streaming import rollups as R
 from .bindings import AS_OF
 from .q_rollups import DL, TT, avg, total
-from .q_sources import LINE_TS, TEXT_GLOB
+from .q_sources import LINE_TS
 from .registry import query
 
 
@@ -68,7 +68,7 @@ FROM log_lines GROUP BY 1, 2""")
 def _(t):
     folder = scratch_path(t.spark, "incoming")
     t.log_lines.select("line").write.text(folder, compression="gzip")
-    events = I.drained(I.session_event_stream(stream_log_lines(t.spark, folder, TEXT_GLOB)), "session_events")
+    events = I.drained(I.session_event_stream(stream_log_lines(t.spark, folder, "*.{txt,txt.gz}")), "session_events")
     return events.groupBy("event_date", "user_name").agg(F.count("*").alias("n"), F.sum("duration").alias("duration"))
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import col
 
-LOG_GLOB = "*.{log,log.gz}"
+LOG_PATTERN = "*.log"
 REPLACEMENT = "�"
+SPLIT_BYTES = 128 * 1024 * 1024
+GZIP_RATIO = 8
 
 
 def _lines(frame: DataFrame) -> DataFrame:
@@ -16,20 +20,37 @@ def _lines(frame: DataFrame) -> DataFrame:
     return frame.select(F.col("_metadata.file_name").alias("file"), clean.alias("line"))
 
 
-def read_log_lines(spark: SparkSession, path: str, pattern: str = LOG_GLOB, partitions: int | None = None) -> DataFrame:
+def _below(spark: SparkSession, pattern: str):
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+
+
+def gzip_spread(spark: SparkSession, path: str, pattern: str) -> int:
+    """Partitions that give unpacked gzip files the size of a normal split (reads file sizes only)."""
+    size = _below(spark, pattern).format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return max(1, math.ceil(size * GZIP_RATIO / SPLIT_BYTES))
+
+
+def read_log_lines(
+    spark: SparkSession, path: str, pattern: str = LOG_PATTERN, gzip_partitions: int | None = None
+) -> DataFrame:
     """Lines of every log below ``path``, plain or gzip, undecodable bytes removed.
 
-    A gzip file is one task; ``partitions`` spreads its lines before parsing.
+    Plain files split by themselves and are parsed where they are read.  A gzip
+    file is one task whatever its size, so only those lines are spread out first,
+    by row number: copies of one line do not end up together, and a lost task is
+    recomputed to the same rows.
     """
-    raw = (
-        spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path)
-    )
-    lines = _lines(raw)
-    return lines.repartition(partitions) if partitions else lines
+    packed_pattern = f"{pattern}.gz"
+    plain = _lines(_below(spark, pattern).text(path))
+    packed = _lines(_below(spark, packed_pattern).text(path))
+    n = gzip_partitions or gzip_spread(spark, path, packed_pattern)
+    if n > 1:
+        packed = packed.withColumn("_i", F.monotonically_increasing_id()).repartition(n, "_i").drop("_i")
+    return plain.unionByName(packed)
 
 
 def stream_log_lines(
-    spark: SparkSession, path: str, pattern: str = LOG_GLOB, max_files: int | None = None
+    spark: SparkSession, path: str, pattern: str = "*.{log,log.gz}", max_files: int | None = None
 ) -> DataFrame:
     """Lines of log files as they appear; the query checkpoint remembers read files."""
     reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)

@@ -80,7 +80,9 @@ def test_files(spark, tmp_path):
     with gzip.open(tmp_path / "deep" / "20260305.log.gz", "wt", encoding="utf-8") as f:
         f.write(LOCK + "\n" + GOOD + "\n")
     (tmp_path / "notes.txt").write_text("ignored")
-    read = logs.read_log_lines(spark, str(tmp_path), partitions=3)
+    assert logs.gzip_spread(spark, str(tmp_path), "*.log.gz") == 1
+    assert logs.read_log_lines(spark, str(tmp_path)).count() == 5
+    read = logs.read_log_lines(spark, str(tmp_path), gzip_partitions=3)
     assert sorted(r["line"] for r in read.filter("file like '26%'").collect()) == ["", GOOD, "broken"][:1] + sorted([GOOD, "broken"])
     stats = {r["file"]: r for r in P.parse_stats(read).collect()}
     first = stats["26030413.log"]
