@@ -235,20 +235,20 @@ def payload():
 
 
 def _flat(t):
-    return A.flatten_alerts(t.alerts.filter("severity <> 'info' OR value < 40").select("ts", payload().alias("payload")))
+    return A.flatten_alerts(t.alerts.select("ts", payload().alias("payload")))
 
 
 @query("p23_flatten_alerts", """
 SELECT ts, CASE severity WHEN 'info' THEN 'resolved' ELSE 'firing' END AS status, alertname, instance, 'unknown' AS job,
   severity, CAST(CAST(trunc(value) AS int) AS varchar) AS value, alertname AS summary
-FROM alerts WHERE severity <> 'info' OR value < 40""")
+FROM alerts""")
 def _(t):
     return _flat(t).drop("payload", "extra_labels")
 
 
 @query("p23_extra_labels", """
 SELECT alertname, instance, 'zone' AS label, 'z-' || instance AS label_value, count(*) AS n
-FROM alerts WHERE severity <> 'info' OR value < 40 GROUP BY 1, 2""")
+FROM alerts GROUP BY 1, 2""")
 def _(t):
     rows = A.exploded_labels(_flat(t), ["alertname", "instance"])
     return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))

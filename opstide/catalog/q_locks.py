@@ -197,12 +197,15 @@ def _(t):
     return standardise(frame, fit_scaler(frame, SCALED)).select("date", "hour", *SCALED)
 
 
-@query("st6_notification_times", """
+NOTIFICATIONS = """
 WITH RECURSIVE m AS (SELECT DISTINCT alertname, instance, date_trunc('minute', ts) AS ts FROM alerts),
 r AS (SELECT alertname, instance, min(ts) AS ts FROM m GROUP BY 1, 2
   UNION ALL
   SELECT r.alertname, r.instance, (SELECT min(m.ts) FROM m WHERE m.alertname = r.alertname AND m.instance = r.instance
     AND m.ts >= r.ts + INTERVAL 24 HOUR) FROM r WHERE r.ts IS NOT NULL)
-SELECT alertname, instance, ts AS notified_at FROM r WHERE ts IS NOT NULL""")
+SELECT alertname, instance, ts AS notified_at FROM r WHERE ts IS NOT NULL"""
+
+
+@query("st6_notification_times", NOTIFICATIONS)
 def _(t):
     return S.notification_times(t.alerts, ["alertname", "instance"])

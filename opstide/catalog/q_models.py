@@ -62,9 +62,15 @@ def _(t):
     return anomaly_verdict(model_warnings(scored))
 
 
-@query("m19_tfidf")
+# Every word of the query texts is in the vocabulary; two of them are no stop words.
+@query("m19_tfidf", """
+WITH t AS (SELECT * FROM (SELECT query_id, unnest(regexp_extract_all(lower(query_text), '\\w\\w+')) AS term FROM slow_queries)
+  WHERE term NOT IN ('select', 'from', 'where', 'and', 'or', 'inner', 'left', 'join')),
+idf AS (SELECT term, ln(((SELECT count(*) FROM slow_queries) + 1) / (count(DISTINCT query_id) + 1)::double) AS idf FROM t GROUP BY 1)
+SELECT query_id, 1.0::double AS length, round(max(idf) / sqrt(sum(idf * idf)), 4) AS largest
+FROM t JOIN idf USING (term) GROUP BY query_id""")
 def _(t):
-    vectors = M.tfidf(t.slow_queries, "query_text").transform(t.slow_queries)
+    vectors = M.tfidf(t.slow_queries, "query_text", vocabulary=500).transform(t.slow_queries)
     weights = vector_to_array("features")
     length = F.sqrt(F.aggregate(weights, F.lit(0.0), lambda a, x: a + x * x))
     return vectors.select("query_id", length.alias("length"), F.array_max(weights).alias("largest"))

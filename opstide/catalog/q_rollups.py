@@ -299,6 +299,21 @@ def _(t):
     return merged.select("event_date", "event_hour", "approx_users", "approx_p95_duration")
 
 
+@query("a23_sketch_error", """
+SELECT event_date, event_hour, true AS users_close, true AS p95_within_range FROM session_events GROUP BY 1, 2""")
+def _(t):
+    """Sketch estimates of merged partials against the exact figures of every hour."""
+    merged = R.merge_partials(_two_loads(t))
+    exact = t.session_events.groupBy("event_date", "event_hour").agg(F.count_distinct("user_name").alias("users"))
+    joined = merged.join(exact, ["event_date", "event_hour"])
+    return joined.select(
+        "event_date",
+        "event_hour",
+        (F.abs(F.col("approx_users") - F.col("users")) <= 1 + 0.05 * F.col("users")).alias("users_close"),
+        F.col("approx_p95_duration").between(F.col("min_duration"), F.col("max_duration")).alias("p95_within_range"),
+    )
+
+
 @query("a29_hour_features", f"""
 SELECT timestamp, CAST(hour(timestamp) AS int) AS hour, CAST(isodow(timestamp) - 1 AS int) AS day_of_week,
   {total('session_count', 'session_count')}, {avg('avg_duration', 'avg_duration')}, {total('lock_count', 'lock_count')},

@@ -8,7 +8,7 @@ from ..sources.logs import stream_log_lines
 from ..streaming import alerts as A
 from ..streaming import ingest as I
 from ..streaming import rollups as R
-from .bindings import AS_OF
+from .q_locks import NOTIFICATIONS
 from .q_rollups import DL, TT, avg, total
 from .q_sources import LINE_TS
 from .registry import query
@@ -100,6 +100,16 @@ def _(t):
     return I.drained(R.rolling_last_hour(streamed(t, "lock_events")), "last_hour")
 
 
+@query("st4_rolling_sessions", f"""
+WITH w AS (SELECT unnest(range(0, 4)) AS k),
+e AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, event_datetime) + INTERVAL 15 MINUTE * (k + 1) AS as_of FROM session_events, w)
+SELECT as_of, count(*) AS sessions, {avg('duration', 'avg_duration')}, {total('is_deadlock', 'deadlocks')},
+  {total('is_exception', 'exceptions')}, {total('is_timeout', 'timeouts')}
+FROM e GROUP BY 1 HAVING as_of <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""")
+def _(t):
+    return I.drained(R.rolling_sessions(streamed(t, "session_events")), "last_hour_sessions").drop("approx_users")
+
+
 @query("st5_alert_states", """
 WITH s AS (SELECT event_type AS instance, ts, value FROM events),
 g AS (SELECT *, value > 30 AS c, sum(CASE WHEN value > 30 THEN 0 ELSE 1 END) OVER (PARTITION BY instance ORDER BY ts) AS grp FROM s),
@@ -111,6 +121,11 @@ def _(t):
     return I.drained(A.alert_states(samples, ["instance"], F.col("value") > 30, 1800), "alert_states")
 
 
+@query("st6_notifications_stream", NOTIFICATIONS)
+def _(t):
+    return I.drained(A.notifications(streamed(t, "alerts"), ["alertname", "instance"]), "notifications")
+
+
 @query("st7_run_upserts", """
 SELECT CAST(ts AS date) AS date, event_type, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY 1, 2""")
 def _(t):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.timeparts import epoch_micros, from_epoch_micros
 
+MINUTE = 60_000_000
 STATE_SCHEMA = "run_start bigint"
 
 
@@ -51,3 +53,37 @@ def alert_states(samples: DataFrame, labels: list[str], condition: Column, secon
     )
     times = [from_epoch_micros(F.col("_t")).alias("ts"), from_epoch_micros(F.col("_start")).alias("run_start")]
     return stated.select(*labels, times[0], "value", "condition", times[1], "state")
+
+
+def _announce(labels: list[str], repeat_minutes: int):
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
+        minutes = np.unique(np.concatenate([b["_minute"].to_numpy() for b in batches]))
+        sent = []
+        at = 0 if last is None else np.searchsorted(minutes, last + repeat_minutes)
+        while at < len(minutes):
+            sent.append(int(minutes[at]))
+            at = np.searchsorted(minutes, sent[-1] + repeat_minutes)
+        if sent:
+            state.update((sent[-1],))
+        out = pd.DataFrame({"_sent": pd.Series(sent, dtype="int64")})
+        for i, name in enumerate(labels):
+            out[name] = key[i]
+        yield out[[*labels, "_sent"]]
+
+    return step
+
+
+def notifications(alerts: DataFrame, labels: list[str], repeat_hours: int = 24) -> DataFrame:
+    """Streaming form of the grouped repeat rule: the first alert of a group, then the
+    first one at least ``repeat_hours`` after the last announcement (to the minute)."""
+    rows = alerts.select(*labels, F.floor(epoch_micros("ts") / MINUTE).cast("bigint").alias("_minute"))
+    label_fields = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in labels)
+    sent = rows.groupBy(*labels).applyInPandasWithState(
+        _announce(labels, repeat_hours * 60),
+        f"{label_fields}, _sent bigint",
+        "last_minute bigint",
+        "append",
+        GroupStateTimeout.NoTimeout,
+    )
+    return sent.select(*labels, from_epoch_micros(F.col("_sent") * MINUTE).alias("notified_at"))

@@ -96,6 +96,23 @@ def rolling_last_hour(events: DataFrame, slide: str = "15 minutes", delay: str =
     return stats.withColumn("as_of", from_instant(F.col("window.end"))).drop("window")
 
 
+def rolling_sessions(events: DataFrame, slide: str = "15 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Session statistics of the last hour, renewed every ``slide``."""
+    stats = (
+        timed(events, delay=delay)
+        .groupBy(F.window(EVENT_TIME, "1 hour", slide))
+        .agg(
+            F.count("*").alias("sessions"),
+            F.approx_count_distinct("user_name").alias("approx_users"),
+            F.avg("duration").alias("avg_duration"),
+            F.sum("is_deadlock").alias("deadlocks"),
+            F.sum("is_exception").alias("exceptions"),
+            F.sum("is_timeout").alias("timeouts"),
+        )
+    )
+    return stats.withColumn("as_of", from_instant(F.col("window.end"))).drop("window")
+
+
 def second_counts_stream(events: DataFrame, event_type: str, delay: str = "10 minutes") -> DataFrame:
     """Events per (second, session, table); a second is emitted once, complete, after the watermark."""
     rows = timed(events.filter(F.col("event_type") == event_type), delay=delay)

@@ -118,3 +118,11 @@ def test_window_days_ignore_the_session_zone(spark, inputs, tmp_path):
         assert got.count() > 0 and got.exceptAll(batch).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_notifications_across_batches(spark, inputs, tmp_path):
+    labels = ["alertname", "instance"]
+    stream = in_steps(spark, inputs.alerts, str(tmp_path / "in"), 6, "ts")
+    got = I.drained(A.notifications(stream, labels), "sent")
+    batch = S.notification_times(inputs.alerts, labels)
+    assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
