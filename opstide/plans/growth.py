@@ -14,7 +14,7 @@ from ..functions.text import next_version
 from ..functions.timeparts import AsOf, date_literal
 from ..operators.features import table_growth_features, user_growth_features
 from ..operators.regress import fit_ols, linear_value
-from ..operators.windows import first_crossing, interval_stats
+from ..operators.windows import interval_stats
 
 # Model inputs and report horizons of the table forecast.
 TABLE_FEATURES = ["days", "month", "quarter", "size_lag_30", "size_lag_90", "size_ma_30"]
@@ -59,6 +59,7 @@ def _roll_tables(days_ahead: int):
                         "day": i + 1,
                         "date": (start + pd.Timedelta(days=i + 1)).dt.date,
                         "forecast_gb": steps[:, i],
+                        "current_size": size,
                     }
                 )
 
@@ -68,20 +69,27 @@ def _roll_tables(days_ahead: int):
 def table_growth_forecast(stats: DataFrame, days_ahead: int = 180) -> DataFrame:
     """Recursive daily forecast per table; each step feeds on the earlier ones."""
     models = table_models(stats).select("table_name", "coef", "last_date", "last_days", "current_size")
-    return models.mapInPandas(_roll_tables(days_ahead), "table_name string, day int, date date, forecast_gb double")
+    schema = "table_name string, day int, date date, forecast_gb double, current_size double"
+    return models.mapInPandas(_roll_tables(days_ahead), schema)
 
 
 def table_growth_report(stats: DataFrame, limit_gb: float = 300.0) -> DataFrame:
     """Current size, forecasts at 30/90/180 days, growth per day and the day the limit is passed."""
-    forecast = table_growth_forecast(stats, max(REPORT_DAYS))
-    current = stats.groupBy("table_name").agg(F.max_by("size_gb", "date").alias("current_size"))
-    at = [F.max(F.when(F.col("day") == d, F.col("forecast_gb"))).alias(f"forecast_{d}d") for d in REPORT_DAYS]
-    crossing = first_crossing(forecast, ["table_name"], "day", "forecast_gb", limit_gb).select(
-        "table_name", F.col("first_horizon").alias("days_to_limit"), F.col("value_at_crossing").alias("size_at_limit")
+    value = F.col("forecast_gb")
+    at = [F.max(F.when(F.col("day") == d, value)).alias(f"forecast_{d}d") for d in REPORT_DAYS]
+    report = table_growth_forecast(stats, max(REPORT_DAYS)).groupBy("table_name").agg(
+        F.max("current_size").alias("current_size"),
+        *at,
+        F.min(F.when(value > limit_gb, F.struct("day", "forecast_gb"))).alias("_crossing"),
+    )
+    return report.select(
+        "table_name",
+        "current_size",
+        *[f"forecast_{d}d" for d in REPORT_DAYS],
+        ((F.col("forecast_30d") - F.col("current_size")) / 30).alias("growth_rate"),
+        F.col("_crossing.day").alias("days_to_limit"),
+        F.col("_crossing.forecast_gb").alias("size_at_limit"),
     )
-    report = forecast.groupBy("table_name").agg(*at).join(current, "table_name")
-    growth = (F.col("forecast_30d") - F.col("current_size")) / 30
-    return report.withColumn("growth_rate", growth).join(crossing, "table_name", "left")
 
 
 def multi_growth(stats: DataFrame) -> DataFrame:
