@@ -16,6 +16,7 @@ from ..functions.timeparts import AsOf, epoch_micros, from_epoch_micros, ts_lite
 SECOND = 1_000_000
 HOUR = 3_600
 DAY = 86_400
+CONSTANT = 1e-12
 
 
 def _slice(seconds: int, time: str = "_t") -> Column:
@@ -77,14 +78,18 @@ def control_chart(
 ) -> DataFrame:
     """Trailing mean and population deviation per sample, the control band and the alarm."""
     rows = samples.filter(F.col("ts") <= ts_literal(as_of))
-    # Values are taken relative to the series' mean, which keeps the squares small.
-    centres = rows.groupBy(*labels).agg(F.avg("value").alias("_a"))
+    # Values are taken relative to the series' rounded mean: the squares stay small
+    # and whole-number series are summed without any rounding.
+    centres = rows.groupBy(*labels).agg(F.round(F.avg("value")).alias("_a"))
     timed = rows.join(centres, labels).withColumn("_t", epoch_micros("ts"))
     x = F.col("value") - F.col("_a")
     sums = trailing_sums(timed, labels, {"w": days * DAY}, {"_n": F.lit(1), "_s1": x, "_s2": x * x})
     n = F.col("_n_w")
     mean = F.col("_s1_w") / n
-    spread = F.sqrt(F.greatest(F.col("_s2_w") / n - mean * mean, F.lit(0.0)))
+    square = F.col("_s2_w") / n
+    variance = square - mean * mean
+    # What is left of a constant stretch after rounding is no spread.
+    spread = F.sqrt(F.when(variance <= CONSTANT * square, 0.0).otherwise(variance))
     chart = sums.select(*labels, "ts", "value", (F.col("_a") + mean).alias("mean"), spread.alias("std"))
     distance = F.try_divide(F.abs(F.col("value") - F.col("mean")), F.col("std"))
     return chart.withColumns(

@@ -43,6 +43,14 @@ def test_control_chart(spark):
             assert row["std"] == pytest.approx(inside.std(), abs=1e-6)
 
 
+def test_constant_stretches_have_no_spread(spark):
+    points = [(i * 3600, 0.1) for i in range(400)] + [(400 * 3600 + i * 3600, 7.3 + i % 2) for i in range(200)]
+    chart = S.control_chart(series(spark, {"a": points}), "2030-01-01 00:00:00", ["instance"])
+    early = chart.filter(F.col("ts") < F.lit(START + dt.timedelta(hours=400)).cast("timestamp_ntz"))
+    assert early.filter("std <> 0 or sigma is not null or alarm").count() == 0
+    assert chart.filter("alarm").count() > 0
+
+
 def test_counter_rate_with_reset(spark):
     points = [(0, 10), (600, 20), (1200, 5), (4000, 8), (90000, 9), (90600, 30)]
     got = S.counter_rate(series(spark, {"a": points}), ["instance"]).orderBy("ts").collect()
