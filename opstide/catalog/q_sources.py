@@ -209,6 +209,21 @@ def _(t):
     return J.threshold_breaches(R.lock_hourly(t.lock_events), K.default_thresholds(t.spark))
 
 
+@query("s15_growth_breaches", """
+WITH d AS (SELECT event_date, table_name, count(*) AS n FROM lock_events WHERE table_name <> '' GROUP BY 1, 2),
+g AS (SELECT event_date, table_name, (n - lag(n) OVER w) / CAST(lag(n) OVER w AS double) * 100 AS v FROM d
+  WINDOW w AS (PARTITION BY table_name ORDER BY event_date))
+SELECT event_date, table_name, threshold_name, round(v, 4) AS value, threshold_value
+FROM g JOIN (VALUES ('trend_warning', 50.0::double), ('trend_critical', 100.0::double)) t(threshold_name, threshold_value) ON v > threshold_value""")
+def _(t):
+    return J.threshold_breaches(
+        R.lock_table_daily(t.lock_events),
+        K.default_thresholds(t.spark),
+        ("event_date", "table_name"),
+        J.GROWTH_THRESHOLD_COLUMNS,
+    )
+
+
 # ---- parsing -------------------------------------------------------------------
 
 HEAD = f"""event_id, {LINE_TS} AS event_datetime, CAST({LINE_TS} AS date) AS event_date,

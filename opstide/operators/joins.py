@@ -126,23 +126,29 @@ LOCK_THRESHOLD_COLUMNS = [
 ]
 
 
-def threshold_breaches(lock_hourly: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Hours in which a lock metric passed its configured threshold."""
-    checks = [
+GROWTH_THRESHOLD_COLUMNS = [
+    ("trend_warning", "growth_rate", False),
+    ("trend_critical", "growth_rate", False),
+]
+
+
+def threshold_breaches(
+    df: DataFrame, thresholds: DataFrame, keys: tuple[str, ...] = ("event_date", "event_hour"), checks=None
+) -> DataFrame:
+    """Rows of a rollup in which a metric passed its configured threshold, one per breach."""
+    watched = [
         F.struct(
             F.lit(name).alias("threshold_name"),
             F.col(column).cast("double").alias("value"),
             F.lit(inclusive).alias("inclusive"),
         )
-        for name, column, inclusive in LOCK_THRESHOLD_COLUMNS
+        for name, column, inclusive in checks or LOCK_THRESHOLD_COLUMNS
     ]
-    long_form = lock_hourly.select("event_date", "event_hour", F.inline(F.array(*checks)))
+    long_form = df.select(*keys, F.inline(F.array(*watched)))
     joined = attach_thresholds(long_form, thresholds, "threshold_name")
     above = F.col("value") > F.col("threshold_value")
     reached = F.col("inclusive") & (F.col("value") == F.col("threshold_value"))
-    return joined.filter(above | reached).select(
-        "event_date", "event_hour", "threshold_name", "value", "threshold_value"
-    )
+    return joined.filter(above | reached).select(*keys, "threshold_name", "value", "threshold_value")
 
 
 def inhibit(alerts: DataFrame, equal: tuple[str, ...] = ("alertname", "instance")) -> DataFrame:
