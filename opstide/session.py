@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,18 +30,14 @@ def local_session(cpus: int | str = "*", app: str = "opstide") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster an
-    unset folder is an error, because a machine-local one would lose data with
-    its executor.
+    Where the setting is absent a folder below ``spark.sql.warehouse.dir`` is
+    taken, with every master: the warehouse is shared by definition.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="opstide-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
