@@ -34,6 +34,8 @@ REPORTING = re.compile(r"\b(?:said|says|called|calls|wrote|quoted|term|word|name
 #: What a hit of (edits, quoted) is worth before labels have been seen, and how many documents that belief counts for.
 PRIOR = {(0, 0): 0.9, (0, 1): 0.4, (1, 0): 0.6, (1, 1): 0.25, (2, 0): 0.45, (2, 1): 0.2}
 PRIOR_ROWS = 2.0
+#: How many documents a misspelling of one term must outweigh what misspellings say in general.
+POOLED_ROWS = 10.0
 LONGEST = 24
 
 
@@ -151,10 +153,30 @@ class ToxicityModel:
 
     terms: list[str]
     weights: dict[tuple[int, int, int], float] = field(default_factory=dict)
+    pooled: dict[tuple[int, int], float] = field(default_factory=lambda: dict(PRIOR))
     base: float = 0.05
 
     def weight(self, term: int, edits: int, inq: int) -> float:
-        return self.weights.get((term, edits, inq), PRIOR[(edits, inq)])
+        return self.weights.get((term, edits, inq), self.pooled[(edits, inq)])
+
+    def learn(self, counts: list[tuple[int, int, int, int, int]]) -> None:
+        """From (term, edits, quoted, toxic documents, documents); term -1 counts documents without a finding.
+
+        A cell leans on what all terms say with its edits and quotation, and
+        that on the prior.
+        """
+        for cell in PRIOR:
+            own = [(n1, n) for t, e, q, n1, n in counts if t >= 0 and (e, q) == cell]
+            self.pooled[cell] = _leaning(sum(a for a, _ in own), sum(n for _, n in own), PRIOR[cell])
+        for t, e, q, n1, n in counts:
+            if t < 0:
+                self.base = min((n1 + 1) / (n + 20), THRESHOLD / 2)
+            else:
+                self.weights[(t, e, q)] = _leaning(n1, n, self.pooled[(e, q)], POOLED_ROWS if e else PRIOR_ROWS)
+
+
+def _leaning(n1: int, n: int, belief: float, rows: float = PRIOR_ROWS) -> float:
+    return (n1 + rows * belief) / (n + rows)
 
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,12 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     model = ToxicityModel(terms)
     cells = materialise(rows.mapInArrow(_cell_rows(model), "term int, edits int, quoted int, toxic int"), "toxicity-cells")
     counts = cells.groupBy("term", "edits", "quoted").agg(F.sum("toxic").alias("n1"), F.count("*").alias("n")).collect()
-    for r in counts:
-        if r["term"] < 0:
-            model.base = min((r["n1"] + 1) / (r["n"] + 20), THRESHOLD / 2)
-        else:
-            prior = PRIOR[(r["edits"], r["quoted"])]
-            model.weights[(r["term"], r["edits"], r["quoted"])] = (r["n1"] + PRIOR_ROWS * prior) / (r["n"] + PRIOR_ROWS)
+    model.learn([(r["term"], r["edits"], r["quoted"], r["n1"], r["n"]) for r in counts])
     return model
 
 
@@ -234,14 +251,21 @@ def _cell_rows(model: ToxicityModel):
 
 
 def scores(model: ToxicityModel, trie: LexiconTrie, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(score, number of hits) of each text: one minus the chance that none of its distinct findings is abuse."""
+    """(score, number of hits) of each text.
+
+    Findings that speak for abuse (weight one half or more) add up as the
+    chance that one of them is; weaker ones count as the strongest of them.
+    """
     row, term, edits, inq, count = _hits(trie, texts)
-    clean = np.full(len(texts), np.log1p(-model.base))
     weight = np.array([model.weight(*x) for x in zip(term.tolist(), edits.tolist(), inq.tolist())], float)
-    np.add.at(clean, row, np.log1p(-np.minimum(weight, 0.999999)))
+    strong = weight >= 0.5
+    clean = np.zeros(len(texts))
+    np.add.at(clean, row[strong], np.log1p(-np.minimum(weight[strong], 0.999999)))
+    score = np.maximum(-np.expm1(clean), model.base)
+    np.maximum.at(score, row, weight)
     hits = np.zeros(len(texts), np.int64)
     np.add.at(hits, row, count)
-    return -np.expm1(clean), hits
+    return score, hits
 
 
 def _score_rows(model: ToxicityModel):

@@ -167,9 +167,13 @@ def matches(bench: Benchmark, points: np.ndarray, limits: np.ndarray) -> list[tu
             got = banded_alignment(bench.items[item], points[a:b], budget)
             if got and got[0] <= budget:
                 found.append((doc, item, a + got[1], a + got[2], got[0]))
-    # overlapping bands see the same place: of overlapping places of an item the one with fewest edits stays
+    return found
+
+
+def separate(found: set[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Of overlapping places of an item in a text, as overlapping bands and windows see them, the one with fewest edits."""
     best: list[tuple[int, int, int, int, int]] = []
-    for row in sorted(set(found), key=lambda r: (r[0], r[1], r[2], r[4], r[3])):
+    for row in sorted(found, key=lambda r: (r[0], r[1], r[2], r[4], r[3])):
         last = best[-1] if best else None
         if last and last[:2] == row[:2] and row[2] < last[3]:
             if row[4] < last[4]:
@@ -197,7 +201,7 @@ def _search(bench: Benchmark):
                 rows.update((d, i, a + begin, b + begin, e) for d, i, a, b, e in matches(bench, part, np.clip(limits - begin, 0, len(part))))
             if not rows:
                 continue
-            doc, item, a, b, edits = (np.array(c, np.int64) for c in zip(*sorted(rows)))
+            doc, item, a, b, edits = (np.array(c, np.int64) for c in zip(*separate(rows)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(doc)),
