@@ -198,7 +198,7 @@ def _(t):
 
 
 NOTIFICATIONS = """
-WITH RECURSIVE m AS (SELECT DISTINCT alertname, instance, date_trunc('minute', ts) AS ts FROM alerts),
+WITH RECURSIVE m AS (SELECT DISTINCT alertname, instance, ts FROM alerts),
 r AS (SELECT alertname, instance, min(ts) AS ts FROM m GROUP BY 1, 2
   UNION ALL
   SELECT r.alertname, r.instance, (SELECT min(m.ts) FROM m WHERE m.alertname = r.alertname AND m.instance = r.instance

@@ -152,11 +152,11 @@ def _(t):
 PROBE = "connection to the server was lost during data transfer"
 
 
-@query("m35_similar_errors", f"""
-WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(error_text), '([a-zа-я0-9_]+)', 1)) AS term FROM error_events),
+@query("m35_similar_errors", rf"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(error_text), '([\p{{L}}\p{{N}}_]+)', 1)) AS term FROM error_events),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
 idf AS (SELECT term, ln(((SELECT count(*) FROM error_events) + 1) / (count(*) + 1)::double) + 1 AS idf FROM tf GROUP BY 1),
-p AS (SELECT term, count(*) AS ptf FROM (SELECT unnest(regexp_extract_all(lower('{PROBE}'), '([a-zа-я0-9_]+)', 1)) AS term) GROUP BY 1),
+p AS (SELECT term, count(*) AS ptf FROM (SELECT unnest(regexp_extract_all(lower('{PROBE}'), '([\p{{L}}\p{{N}}_]+)', 1)) AS term) GROUP BY 1),
 w AS (SELECT doc_id, sum(tf * idf * ptf * idf) AS dot, sqrt(sum(pow(tf * idf, 2))) AS norm
       FROM tf JOIN idf USING (term) LEFT JOIN p USING (term) GROUP BY 1)
 SELECT doc_id, round(dot / (norm * (SELECT sqrt(sum(pow(ptf * idf, 2))) FROM p JOIN idf USING (term))), 4) AS similarity

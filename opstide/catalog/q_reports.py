@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.text import ERROR_DEFAULT, ERROR_RULES
 from ..functions.timeparts import within
 from ..operators import reports as E
 from ..operators import windows as W
@@ -25,7 +26,7 @@ def _(t):
     return E.errors_by_role(t.error_events)
 
 
-KINDS = ["permission_error", "lock_timeout", "network_error", "conversion_error", "db_error", "interface_error"]
+KINDS = [*dict.fromkeys(label for label, _ in ERROR_RULES), ERROR_DEFAULT]
 
 
 @query("a19_role_matrix", f"""

@@ -83,7 +83,7 @@ def _(t):
     return R.session_hourly(t.session_events)
 
 
-@query("a4_lock_hourly", f"""
+LOCK_HOURLY = f"""
 SELECT b.*, coalesce(x.table_name, '') AS top_table
 FROM (SELECT event_date, event_hour, count(*) AS total_lock_events, {DL} AS total_deadlocks, {TT} AS total_timeouts,
         {avg('lock_wait_time', 'avg_lock_wait_time')}, max(lock_wait_time) AS max_lock_wait_time,
@@ -96,12 +96,15 @@ FROM (SELECT event_date, event_hour, count(*) AS total_lock_events, {DL} AS tota
 LEFT JOIN (SELECT event_date, event_hour, table_name,
              row_number() OVER (PARTITION BY event_date, event_hour ORDER BY count(*) DESC, table_name DESC) AS rn
            FROM lock_events WHERE table_name <> '' GROUP BY event_date, event_hour, table_name) x
-  ON b.event_date = x.event_date AND b.event_hour = x.event_hour AND x.rn = 1""")
+  ON b.event_date = x.event_date AND b.event_hour = x.event_hour AND x.rn = 1"""
+
+
+@query("a4_lock_hourly", LOCK_HOURLY)
 def _(t):
     return R.lock_hourly(t.lock_events)
 
 
-@query("a5_lock_table_daily", f"""
+LOCK_TABLE_DAILY = f"""
 SELECT *, coalesce(round((lock_count - lag(lock_count) OVER w) / CAST(lag(lock_count) OVER w AS double) * 100, 4), 0.0)
   AS growth_rate
 FROM (SELECT event_date, table_name, count(*) AS lock_count, {DL} AS deadlock_count, {TT} AS timeout_count,
@@ -110,28 +113,37 @@ FROM (SELECT event_date, table_name, count(*) AS lock_count, {DL} AS deadlock_co
         max(lock_time) AS max_lock_time, count(DISTINCT session_id) AS unique_sessions,
         count(DISTINCT transaction_id) AS unique_transactions, count(DISTINCT user_name) AS unique_users
       FROM lock_events WHERE table_name <> '' GROUP BY event_date, table_name)
-WINDOW w AS (PARTITION BY table_name ORDER BY event_date)""")
+WINDOW w AS (PARTITION BY table_name ORDER BY event_date)"""
+
+
+@query("a5_lock_table_daily", LOCK_TABLE_DAILY)
 def _(t):
     return R.lock_table_daily(t.lock_events)
 
 
-@query("a6_lock_user_daily", f"""
+LOCK_USER_DAILY = f"""
 SELECT event_date, user_name, count(*) AS lock_count, {DL} AS deadlock_count, {TT} AS timeout_count,
   {avg('lock_wait_time', 'avg_lock_wait_time')}, max(lock_wait_time) AS max_lock_wait_time,
   count(DISTINCT table_name) AS unique_tables, count(DISTINCT session_id) AS unique_sessions
-FROM lock_events WHERE user_name <> '' GROUP BY event_date, user_name""")
+FROM lock_events WHERE user_name <> '' GROUP BY event_date, user_name"""
+
+
+@query("a6_lock_user_daily", LOCK_USER_DAILY)
 def _(t):
     return R.lock_user_daily(t.lock_events)
 
 
-@query("a7_techlog_hourly", f"""
+TECHLOG_HOURLY = f"""
 SELECT event_date, hour, count(*) AS total_queries, {avg('duration', 'avg_duration')}, max(duration) AS max_duration,
   {p95('duration', 'p95_duration')}, {total('wait_time', 'total_wait_time')}, {avg('wait_time', 'avg_wait_time')},
   {total('lock_time', 'total_lock_time')}, {avg('lock_time', 'avg_lock_time')},
   count(*) FILTER (WHERE lock_time > 0) AS lock_count, count(DISTINCT session) AS unique_sessions,
   count(DISTINCT user_name) AS unique_users, count(DISTINCT computer) AS unique_computers,
   count(*) FILTER (WHERE contains(raw_line, 'Exception')) AS errors
-FROM techlog GROUP BY event_date, hour""")
+FROM techlog GROUP BY event_date, hour"""
+
+
+@query("a7_techlog_hourly", TECHLOG_HOURLY)
 def _(t):
     return R.techlog_hourly(t.techlog)
 

@@ -257,16 +257,24 @@ def _(t):
     return P.parse_lock_lines(t.lock_lines)
 
 
+def rx_or_null(pattern, kind="varchar"):
+    """What the pattern finds, null where it finds nothing."""
+    return f"CAST(CASE WHEN regexp_matches(line, '{pattern}') THEN regexp_extract(line, '{pattern}', 1) END AS {kind})"
+
+
 @query("p3_parse_legacy_lines", f"""
 SELECT event_id, CAST(substr(line, 1, 2) AS int) AS hour, CAST(substr(line, 4, 2) AS int) AS minute,
   CAST(substr(line, 7, 2) AS int) AS second, CAST(substr(line, 10, 3) AS int) AS millisecond,
   CAST({rx('duration=([0-9]+)')} AS bigint) AS duration, CAST({rx('waitTime=([0-9]+)')} AS bigint) AS wait_time,
   CAST({rx('.*session=([0-9]+)')} AS bigint) AS session, {rx('user="([^"]*)"')} AS user,
-  nullif({rx('context="([^"]*)"')}, '') AS context, line AS raw_line
+  nullif({rx('context="([^"]*)"')}, '') AS context, {rx_or_null('lockTime=([0-9]+)', 'bigint')} AS lock_time,
+  {rx_or_null('transaction=([0-9]+)', 'bigint')} AS transaction, {rx_or_null('connection=([0-9]+)', 'bigint')} AS connection,
+  {rx_or_null('computer="([^"]*)"')} AS computer, {rx_or_null('app-id="([^"]*)"')} AS app_id, {rx_or_null('data="([^"]*)"')} AS data,
+  {rx_or_null('dbms="([^"]*)"')} AS dbms, {rx_or_null('dbpid=([0-9]+)', 'bigint')} AS dbpid,
+  {rx_or_null('block="([^"]*)"')} AS block, {rx_or_null('func="([^"]*)"')} AS func, line AS raw_line
 FROM legacy_lines""")
 def _(t):
-    unseen = ["lock_time", "transaction", "connection", "computer", "app_id", "data", "dbms", "dbpid", "block", "func"]
-    return P.parse_legacy_lines(t.legacy_lines).drop(*unseen)
+    return P.parse_legacy_lines(t.legacy_lines)
 
 
 @query("p4_defaults", f"""
@@ -296,7 +304,7 @@ SELECT strftime({LINE_TS}, '%y%m%d%H') || '.log' AS file, count(*) AS lines,
   count(*) FILTER (WHERE event_id % 19 = 0) AS blank
 FROM log_lines GROUP BY 1""")
 def _(t):
-    damaged = F.when(F.col("event_id") % 19 == 0, "  ").when(F.col("event_id") % 17 == 0, F.substring("line", 5, 500))
+    damaged = F.when(F.col("event_id") % 19 == 0, "  ").when(F.col("event_id") % 17 == 0, F.expr("substr(line, 5)"))
     lines = t.log_lines.select(
         F.concat(F.date_format(P.header_time(F.col("line")), "yyMMddHH"), F.lit(".log")).alias("file"),
         damaged.otherwise(F.col("line")).alias("line"),

@@ -9,7 +9,7 @@ from ..streaming import alerts as A
 from ..streaming import ingest as I
 from ..streaming import rollups as R
 from .q_locks import NOTIFICATIONS
-from .q_rollups import DL, TT, avg, total
+from .q_rollups import DL, LOCK_HOURLY, LOCK_TABLE_DAILY, LOCK_USER_DAILY, TECHLOG_HOURLY, TT, WEEKEND, WORK, avg, total
 from .q_sources import LINE_TS
 from .registry import query
 
@@ -25,40 +25,50 @@ def streamed(t, view):
     return t.view(view, events=events_stream(t))
 
 
-def closed(width, delay="10 minutes", column="event_datetime"):
-    """Condition of windows the watermark has passed after the last event."""
-    return f"w + INTERVAL {width} <= (SELECT max(ts) FROM events) - INTERVAL {delay}"
+def stored(t, stream, shape, name):
+    """What ``shape`` stores of every micro-batch."""
+    path = scratch_path(t.spark, name)
+    R.run_partials(stream, shape, path, f"{path}__checkpoint").awaitTermination()
+    return t.spark.read.parquet(path)
+
+
+def without_sketches(df):
+    return df.drop(*[c for c in df.columns if c.startswith("approx_")])
 
 
 @query("st1_session_hourly_stream", f"""
-SELECT CAST(w AS date) AS event_date, CAST(hour(w) AS int) AS event_hour, total_sessions, avg_duration, max_duration,
-  deadlock_count, exception_count, timeout_count
-FROM (SELECT date_trunc('hour', event_datetime) AS w, count(*) AS total_sessions, {avg('duration', 'avg_duration')},
-    max(duration) AS max_duration, {total('is_deadlock', 'deadlock_count')}, {total('is_exception', 'exception_count')},
-    {total('is_timeout', 'timeout_count')} FROM session_events GROUP BY 1) WHERE {closed('1 HOUR')}""")
+SELECT event_date, event_hour, count(*) AS total_sessions, {avg('duration', 'avg_duration')}, max(duration) AS max_duration,
+  {avg('lock_wait_time', 'avg_lock_wait_time')}, {total('lock_wait_time', 'total_lock_wait_time')},
+  {total('is_deadlock', 'deadlock_count')}, {total('is_exception', 'exception_count')}, {total('is_timeout', 'timeout_count')},
+  {WEEKEND}, {WORK}
+FROM session_events GROUP BY event_date, event_hour""")
 def _(t):
-    out = I.drained(R.session_hourly_stream(streamed(t, "session_events")), "session_hourly")
-    return out.drop("approx_users", "approx_computers", "approx_p95_duration")
+    partials = stored(t, streamed(t, "session_events"), R.session_hour_partials, "session_hourly")
+    return without_sketches(R.session_hourly(partials))
 
 
 @query("st1_lock_hourly_stream", f"""
-SELECT CAST(w AS date) AS event_date, CAST(hour(w) AS int) AS event_hour, * EXCLUDE (w),
-  CASE WHEN isodow(w) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend,
-  CASE WHEN hour(w) BETWEEN 9 AND 18 THEN 1 ELSE 0 END AS is_work_hour
-FROM (SELECT date_trunc('hour', event_datetime) AS w, count(*) AS total_lock_events, {DL} AS total_deadlocks,
-    {TT} AS total_timeouts, {avg('lock_wait_time', 'avg_lock_wait_time')}, max(lock_wait_time) AS max_lock_wait_time,
-    min(lock_wait_time) AS min_lock_wait_time FROM lock_events GROUP BY 1) WHERE {closed('1 HOUR')}""")
+SELECT * EXCLUDE (p95_lock_wait_time, unique_sessions, unique_transactions, unique_users) FROM ({LOCK_HOURLY})""")
 def _(t):
-    return I.drained(R.lock_hourly_stream(streamed(t, "lock_events")), "lock_hourly").drop("approx_sessions")
+    return without_sketches(R.lock_hourly(stored(t, streamed(t, "lock_events"), R.lock_hour_partials, "lock_hourly")))
 
 
 @query("st1_lock_table_daily_stream", f"""
-SELECT CAST(w AS date) AS event_date, * EXCLUDE (w)
-FROM (SELECT date_trunc('day', event_datetime) AS w, table_name, count(*) AS lock_count, {DL} AS deadlock_count,
-    {TT} AS timeout_count, max(lock_wait_time) AS max_lock_wait_time FROM lock_events WHERE table_name <> '' GROUP BY 1, 2)
-WHERE w + INTERVAL 1 DAY <= (SELECT max(event_datetime) FROM lock_events WHERE table_name <> '') - INTERVAL 10 MINUTES""")
+SELECT * EXCLUDE (p95_lock_wait_time, unique_sessions, unique_transactions, unique_users) FROM ({LOCK_TABLE_DAILY})""")
+def _(t):
+    return without_sketches(R.lock_table_daily(stored(t, streamed(t, "lock_events"), R.lock_table_day_partials, "lock_table_daily")))
+
+
+@query("st1_lock_user_daily_stream", f"""
+SELECT * EXCLUDE (unique_tables, unique_sessions) FROM ({LOCK_USER_DAILY})""")
+def _(t):
+    return without_sketches(R.lock_user_daily(stored(t, streamed(t, "lock_events"), R.lock_user_day_partials, "lock_user_daily")))
+
+
+@query("st1_techlog_hourly_stream", f"""
+SELECT * EXCLUDE (p95_duration, unique_sessions, unique_users, unique_computers) FROM ({TECHLOG_HOURLY})""")
 def _(t):
-    return I.drained(R.lock_table_daily_stream(streamed(t, "lock_events")), "lock_table_daily")
+    return without_sketches(R.techlog_hourly(stored(t, streamed(t, "techlog"), R.techlog_hour_partials, "techlog_hourly")))
 
 
 @query("st2_session_event_stream", f"""
@@ -85,9 +95,10 @@ SELECT CAST({LINE_TS} AS date) AS event_date, count(DISTINCT line) AS n FROM log
 def _(t):
     """Every line arrives twice."""
     lines = streamed(t, "log_lines").drop("event_id")
-    twice = lines.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    events = I.drained(I.deduplicated(I.session_event_stream(twice)), "deduplicated")
-    return events.groupBy("event_date").agg(F.count("*").alias("n"))
+    twice = lines.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy").withColumn("file", F.lit("events"))
+    path = scratch_path(t.spark, "deduplicated")
+    I.run_deduplicated(twice, I.session_event_stream, path, f"{path}__checkpoint").awaitTermination()
+    return t.spark.read.parquet(path).groupBy("event_date").agg(F.count("*").alias("n"))
 
 
 @query("st4_rolling_last_hour", f"""
@@ -95,9 +106,9 @@ WITH w AS (SELECT unnest(range(0, 4)) AS k),
 e AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, event_datetime) + INTERVAL 15 MINUTE * (k + 1) AS as_of FROM lock_events, w)
 SELECT as_of, count(*) AS total_locks, {DL} AS deadlocks, {TT} AS timeouts,
   round(avg(lock_wait_time) / 1000, 4) AS avg_wait_ms, round(max(lock_wait_time) / 1000, 4) AS max_wait_ms
-FROM e GROUP BY 1 HAVING as_of <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""")
+FROM e GROUP BY 1""")
 def _(t):
-    return I.drained(R.rolling_last_hour(streamed(t, "lock_events")), "last_hour")
+    return without_sketches(R.rolling_last_hour(stored(t, streamed(t, "lock_events"), R.lock_quarter_partials, "last_hour")))
 
 
 @query("st4_rolling_sessions", f"""
@@ -105,9 +116,9 @@ WITH w AS (SELECT unnest(range(0, 4)) AS k),
 e AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, event_datetime) + INTERVAL 15 MINUTE * (k + 1) AS as_of FROM session_events, w)
 SELECT as_of, count(*) AS sessions, {avg('duration', 'avg_duration')}, {total('is_deadlock', 'deadlocks')},
   {total('is_exception', 'exceptions')}, {total('is_timeout', 'timeouts')}
-FROM e GROUP BY 1 HAVING as_of <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES""")
+FROM e GROUP BY 1""")
 def _(t):
-    return I.drained(R.rolling_sessions(streamed(t, "session_events")), "last_hour_sessions").drop("approx_users")
+    return without_sketches(R.rolling_sessions(stored(t, streamed(t, "session_events"), R.session_quarter_partials, "last_hour_sessions")))
 
 
 @query("st5_alert_states", """
@@ -118,12 +129,14 @@ SELECT instance, ts, value, c AS condition, CASE WHEN c THEN rs END AS run_start
   CASE WHEN NOT c THEN 'inactive' WHEN ts - rs >= INTERVAL 30 MINUTE THEN 'firing' ELSE 'pending' END AS state FROM r""")
 def _(t):
     samples = events_stream(t).select(F.col("event_type").alias("instance"), "ts", "value")
-    return I.drained(A.alert_states(samples, ["instance"], F.col("value") > 30, 1800), "alert_states")
+    kept = stored(t, samples, lambda batch: batch, "samples")
+    return A.alert_states(kept, ["instance"], F.col("value") > 30, 1800)
 
 
 @query("st6_notifications_stream", NOTIFICATIONS)
 def _(t):
-    return I.drained(A.notifications(streamed(t, "alerts"), ["alertname", "instance"]), "notifications")
+    kept = stored(t, streamed(t, "alerts"), lambda batch: batch, "alerts")
+    return A.notifications(kept, ["alertname", "instance"])
 
 
 @query("st7_run_upserts", """
@@ -144,9 +157,6 @@ SELECT second, table1, table2, count(*) AS conflicts
 FROM (SELECT date_trunc('second', a.event_datetime) AS second, a.table_name AS table1, b.table_name AS table2
       FROM lock_events a JOIN lock_events b ON date_trunc('second', a.event_datetime) = date_trunc('second', b.event_datetime)
         AND a.session_id <> b.session_id AND a.event_type = 'LOCK' AND b.event_type = 'LOCK' AND a.table_name < b.table_name)
-WHERE second + INTERVAL 1 SECOND <= (SELECT max(event_datetime) FROM lock_events WHERE event_type = 'LOCK') - INTERVAL 10 MINUTES
 GROUP BY 1, 2, 3""")
 def _(t):
-    path = scratch_path(t.spark, "conflicts")
-    I.run_conflict_pairs(streamed(t, "lock_events"), "LOCK", path, f"{path}__checkpoint").awaitTermination()
-    return t.spark.read.parquet(path).drop("batch")
+    return R.conflict_pairs(stored(t, streamed(t, "lock_events"), R.second_partials("LOCK"), "conflicts"))

@@ -259,7 +259,7 @@ def _(t):
     return W.first_crossing(rows, ["table_name"], "date", "size_gb", F.col("bound"))
 
 
-WIDE = ["_AF", "_NF", "_NO", "_RF"]
+WIDE = ["_AF", "_AO", "_NF", "_NO", "_RF", "_RO"]
 
 
 @query("w13_wide_ffill", f"""
@@ -268,7 +268,8 @@ FROM (SELECT date, {', '.join(f"""avg(size_gb) FILTER (WHERE table_name = '{c}')
       FROM table_stats GROUP BY date)
 WINDOW w AS (ORDER BY date ROWS UNBOUNDED PRECEDING)""")
 def _(t):
-    return W.wide_ffill(t.table_stats, WIDE)
+    names = sorted(r["table_name"] for r in t.table_stats.select("table_name").distinct().collect())
+    return W.wide_ffill(t.table_stats, names)
 
 
 @query("w14_control_chart", f"""

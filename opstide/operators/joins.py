@@ -33,7 +33,8 @@ def conflict_pairs(
 
 
 def pair_counts(per_session: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Cross-session table pairs from counts ``n`` per (second, session_id, table_name)."""
+    """Cross-session table pairs from counts ``n`` per (second, session_id, table_name); an unknown session conflicts with none."""
+    per_session = per_session.filter(F.col("session_id").isNotNull())
     per_table = per_session.groupBy("second", "table_name").agg(F.sum("n").alias("n"))
     pairs = signed_pairs(per_table, ["second"], 1, by).unionByName(
         signed_pairs(per_session, ["second", "session_id"], -1, by)

@@ -16,7 +16,6 @@ from ..functions.timeparts import AsOf, epoch_micros, from_epoch_micros, ts_lite
 SECOND = 1_000_000
 HOUR = 3_600
 DAY = 86_400
-CONSTANT = 1e-12
 
 
 def _slice(seconds: int, time: str = "_t") -> Column:
@@ -82,14 +81,19 @@ def control_chart(
     # and whole-number series are summed without any rounding.
     centres = rows.groupBy(*labels).agg(F.round(F.avg("value")).alias("_a"))
     timed = rows.join(centres, labels).withColumn("_t", epoch_micros("ts"))
+    # Backwards in time the previous value is the next one: a stretch is constant when no sample but its last
+    # differs from the next, whatever rounding leaves of its variance.
+    turned = lag_across_slices(timed.withColumn("_t", -F.col("_t")), labels, "value", "_next")
+    timed = turned.withColumn("_t", -F.col("_t"))
+    differs = F.coalesce(F.col("value") != F.col("_next"), F.lit(False)).cast("int")
     x = F.col("value") - F.col("_a")
-    sums = trailing_sums(timed, labels, {"w": days * DAY}, {"_n": F.lit(1), "_s1": x, "_s2": x * x})
+    sums = trailing_sums(timed, labels, {"w": days * DAY}, {"_n": F.lit(1), "_s1": x, "_s2": x * x, "_ch": differs})
     n = F.col("_n_w")
     mean = F.col("_s1_w") / n
     square = F.col("_s2_w") / n
     variance = square - mean * mean
-    # What is left of a constant stretch after rounding is no spread.
-    spread = F.sqrt(F.when(variance <= CONSTANT * square, 0.0).otherwise(variance))
+    constant = F.col("_ch_w") == differs
+    spread = F.sqrt(F.when(constant, 0.0).otherwise(F.greatest(variance, F.lit(0.0))))
     chart = sums.select(*labels, "ts", "value", (F.col("_a") + mean).alias("mean"), spread.alias("std"))
     distance = F.try_divide(F.abs(F.col("value") - F.col("mean")), F.col("std"))
     return chart.withColumns(
@@ -204,22 +208,21 @@ def notification_times(alerts: DataFrame, labels: list[str], repeat_hours: int =
     """Times at which a firing group is announced: the first alert, then the first
     alert at least ``repeat_hours`` after the previous announcement.
 
-    The choice is sequential, so alert times are first reduced to distinct
-    minutes; a group then holds at most the minutes of its retention period.
+    The choice is sequential within a group; it works on the group's distinct
+    alert times, to the microsecond.
     """
-    minute = F.floor(epoch_micros("ts") / (60 * SECOND))
-    step = F.lit(repeat_hours * 60).cast("bigint")
+    step = F.lit(repeat_hours * 3600 * SECOND).cast("bigint")
     empty = F.array().cast("array<bigint>")
 
     def pick(sent: Column, t: Column) -> Column:
         due = (F.size(sent) == 0) | (t >= F.try_element_at(sent, F.lit(-1)) + step)
         return F.when(due, F.concat(sent, F.array(t))).otherwise(sent)
 
-    times = F.sort_array(F.collect_set(minute.cast("bigint")))
+    times = F.sort_array(F.collect_set(epoch_micros("ts")))
     chosen = (
         alerts.select(*labels, "ts")
         .groupBy(*labels)
         .agg(F.aggregate(times, empty, pick).alias("_sent"))
-        .select(*labels, F.explode("_sent").alias("_minute"))
+        .select(*labels, F.explode("_sent").alias("_t"))
     )
-    return chosen.select(*labels, from_epoch_micros(F.col("_minute") * (60 * SECOND)).alias("notified_at"))
+    return chosen.select(*labels, from_epoch_micros(F.col("_t")).alias("notified_at"))

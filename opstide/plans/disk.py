@@ -217,13 +217,14 @@ def growth_rate_30d(usage: DataFrame, as_of: AsOf, days: int = 30) -> DataFrame:
 
 
 def days_to_full(usage: DataFrame, as_of: AsOf, limit: float = 200.0, days: int = 30) -> DataFrame:
-    """(limit - last value) / 30-day growth rate, per volume, from one pass over the history."""
+    """(limit - last value) / 30-day growth rate, per volume, from one pass over the history up to ``as_of``."""
     start = as_datetime(as_of) - timedelta(days=days)
     recent = F.col("date").between(date_literal(start), date_literal(as_of))
     used, day = F.when(recent, F.col("used_gb")), F.when(recent, F.col("date"))
     growth = F.try_divide(F.max(used) - F.min(used), F.datediff(F.max(day), F.min(day)).cast("double"))
     last = F.max_by("used_gb", "date")
-    return usage.groupBy("volume").agg(F.try_divide(F.lit(limit) - last, growth).alias("days_to_full"))
+    known = usage.filter(F.col("date") <= date_literal(as_of))
+    return known.groupBy("volume").agg(F.try_divide(F.lit(limit) - last, growth).alias("days_to_full"))
 
 
 def latest_quality(quality: DataFrame) -> DataFrame:

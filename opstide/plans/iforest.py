@@ -71,11 +71,11 @@ def _deal(df: DataFrame, row_id: list[str], n_rows: int, trees: int, psi: int, s
         bits = F.xxhash64(*[F.col(c) for c in row_id], F.lit(seed), *salt)
         return F.pmod(bits, F.lit(1 << 52)) / float(1 << 52)
 
-    if trees * share <= 1:
-        dealt = df.withColumn("tree", F.floor(uniform() / share).cast("int"))
-        return dealt.filter(F.col("tree") < trees)
-    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
-    return df.withColumn("tree", F.explode(F.filter(numbers, lambda t: uniform(t) < share)))
+    # Round after round a row goes to tree (round + u) / share, so consecutive rounds fill consecutive
+    # trees; a large input needs one round and one hash per row.
+    rounds = F.sequence(F.lit(0), F.lit(math.ceil(trees * share) - 1))
+    chosen = F.array_distinct(F.transform(rounds, lambda j: F.floor((j + uniform(j)) / share).cast("int")))
+    return df.withColumn("tree", F.explode(chosen)).filter(F.col("tree") < trees)
 
 
 def _build_tree(seed: int):

@@ -128,7 +128,7 @@ def score_candidates(
     """Random integer settings inside ``space`` ranked by the model's predicted response time."""
     columns: list[Column] = []
     for i, (name, (low, high)) in enumerate(space.items()):
-        columns.append((F.floor(F.rand(seed + i) * (high - low + 1)) + low).cast("int").alias(name))
+        columns.append((F.pmod(F.xxhash64("id", F.lit(seed + i)), F.lit(high - low + 1)) + low).cast("int").alias(name))
     candidates = spark.range(n).select("id", *columns)
     scored = model.transform(candidates).select("id", *space, F.col("prediction").alias("predicted"))
     return scored.orderBy("predicted", "id").limit(top)
@@ -161,8 +161,8 @@ def similar_errors(df: DataFrame, probe: str, row_id: str = "doc_id", text: str
     Whole texts are tokenised; only document-term counts are shuffled, and the
     probe's terms are a handful of literals.
     """
-    tokens = F.regexp_extract_all(F.lower(F.col("t")), F.lit("([a-zа-я0-9_]+)"), F.lit(1))
-    probes = df.sparkSession.range(1).select(F.explode(F.regexp_extract_all(F.lower(F.lit(probe)), F.lit("([a-zа-я0-9_]+)"), F.lit(1))).alias("term"))
+    tokens = F.regexp_extract_all(F.lower(F.col("t")), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+    probes = df.sparkSession.range(1).select(F.explode(F.regexp_extract_all(F.lower(F.lit(probe)), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))).alias("term"))
     probe_counts = probes.groupBy("term").agg(F.count("*").alias("probe_tf"))
     counts = (
         df.select(F.col(row_id).alias("id"), F.col(text).alias("t"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,37 +88,58 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return newest.select(*keys, "_row.*").select(*df.columns)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+#: Partitions an upsert may touch; a load that touches more reads the table through a join instead of literals.
+TOUCHED = 1000
+
+
+def touched_rows(stored: DataFrame, df: DataFrame, partition: str) -> DataFrame:
+    """Stored rows of the partitions that ``df`` has rows in, pruned by literal values."""
+    values = [r[0] for r in df.select(partition).distinct().limit(TOUCHED + 1).collect()]
+    if len(values) > TOUCHED:
+        return stored.join(df.select(partition).distinct(), partition, "left_semi")
+    kept = stored.where(F.col(partition).isin([v for v in values if v is not None]))
+    return kept.unionByName(stored.where(F.col(partition).isNull())) if None in values else kept
+
+
 def upsert_latest(df: DataFrame, path: str, keys: list[str], order: str, partition: str = "month") -> None:
-    """Merge rows into a table, newest ``order`` wins; only touched partitions are rewritten.
+    """Merge rows into a table, newest ``order`` wins, a new row over an equally old stored one; only touched
+    partitions are read and rewritten.
 
     ``partition`` must be a function of the key columns, so that all versions of a
     key live in the same partition.
     """
     spark = df.sparkSession
-    if not _exists(spark, path):
+    if not exists(spark, path):
         latest_per_key(df, keys, order).write.partitionBy(partition).parquet(path)
         return
-    touched = df.select(partition).distinct()
-    stored = spark.read.parquet(path).select(*df.columns).join(touched, partition, "left_semi").select(*df.columns)
-    merged = latest_per_key(stored.unionByName(df), keys, order)
-    staged = f"{path.rstrip('/')}__staged"
-    merged.write.mode("overwrite").parquet(staged)
+    stored = touched_rows(spark.read.parquet(path).select(*df.columns), df, partition).select(*df.columns)
+    both = stored.withColumn("_new", F.lit(0)).unionByName(df.withColumn("_new", F.lit(1)))
+    ranked = both.withColumn("_order", F.struct(order, "_new")).drop("_new")
+    merged = latest_per_key(ranked, keys, "_order").drop("_order")
+    staged = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(staged)
     spark.read.parquet(staged).select(*df.columns).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(partition).parquet(path)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
-def insert_absent(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Append only rows whose key is not stored yet; first of duplicate keys is kept."""
+def insert_absent(df: DataFrame, path: str, keys: list[str], order: str | None = None, partition: str | None = None) -> None:
+    """Append only rows whose key is not stored yet; of duplicate keys the one with the smallest ``order`` (all
+    columns, if none is named). With ``partition`` only the stored keys of touched partitions are read."""
     spark = df.sparkSession
-    fresh = df.dropDuplicates(keys)
-    if _exists(spark, path):
-        fresh = fresh.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
+    rank = F.struct(*([order] if order else []), *df.columns)
+    fresh = df.groupBy(*keys).agg(F.min_by(F.struct(*df.columns), rank).alias("_row")).select("_row.*")
+    if exists(spark, path):
+        stored = spark.read.parquet(path)
+        stored = touched_rows(stored, df, partition) if partition else stored
+        fresh = fresh.join(stored.select(*keys), keys, "left_anti")
     fresh.select(*df.columns).write.mode("append").parquet(path)
 
 

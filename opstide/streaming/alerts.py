@@ -1,89 +1,29 @@
-"""Alert states on a stream: inactive, pending, firing."""
+"""Alert states and notifications of a stream of samples, right in any order of arrival.
 
-from __future__ import annotations
+Samples are stored as they come and judged when read: a late sample may end or
+join a run that later samples were part of, so what was said of them before
+cannot stand. Reading works by time slices and splits a busy label.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from ..functions.timeparts import epoch_micros, from_epoch_micros
-
-MINUTE = 60_000_000
-STATE_SCHEMA = "run_start bigint"
-
-
-def _advance(labels: list[str], hold_micros: int):
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_run = state.get[0] if state.exists else None
-        # Samples of one label set within one micro-batch arrive unordered; the
-        # trigger's file or offset limit bounds how many there are.
-        rows = pd.concat(list(batches)).sort_values("_t", ignore_index=True)
-        true, time = rows["condition"], rows["_t"].astype("Int64")
-        # A run starts at a true sample that does not follow another true one.
-        begins = true & ~true.shift(fill_value=open_run is not None)
-        starts = time.where(begins)
-        if open_run is not None and true.iloc[0]:
-            starts.iloc[0] = open_run
-        starts = starts.ffill().where(true)
-        held = ((time - starts) >= hold_micros).fillna(False)
-        rows["_start"] = starts
-        rows["state"] = held.map({True: "firing", False: "pending"}).where(true, "inactive")
-        last = starts.iloc[-1]
-        state.update((None if pd.isna(last) else int(last),))
-        for i, name in enumerate(labels):
-            rows[name] = key[i]
-        yield rows[[*labels, "_t", "value", "condition", "_start", "state"]]
-
-    return step
+from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.sliced import hold_for, notification_times
+from .rollups import run_partials
 
-def alert_states(samples: DataFrame, labels: list[str], condition: Column, seconds: int) -> DataFrame:
-    """Streaming form of "fire once the condition has held": one open run per label set as state."""
-    rows = samples.select(
-        *labels, epoch_micros("ts").alias("_t"), "value", F.coalesce(condition, F.lit(False)).alias("condition")
-    )
-    label_fields = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in labels)
-    schema = f"{label_fields}, _t bigint, value double, condition boolean, _start bigint, state string"
-    stated = rows.groupBy(*labels).applyInPandasWithState(
-        _advance(labels, seconds * 1_000_000), schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
-    times = [from_epoch_micros(F.col("_t")).alias("ts"), from_epoch_micros(F.col("_start")).alias("run_start")]
-    return stated.select(*labels, times[0], "value", "condition", times[1], "state")
 
+def run_samples(samples: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Store every micro-batch below ``path``; a replayed batch overwrites its own folder."""
+    return run_partials(samples, lambda batch: batch, path, checkpoint)
 
-def _announce(labels: list[str], repeat_minutes: int):
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        minutes = np.unique(np.concatenate([b["_minute"].to_numpy() for b in batches]))
-        sent = []
-        at = 0 if last is None else np.searchsorted(minutes, last + repeat_minutes)
-        while at < len(minutes):
-            sent.append(int(minutes[at]))
-            at = np.searchsorted(minutes, sent[-1] + repeat_minutes)
-        if sent:
-            state.update((sent[-1],))
-        out = pd.DataFrame({"_sent": pd.Series(sent, dtype="int64")})
-        for i, name in enumerate(labels):
-            out[name] = key[i]
-        yield out[[*labels, "_sent"]]
 
-    return step
+def alert_states(stored: DataFrame, labels: list[str], condition: Column, seconds: int) -> DataFrame:
+    """Inactive, pending, or firing once the condition has held, for every stored sample."""
+    return hold_for(stored.drop("batch"), labels, condition, seconds)
 
 
-def notifications(alerts: DataFrame, labels: list[str], repeat_hours: int = 24) -> DataFrame:
-    """Streaming form of the grouped repeat rule: the first alert of a group, then the
-    first one at least ``repeat_hours`` after the last announcement (to the minute)."""
-    rows = alerts.select(*labels, F.floor(epoch_micros("ts") / MINUTE).cast("bigint").alias("_minute"))
-    label_fields = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in labels)
-    sent = rows.groupBy(*labels).applyInPandasWithState(
-        _announce(labels, repeat_hours * 60),
-        f"{label_fields}, _sent bigint",
-        "last_minute bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-    return sent.select(*labels, from_epoch_micros(F.col("_sent") * MINUTE).alias("notified_at"))
+def notifications(stored: DataFrame, labels: list[str], repeat_hours: int = 24) -> DataFrame:
+    """The first alert of a group, then the first one at least ``repeat_hours`` after the last announcement."""
+    return notification_times(stored, labels, repeat_hours)

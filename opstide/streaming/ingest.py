@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.joins import pair_counts
 from ..operators.parsing import SPACE, header_time, parse_lock_lines, parse_session_lines
 from ..session import scratch_path
-from ..sinks.tables import upsert_latest
-from .rollups import EVENT_TIME, second_counts_stream, timed
+from ..sinks.tables import exists, upsert_latest
 
 
 def session_event_stream(lines: DataFrame) -> DataFrame:
@@ -33,10 +33,31 @@ def observed_lines(lines: DataFrame, name: str = "parse_stats", line: str = "lin
     )
 
 
-def deduplicated(events: DataFrame, line: str = "raw_line", delay: str = "1 hour") -> DataFrame:
-    """Drop lines that were read again within the watermark delay."""
-    hashed = timed(events, delay=delay).withColumn("_line_hash", F.xxhash64(line, EVENT_TIME))
-    return hashed.dropDuplicatesWithinWatermark(["_line_hash", line]).drop("_line_hash", EVENT_TIME)
+def run_deduplicated(
+    lines: DataFrame, parse: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, file: str = "file", line: str = "line"
+) -> StreamingQuery:
+    """Parse every line of a file once, however late it comes again, and append the events below ``path``.
+
+    A line is known by its file and its whole text (256-bit digest, before
+    anything is cut). Digests are stored with the events and looked up in the
+    touched months only. A replayed batch overwrites its own folder.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        named = batch.withColumn("line_digest", F.sha2(F.concat_ws("\x00", file, line), 256))
+        events = parse(named).dropDuplicates(["line_digest"]).withColumn("month", F.date_format("event_date", "yyyy-MM"))
+        if exists(spark, path):
+            stored = spark.read.parquet(path)
+            if "batch" in stored.columns:
+                months = [r["month"] for r in events.select("month").distinct().collect()]
+                known = stored.where(F.col("batch") != batch_id).where(F.col("month").isin(months))
+                events = events.join(known.select("line_digest"), "line_digest", "left_anti")
+        events.write.mode("overwrite").partitionBy("month").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
@@ -71,25 +92,3 @@ def run_upserts(stream: DataFrame, path: str, checkpoint: str, keys: list[str],
         .trigger(availableNow=True)
         .start()
     )
-
-
-def run_conflict_pairs(events: DataFrame, event_type: str, path: str, checkpoint: str) -> StreamingQuery:
-    """Conflicting table pairs per second, written as each second closes.
-
-    Append mode emits all counts of a second in the same micro-batch, so the pair
-    join of a batch is complete.  Joining the raw stream with itself would keep
-    and emit every pair of rows; here only counts meet.  A replayed batch
-    overwrites its own folder.
-    """
-
-    def write_pairs(batch: DataFrame, batch_id: int) -> None:
-        pair_counts(batch, ("second",)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return (
-        second_counts_stream(events, event_type)
-        .writeStream.foreachBatch(write_pairs)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )

@@ -1,120 +1,316 @@
-"""Incremental rollups with Structured Streaming.
+"""Incremental rollups that lose no row: partials per micro-batch, merged when read.
 
-Inputs carry an NTZ event time and watermarks need a zoned one, so the time is
-taken as UTC at the edge and turned back on output; the session time zone has no say.
+Every micro-batch is reduced to partial aggregates and stored in a folder of its
+own, which a replay overwrites. Reading merges the partials of all batches, so
+rows may arrive in any order and however late, and the current hour or day shows
+at once. There is no watermark and no state to grow.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.timeparts import as_instant, col, from_instant, is_weekend, is_work_hour
-from ..operators.rollups import DEADLOCKS, TIMEOUTS, kinds
+from ..functions.numeric import pct_change
+from ..functions.timeparts import calendar_flags, epoch_micros, from_epoch_micros, second_start
+from ..operators.joins import pair_counts
+from ..operators.rollups import DEADLOCKS, HOUR_KEYS, TIMEOUTS, non_empty
 
-EVENT_TIME = "_event_time"
+QUARTER = 15 * 60 * 1_000_000
+Shape = Callable[[DataFrame], DataFrame]
 
 
-def timed(df: DataFrame, ts: str = "event_datetime", delay: str = "10 minutes") -> DataFrame:
-    return df.withColumn(EVENT_TIME, as_instant(ts)).withWatermark(EVENT_TIME, delay)
+@dataclass(frozen=True)
+class View:
+    """Keys and mergeable measures of a rollup; ``sums`` are SQL expressions by name."""
 
+    keys: list[str]
+    sums: dict[str, str] = field(default_factory=dict)
+    highs: list[str] = field(default_factory=list)
+    lows: list[str] = field(default_factory=list)
+    distinct: list[str] = field(default_factory=list)
+    quantiles: list[str] = field(default_factory=list)
 
-def window_start() -> Column:
-    return from_instant(F.col("window.start"))
+    def partial(self, rows: DataFrame) -> DataFrame:
+        """One row per key; distinct counts and quantiles as sketches. ``seen_x`` counts the values of ``x`` that a mean is over."""
+        measured = rows.withColumns({f"_{n}": F.expr(c) for n, c in self.sums.items()})
+        return measured.groupBy(*self.keys).agg(
+            F.count("*").alias("n"),
+            *[F.sum(f"_{n}").alias(n) for n in self.sums],
+            *[F.count(f"_{n}").alias(f"seen_{n}") for n in self.sums],
+            *[F.max(c).alias(f"high_{c}") for c in self.highs],
+            *[F.min(c).alias(f"low_{c}") for c in self.lows],
+            *[F.hll_sketch_agg(F.col(c).cast("string")).alias(f"hll_{c}") for c in self.distinct],
+            *[F.kll_sketch_agg_bigint(F.col(c).cast("long")).alias(f"kll_{c}") for c in self.quantiles],
+        )
 
+    def merged(self, partials: DataFrame, keys: list[str] | None = None) -> DataFrame:
+        """Partials of any number of batches added up, by fewer keys if wanted."""
+        sums = ["n", *self.sums, *[f"seen_{n}" for n in self.sums]]
+        return partials.groupBy(*(self.keys if keys is None else keys)).agg(
+            *[F.sum(c).alias(c) for c in sums],
+            *[F.max(f"high_{c}").alias(f"high_{c}") for c in self.highs],
+            *[F.min(f"low_{c}").alias(f"low_{c}") for c in self.lows],
+            *[F.hll_union_agg(f"hll_{c}").alias(f"hll_{c}") for c in self.distinct],
+            *[F.kll_merge_agg_bigint(f"kll_{c}").alias(f"kll_{c}") for c in self.quantiles],
+        )
 
-def _hour_columns(df: DataFrame) -> DataFrame:
-    start = window_start()
-    return df.withColumns({"event_date": F.to_date(start), "event_hour": F.hour(start)}).drop("window")
 
+def mean(name: str) -> Column:
+    return F.try_divide(F.col(name), F.col(f"seen_{name}"))
 
-def session_hourly_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Hourly session rollup; an hour is emitted once the watermark has passed it.
 
-    Distinct counts are sketches because exact ones need unbounded state.
-    """
-    hourly = (
-        timed(events, delay=delay)
-        .groupBy(F.window(EVENT_TIME, "1 hour"))
-        .agg(
-            F.count("*").alias("total_sessions"),
-            F.approx_count_distinct("user_name").alias("approx_users"),
-            F.approx_count_distinct("computer_name").alias("approx_computers"),
-            F.avg("duration").alias("avg_duration"),
-            F.percentile_approx("duration", 0.95).alias("approx_p95_duration"),
-            F.max("duration").alias("max_duration"),
-            F.sum("is_deadlock").alias("deadlock_count"),
-            F.sum("is_exception").alias("exception_count"),
-            F.sum("is_timeout").alias("timeout_count"),
-        )
+def estimate(name: str) -> Column:
+    return F.hll_sketch_estimate(f"hll_{name}")
+
+
+def p95(name: str) -> Column:
+    return F.kll_sketch_get_quantile_bigint(f"kll_{name}", F.lit(0.95))
+
+
+KINDS = {name: f"cast(event_type = '{kind}' as bigint)" for name, kind in (DEADLOCKS, TIMEOUTS)}
+WAITS = {"wait": "lock_wait_time", "held": "lock_time"}
+
+SESSION_HOUR = View(
+    HOUR_KEYS,
+    {"duration_sum": "duration", "wait": "lock_wait_time", "deadlocks": "is_deadlock", "exceptions": "is_exception", "timeouts": "is_timeout"},
+    highs=["duration"],
+    distinct=["user_name", "computer_name"],
+    quantiles=["duration"],
+)
+#: Kept per table, because the hour's table count and leading table need it.
+LOCK_HOUR = View(
+    [*HOUR_KEYS, "table_name"],
+    KINDS | WAITS,
+    highs=["lock_wait_time", "lock_time"],
+    lows=["lock_wait_time"],
+    distinct=["session_id", "transaction_id", "user_name"],
+    quantiles=["lock_wait_time"],
+)
+LOCK_TABLE_DAY = View(
+    ["event_date", "table_name"],
+    KINDS | WAITS,
+    highs=["lock_wait_time", "lock_time"],
+    distinct=["session_id", "transaction_id", "user_name"],
+    quantiles=["lock_wait_time"],
+)
+LOCK_USER_DAY = View(
+    ["event_date", "user_name"], KINDS | WAITS, highs=["lock_wait_time"], distinct=["table_name", "session_id"]
+)
+TECHLOG_HOUR = View(
+    ["event_date", "hour"],
+    {
+        "duration_sum": "duration",
+        "waited": "wait_time",
+        "locked": "lock_time",
+        "locks": "cast(lock_time > 0 as bigint)",
+        "errors": "cast(contains(raw_line, 'Exception') as bigint)",
+    },
+    highs=["duration"],
+    distinct=["session", "user_name", "computer"],
+    quantiles=["duration"],
+)
+LOCK_QUARTER = View(["quarter"], KINDS | WAITS, highs=["lock_wait_time"], distinct=["session_id", "table_name"])
+SESSION_QUARTER = View(
+    ["quarter"],
+    {"duration_sum": "duration", "deadlocks": "is_deadlock", "exceptions": "is_exception", "timeouts": "is_timeout"},
+    distinct=["user_name"],
+)
+SECOND = View(["second", "session_id", "table_name"])
+
+
+# -------------------------------------------------------------------- storing
+def run_partials(stream: DataFrame, shape: Shape, path: str, checkpoint: str) -> StreamingQuery:
+    """Store ``shape`` of every micro-batch below ``path``; a replayed batch overwrites its own folder."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        shape(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    return _hour_columns(hourly)
-
-
-def lock_hourly_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    hourly = (
-        timed(events, delay=delay)
-        .groupBy(F.window(EVENT_TIME, "1 hour"))
-        .agg(
-            F.count("*").alias("total_lock_events"),
-            *kinds(("total_deadlocks", "DEADLOCK"), ("total_timeouts", "TTIMEOUT")),
-            F.avg("lock_wait_time").alias("avg_lock_wait_time"),
-            F.max("lock_wait_time").alias("max_lock_wait_time"),
-            F.min("lock_wait_time").alias("min_lock_wait_time"),
-            F.approx_count_distinct("session_id").alias("approx_sessions"),
+
+
+def session_hour_partials(events: DataFrame) -> DataFrame:
+    return SESSION_HOUR.partial(events)
+
+
+def lock_hour_partials(events: DataFrame) -> DataFrame:
+    return LOCK_HOUR.partial(events)
+
+
+def lock_table_day_partials(events: DataFrame) -> DataFrame:
+    return LOCK_TABLE_DAY.partial(non_empty(events, "table_name"))
+
+
+def lock_user_day_partials(events: DataFrame) -> DataFrame:
+    return LOCK_USER_DAY.partial(non_empty(events, "user_name"))
+
+
+def techlog_hour_partials(events: DataFrame) -> DataFrame:
+    return TECHLOG_HOUR.partial(events)
+
+
+def _quartered(events: DataFrame) -> DataFrame:
+    return events.withColumn("quarter", F.floor(epoch_micros("event_datetime") / QUARTER).cast("long"))
+
+
+def lock_quarter_partials(events: DataFrame) -> DataFrame:
+    return LOCK_QUARTER.partial(_quartered(events))
+
+
+def session_quarter_partials(events: DataFrame) -> DataFrame:
+    return SESSION_QUARTER.partial(_quartered(events))
+
+
+def second_partials(event_type: str) -> Shape:
+    """Events per (second, session, table)."""
+
+    def shape(events: DataFrame) -> DataFrame:
+        rows = events.filter(F.col("event_type") == event_type)
+        return SECOND.partial(rows.withColumn("second", second_start("event_datetime")))
+
+    return shape
+
+
+# -------------------------------------------------------------------- reading
+def session_hourly(partials: DataFrame) -> DataFrame:
+    rows = SESSION_HOUR.merged(partials)
+    return calendar_flags(
+        rows.select(
+            *HOUR_KEYS,
+            F.col("n").alias("total_sessions"),
+            estimate("user_name").alias("approx_users"),
+            estimate("computer_name").alias("approx_computers"),
+            mean("duration_sum").alias("avg_duration"),
+            p95("duration").alias("approx_p95_duration"),
+            F.col("high_duration").alias("max_duration"),
+            mean("wait").alias("avg_lock_wait_time"),
+            F.col("wait").alias("total_lock_wait_time"),
+            F.col("deadlocks").alias("deadlock_count"),
+            F.col("exceptions").alias("exception_count"),
+            F.col("timeouts").alias("timeout_count"),
         )
     )
-    flagged = _hour_columns(hourly)
-    return flagged.withColumns({"is_weekend": is_weekend("event_date"), "is_work_hour": is_work_hour("event_hour")})
-
-
-def lock_table_daily_stream(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    daily = (
-        timed(events.filter(col("table_name") != ""), delay=delay)
-        .groupBy(F.window(EVENT_TIME, "1 day"), "table_name")
-        .agg(
-            F.count("*").alias("lock_count"),
-            *kinds(("deadlock_count", "DEADLOCK"), ("timeout_count", "TTIMEOUT")),
-            F.max("lock_wait_time").alias("max_lock_wait_time"),
-        )
+
+
+def lock_hourly(partials: DataFrame) -> DataFrame:
+    per_table = LOCK_HOUR.merged(partials, [*HOUR_KEYS, "table_name"])
+    named = F.when(F.col("table_name") != "", F.struct("n", "table_name"))
+    tables = per_table.groupBy(*HOUR_KEYS).agg(
+        F.count("table_name").alias("unique_tables"), F.coalesce(F.max(named)["table_name"], F.lit("")).alias("top_table")
     )
-    return daily.withColumn("event_date", F.to_date(window_start())).drop("window")
-
-
-def rolling_last_hour(events: DataFrame, slide: str = "15 minutes", delay: str = "10 minutes") -> DataFrame:
-    """Lock statistics of the last hour, renewed every ``slide``."""
-    stats = (
-        timed(events, delay=delay)
-        .groupBy(F.window(EVENT_TIME, "1 hour", slide))
-        .agg(
-            F.count("*").alias("total_locks"),
-            *kinds(DEADLOCKS, TIMEOUTS),
-            (F.avg("lock_wait_time") / 1000).alias("avg_wait_ms"),
-            (F.max("lock_wait_time") / 1000).alias("max_wait_ms"),
+    rows = LOCK_HOUR.merged(partials, HOUR_KEYS).join(tables, HOUR_KEYS)
+    return calendar_flags(
+        rows.select(
+            *HOUR_KEYS,
+            F.col("n").alias("total_lock_events"),
+            F.col("deadlocks").alias("total_deadlocks"),
+            F.col("timeouts").alias("total_timeouts"),
+            mean("wait").alias("avg_lock_wait_time"),
+            F.col("high_lock_wait_time").alias("max_lock_wait_time"),
+            F.col("low_lock_wait_time").alias("min_lock_wait_time"),
+            p95("lock_wait_time").alias("approx_p95_lock_wait_time"),
+            mean("held").alias("avg_lock_time"),
+            F.col("high_lock_time").alias("max_lock_time"),
+            "unique_tables",
+            "top_table",
+            *[estimate(c).alias(f"approx_{a}") for c, a in (("session_id", "sessions"), ("transaction_id", "transactions"), ("user_name", "users"))],
+            (F.col("n") / 60).alias("lock_intensity"),
+            F.col("deadlocks").cast("double").alias("deadlock_rate"),
         )
     )
-    return stats.withColumn("as_of", from_instant(F.col("window.end"))).drop("window")
-
-
-def rolling_sessions(events: DataFrame, slide: str = "15 minutes", delay: str = "10 minutes") -> DataFrame:
-    """Session statistics of the last hour, renewed every ``slide``."""
-    stats = (
-        timed(events, delay=delay)
-        .groupBy(F.window(EVENT_TIME, "1 hour", slide))
-        .agg(
-            F.count("*").alias("sessions"),
-            F.approx_count_distinct("user_name").alias("approx_users"),
-            F.avg("duration").alias("avg_duration"),
-            F.sum("is_deadlock").alias("deadlocks"),
-            F.sum("is_exception").alias("exceptions"),
-            F.sum("is_timeout").alias("timeouts"),
-        )
+
+
+def lock_table_daily(partials: DataFrame) -> DataFrame:
+    by_day = Window.partitionBy("table_name").orderBy("event_date")
+    rows = LOCK_TABLE_DAY.merged(partials).select(
+        "event_date",
+        "table_name",
+        F.col("n").alias("lock_count"),
+        F.col("deadlocks").alias("deadlock_count"),
+        F.col("timeouts").alias("timeout_count"),
+        mean("wait").alias("avg_lock_wait_time"),
+        F.col("high_lock_wait_time").alias("max_lock_wait_time"),
+        p95("lock_wait_time").alias("approx_p95_lock_wait_time"),
+        mean("held").alias("avg_lock_time"),
+        F.col("high_lock_time").alias("max_lock_time"),
+        *[estimate(c).alias(f"approx_{a}") for c, a in (("session_id", "sessions"), ("transaction_id", "transactions"), ("user_name", "users"))],
+    )
+    growth = pct_change(F.lag("lock_count").over(by_day), "lock_count")
+    return rows.withColumn("growth_rate", F.coalesce(growth, F.lit(0.0)))
+
+
+def lock_user_daily(partials: DataFrame) -> DataFrame:
+    return LOCK_USER_DAY.merged(partials).select(
+        "event_date",
+        "user_name",
+        F.col("n").alias("lock_count"),
+        F.col("deadlocks").alias("deadlock_count"),
+        F.col("timeouts").alias("timeout_count"),
+        mean("wait").alias("avg_lock_wait_time"),
+        F.col("high_lock_wait_time").alias("max_lock_wait_time"),
+        estimate("table_name").alias("approx_tables"),
+        estimate("session_id").alias("approx_sessions"),
+    )
+
+
+def techlog_hourly(partials: DataFrame) -> DataFrame:
+    return TECHLOG_HOUR.merged(partials).select(
+        "event_date",
+        "hour",
+        F.col("n").alias("total_queries"),
+        mean("duration_sum").alias("avg_duration"),
+        F.col("high_duration").alias("max_duration"),
+        p95("duration").alias("approx_p95_duration"),
+        F.col("waited").alias("total_wait_time"),
+        mean("waited").alias("avg_wait_time"),
+        F.col("locked").alias("total_lock_time"),
+        mean("locked").alias("avg_lock_time"),
+        F.coalesce("locks", F.lit(0)).alias("lock_count"),
+        F.coalesce("errors", F.lit(0)).alias("errors"),
+        *[estimate(c).alias(f"approx_{a}") for c, a in (("session", "sessions"), ("user_name", "users"), ("computer", "computers"))],
+    )
+
+
+def _rolling(view: View, partials: DataFrame) -> DataFrame:
+    """Merged statistics of each hour that ends on a quarter; a quarter counts for the four hours it is in."""
+    ends = F.explode(F.sequence(F.col("quarter") + 1, F.col("quarter") + 4))
+    rows = view.merged(partials.withColumn("_end", ends), ["_end"])
+    return rows.withColumn("as_of", from_epoch_micros(F.col("_end") * QUARTER))
+
+
+def rolling_last_hour(partials: DataFrame) -> DataFrame:
+    """Lock statistics of the last hour, renewed every 15 minutes."""
+    return _rolling(LOCK_QUARTER, partials).select(
+        "as_of",
+        F.col("n").alias("total_locks"),
+        "deadlocks",
+        "timeouts",
+        (mean("wait") / 1000).alias("avg_wait_ms"),
+        (F.col("high_lock_wait_time") / 1000).alias("max_wait_ms"),
+        estimate("table_name").alias("approx_tables"),
+        estimate("session_id").alias("approx_sessions"),
+    )
+
+
+def rolling_sessions(partials: DataFrame) -> DataFrame:
+    """Session statistics of the last hour, renewed every 15 minutes."""
+    return _rolling(SESSION_QUARTER, partials).select(
+        "as_of",
+        F.col("n").alias("sessions"),
+        estimate("user_name").alias("approx_users"),
+        mean("duration_sum").alias("avg_duration"),
+        "deadlocks",
+        "exceptions",
+        "timeouts",
     )
-    return stats.withColumn("as_of", from_instant(F.col("window.end"))).drop("window")
 
 
-def second_counts_stream(events: DataFrame, event_type: str, delay: str = "10 minutes") -> DataFrame:
-    """Events per (second, session, table); a second is emitted once, complete, after the watermark."""
-    rows = timed(events.filter(F.col("event_type") == event_type), delay=delay)
-    counts = rows.groupBy(F.window(EVENT_TIME, "1 second"), "session_id", "table_name").agg(F.count("*").alias("n"))
-    return counts.withColumn("second", window_start()).drop("window")
+def conflict_pairs(partials: DataFrame) -> DataFrame:
+    """Conflicting table pairs per second, from the counts of all batches."""
+    return pair_counts(SECOND.merged(partials), ("second",))

@@ -6,8 +6,8 @@ from conftest import DATA
 
 import __spark_entry__ as entry
 
-# Slow model fits, exercised on their own in test_models.py and by tools/check.py.
-SLOW = {"m23_train_duration_rf", "m34_score_candidates", "m22_train_error_svm", "m18_model_verdict"}
+# Reports that may be empty by their meaning: no alarms, no breaches, no trend on the smallest data.
+MAY_BE_EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -22,10 +22,10 @@ def test_every_check_belongs_to_a_query():
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
 def test_matches_sql(spark, con, key):
     status, detail = compare(entry.queries()[key](spark, DATA), con, entry.oracle_sql()[key])
-    assert status in ("ok", "EMPTY"), detail
+    assert status == "ok" or (status == "EMPTY" and key in MAY_BE_EMPTY), detail
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("key", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_yields_rows(spark, key):
     assert entry.queries()[key](spark, DATA).count() > 0
 
