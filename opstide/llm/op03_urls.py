@@ -25,6 +25,8 @@ START = "\u0002"
 SYMBOLS = 256
 #: One of so many labelled URLs, by hash, is kept from the counts and sets the threshold.
 HELD = 4
+#: Parts that a window's rows are dealt to: all URLs share their first windows.
+SALT = 32
 #: Steps of score, per character, at which the threshold is sought.
 STEP = 0.01
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -116,7 +118,9 @@ class UrlModel:
         """(page_key, score): log-likelihood difference per character; empty URLs have no row."""
         spread = materialise(windows(urls.select("page_key", "url"), self.order), "url-windows")
         gains = window_scores(spread.select("window").distinct(), self.grams, self.contexts, self.order)
-        return spread.join(gains, "window").groupBy("page_key").agg(F.avg("gain").alias("score"))
+        gains = gains.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        spread = spread.withColumn("salt", F.pmod(F.xxhash64("page_key"), F.lit(SALT)).cast("int"))
+        return spread.join(gains, ["window", "salt"]).groupBy("page_key").agg(F.avg("gain").alias("score"))
 
 
 def fit(labelled: DataFrame, order: int = ORDER) -> UrlModel:

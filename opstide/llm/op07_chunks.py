@@ -171,15 +171,29 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _results(rows, following)
 
 
+def _buckets(edges: np.ndarray, doc_id: pa.Array) -> np.ndarray:
+    """Number of edges at or below each doc_id; rows without one have a last bucket of their own."""
+    own = np.searchsorted(edges, doc_id.fill_null(0).to_numpy(), "right").astype(np.int32)
+    own[doc_id.is_null().to_numpy(zero_copy_only=False)] = len(edges) + 1
+    return own
+
+
+def _number(edges: np.ndarray):
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = _buckets(edges, batch.column("doc_id"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], [*batch.schema.names, "bucket"])
+
+    return job
+
+
 def _deal(edges: np.ndarray, firsts: dict[tuple, int]):
     """Bucket of each row; a bucket's first row is also dealt to the bucket before, as a guest."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id = batch.column("doc_id")
-            missing = doc_id.is_null().to_numpy(zero_copy_only=False)
-            own = np.searchsorted(edges, doc_id.fill_null(0).to_numpy(), "right").astype(np.int32)
-            own[missing] = len(edges) + 1
+            own = _buckets(edges, doc_id)
             names = [*batch.schema.names, "bucket", "guest"]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own), pa.array(np.zeros(len(own), bool))], names)
             keys = zip(doc_id.to_pylist(), batch.column("digest").to_pylist())
@@ -212,19 +226,11 @@ def chunk_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFrame
     shares = [i / buckets for i in range(1, buckets)]
     edges = sorted({int(x) for x in rows.select("doc_id").approxQuantile("doc_id", shares, 0.25 / buckets)}) if shares else []
     edges = np.array(edges, np.int64)
-    own = _native_bucket(edges)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
-    low = rows.select(own.alias("bucket"), order.alias("k")).groupBy("bucket").agg(F.min("k").alias("k")).orderBy("bucket").collect()
+    numbered = rows.select("doc_id", "digest").mapInArrow(_number(edges), "doc_id long, digest long, bucket int")
+    low = numbered.select("bucket", order.alias("k")).groupBy("bucket").agg(F.min("k").alias("k")).orderBy("bucket").collect()
     named = [((r["k"]["doc_id"], r["k"]["digest"]), r["bucket"]) for r in low]
     firsts = {key: named[i - 1][1] for i, (key, _) in enumerate(named)}
     dealt = rows.mapInArrow(_deal(edges, firsts), "doc_id long, digest long, text string, bucket int, guest boolean")
     ordered = dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", F.col("doc_id").asc_nulls_last(), "digest")
     return ordered.select("bucket", "guest", "doc_id", "text").mapInArrow(_stream, SCHEMA)
-
-
-def _native_bucket(edges: np.ndarray):
-    """Number of edges at or below doc_id, by halving; rows without doc_id get a bucket of their own."""
-    table = F.array(*[F.lit(int(e)) for e in edges]) if len(edges) else F.array().cast("array<long>")
-    return F.when(F.col("doc_id").isNull(), len(edges) + 1).otherwise(
-        F.size(F.filter(table, lambda e: e <= F.col("doc_id")))
-    )
