@@ -30,13 +30,14 @@ CLASSES = [
     (r"^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
 ]
 #: Candidates that are not secrets: without a digit or without a letter, unique ids, dates, paths, separators, samples.
+#: Repeated groups are possessive: what follows them cannot take a part back, and they match without recursion.
 ALLOWED = [
     r"^[^0-9]*$",
     r"^[^A-Za-z]*$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    r"^/?([A-Za-z]+[0-9]{0,3}/)+[A-Za-z0-9_-]*$",
-    r"^[A-Za-z]+([_-][A-Za-z]+)+[_-]?[0-9]{0,4}$",
+    r"^/?([A-Za-z]+[0-9]{0,3}/)++[A-Za-z0-9_-]*$",
+    r"^[A-Za-z]+([_-][A-Za-z]+)++[_-]?[0-9]{0,4}$",
     r"(?i)example|sample|placeholder|xxxxx|test_?key",
 ]
 SPAN = "array<struct<start:bigint,end:bigint,text:string>>"
