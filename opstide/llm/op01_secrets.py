@@ -40,23 +40,51 @@ ALLOWED = [
     r"^[A-Za-z]+([_-][A-Za-z]+)++[_-]?[0-9]{0,4}$",
     r"(?i)example|sample|placeholder|xxxxx|test_?key",
 ]
+#: Values of a block of running sums, and characters that a long text is cut into.
+BLOCK, CUT = 128, 1024
 SPAN = "array<struct<start:bigint,end:bigint,text:string>>"
 
 
-def _spans(text: Column, pattern: str, group: int | None = None) -> Column:
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(values: Column, op) -> Column:
+    """``op`` over all values before each one, from 0. Works block by block, so cost grows with the number of values, not its square."""
+    zero = F.lit(0).cast("bigint")
+
+    def over(block: Column, base: Column) -> Column:
+        return F.aggregate(block, F.array(base), lambda a, v: F.concat(a, F.array(op(F.element_at(a, -1), v))))
+
+    def blocked(own: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), (F.size(own) / BLOCK).cast("int")), lambda n: F.slice(own, n * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(blocks: Column) -> Column:
+        bases = over(F.transform(blocks, lambda block: F.aggregate(block, zero, op)), zero)
+        whole = F.zip_with(blocks, F.slice(bases, F.lit(1), F.size(blocks)), lambda block, base: F.slice(over(block, base), F.lit(1), F.size(block)))
+        return F.flatten(whole)
+
+    return _let(values, lambda own: _let(blocked(own), joined))
+
+
+def _spans(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches with code point offsets: lengths of the pieces between matches and of the matches, summed up."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.split(text, pattern, -1)
-    named = F.zip_with(parts, found, lambda p, m: F.struct(F.char_length(p).cast("bigint").alias("gap"), m.alias("text")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        begin = a["at"] + x["gap"]
-        end = begin + F.coalesce(F.char_length(x["text"]), F.lit(0)).cast("bigint")
-        span = F.struct(begin.alias("start"), end.alias("end"), x["text"].alias("text"))
-        return F.struct(end.alias("at"), F.when(x["text"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(span))).alias("out"))
+    pieces = F.zip_with(F.split(text, pattern, -1), found, lambda p, m: F.struct(F.char_length(p).cast("bigint").alias("gap"), m.alias("text")))
+
+    def placed(own: Column) -> Column:
+        sizes = F.transform(own, lambda x: x["gap"] + F.coalesce(F.char_length(x["text"]), F.lit(0)))
+        spans = F.zip_with(
+            own,
+            _running(sizes, lambda a, n: a + n),
+            lambda x, at: F.struct(
+                (at + x["gap"]).alias("start"), (at + x["gap"] + F.char_length(x["text"])).alias("end"), x["text"].alias("text")
+            ),
+        )
+        return F.slice(spans, F.lit(1), F.size(own) - 1)  # after the last match there is a piece only
 
-    return F.when(F.size(found) > 0, F.aggregate(named, start, step, lambda a: a["out"])).otherwise(F.array().cast(SPAN))
+    return F.when(F.size(found) > 0, _let(pieces, placed)).otherwise(F.array().cast(SPAN))
 
 
 def _entropy(string: Column, symbols: str) -> Column:
@@ -164,16 +192,20 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     rows = docs.select("*", *[c.alias(n) for c, n in zip(_kind_columns(text), names)])
     bare = [F.transform(n, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for n in names]
     rows = rows.withColumn("__spans", F.array_sort(F.concat(*bare))).drop(*names)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+    cut = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
 
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
-        fresh = F.when((s["start"] < a["at"]) & (a["at"] > 0), F.lit("")).otherwise(F.lit(mark))
-        return F.struct(F.concat(a["out"], gap, fresh).alias("out"), F.greatest(a["at"], s["end"]).alias("at"))
+    def part(cuts: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / CUT).cast("int")
+        own = F.array_join(F.slice(cuts, first + 1, F.floor((b - 1) / CUT).cast("int") - first + 1), "")
+        return F.when(b > a, F.substring(own, (a % CUT + 1).cast("int"), (b - a).cast("int"))).otherwise("")
 
-    whole = F.aggregate(
-        "__spans", start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.char_length("text")))
-    )
+    def marked(cuts: Column) -> Column:
+        reached = _running(F.transform("__spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        pieces = F.zip_with("__spans", reached, lambda s, at: F.concat(part(cuts, at, s["start"]), F.when(s["start"] < at, "").otherwise(mark)))
+        last = F.array_max(F.transform("__spans", lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), part(cuts, last, F.char_length("text").cast("bigint")))
+
+    whole = _let(cut, marked)
     rows = rows.withColumn("text", F.when(F.size("__spans") > 0, whole).otherwise(F.col("text"))).drop("__spans")
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))

@@ -86,6 +86,31 @@ def test_redaction(spark, odd_docs, no_docs):
     assert secrets.redact_secrets(no_docs).count() == 0 and secrets.secret_report(no_docs).count() == 0
 
 
+def plain_redaction(text):
+    out, at = "", 0
+    for a, b in sorted((int(x.split(":")[1]), int(x.split(":")[2])) for x in plain_report(text)[5].split(",") if x):
+        out += text[at:a] + ("" if a < at else "[SECRET]")
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_long_candidates_and_many_secrets(spark):
+    """Strings of very many parts, and texts of very many secrets, across the blocks that offsets and texts are cut into."""
+    texts = [
+        "x1 " + "-".join(["ab"] * 50_000) + "-12",
+        "/".join(["ab1"] * 50_000),
+        "é ".join(f"{i * 7919**9:040x}" for i in range(1000)),
+        *(" ".join(f"{i * 7919**9:020x}" for i in range(n)) for n in (127, 128, 129, 256)),
+        "中é " * 700 + " token=" + "ab12" * 600 + " z" * 1500,
+        *SECRETS,
+    ]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in secrets.secret_report(table).collect()}
+    assert got == {i: plain_report(t) for i, t in enumerate(texts)}
+    got = {r["doc_id"]: r["text"] for r in secrets.redact_secrets(table).collect()}
+    assert got == {i: plain_redaction(t) for i, t in enumerate(texts)}
+
+
 def plain_repeats(rows, min_words=5):
     first, out = {}, []
     units = []
