@@ -158,42 +158,25 @@ def _run_links(keys: np.ndarray, prints: np.ndarray, run: int) -> tuple[np.ndarr
 
 
 def _links(run: int):
-    """Over rows sorted by key: pairs of small runs; members of runs longer than ``run`` as (print, null)."""
+    """Over rows sorted by key, at most ``run`` of a key: verified pairs."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)], ["a", "b"])
+        def out(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in _run_links(keys, prints, run)], ["a", "b"])
 
         keys = prints = np.empty(0, np.int64)
-        hot = -1  # key whose run has outgrown the limit
         for batch in batches:
             keys = np.concatenate([keys, batch.column("key").to_numpy()])
             prints = np.concatenate([prints, batch.column("print").to_numpy()])
             # the last run may go on in the next batch
-            last = int(np.searchsorted(keys, keys[-1], "left"))
-            head_k, head_p, keys, prints = keys[:last], prints[:last], keys[last:], prints[last:]
-            yield from emit(head_k, head_p, hot, out, run)
-            if len(keys) > run or keys[0] == hot:
-                hot = int(keys[0])
-                yield out(prints, None)
-                keys, prints = keys[:0], prints[:0]
-        yield from emit(keys, prints, hot, out, run)
+            last = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) else 0
+            yield out(keys[:last], prints[:last])
+            keys, prints = keys[last:], prints[last:]
+        yield out(keys, prints)
 
     return job
 
 
-def emit(keys: np.ndarray, prints: np.ndarray, hot: int, out, run: int) -> Iterator[pa.RecordBatch]:
-    if not len(keys):
-        return
-    values, counts = np.unique(keys, return_counts=True)
-    big = np.repeat((counts > run) | (values == hot), counts)
-    if big.any():
-        yield out(prints[big], None)
-    a, b = _run_links(keys[~big], prints[~big], run)
-    if len(a):
-        yield out(a, b)
-
-
 def _ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     one = [1 << b for b in range(64)]
     masks = np.array([0, *one, *(x | y for x, y in combinations(one, 2))], np.uint64)
@@ -221,14 +204,15 @@ def near_links(prints: DataFrame, run: int = RUN) -> DataFrame:
     """(a, b): links between distinct fingerprints that connect all pairs within four bits.
 
     ``prints`` has distinct ``print`` values. Keys with up to ``run`` members
-    give every verified pair. Members of larger keys are streamed out instead
-    of compared and linked by ``ball_links``, which is exact.
+    give every verified pair. Members of larger keys never meet in a task:
+    keys are counted first, and the members of crowded ones are linked by
+    ``ball_links``, which is exact.
     """
     keyed = prints.mapInArrow(_keys, "key long, print long")
-    found = keyed.repartition("key").sortWithinPartitions("key", "print").mapInArrow(_links(run), "a long, b long")
-    found = materialise(found, "near-links")
-    pairs = found.where("b is not null").distinct()
-    crowd = found.where("b is null").select(F.col("a").alias("print")).distinct()
+    crowded = materialise(keyed.groupBy("key").count().where(F.col("count") > run).select("key"), "crowded-keys")
+    crowd = keyed.join(crowded, "key", "left_semi").select("print").distinct()
+    rest = keyed.join(crowded, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    pairs = rest.mapInArrow(_links(run), "a long, b long").distinct()
     return pairs.unionByName(ball_links(crowd))
 
 
