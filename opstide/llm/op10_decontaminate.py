@@ -20,6 +20,8 @@ EDIT_RATE = 0.07
 BLOCK_CHARS = 2_000_000
 #: Normalised characters of one document that are searched at once.
 WINDOW = 1 << 21
+#: Text bytes that a task searches at once; the arrays made of them are some fifty times as large.
+SEARCH_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 20
 ITEM_COLUMNS = "doc_id long, digest long, item_id long, start long, end long, edits int, budget int"
@@ -187,7 +189,7 @@ def _search(bench: Benchmark):
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         normal = Normaliser()
         reach = int((bench.size + 2 * bench.budget).max(initial=0)) + 1
-        for batch in slices(batches, limit=2 << 20):
+        for batch in slices(batches, limit=SEARCH_BYTES):
             raw, offsets = bytes_of(batch.column("text"))
             points = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
             starts = np.append(0, np.cumsum((raw & 0xC0) != 0x80))[offsets]  # code points before each text
