@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,17 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             begin, base = end, int(ends[end - 1])
 
 
+def rows_and_texts(batches: Iterator[pa.RecordBatch], names: list[str], limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of whole rows, each with its texts (null: empty); the text travels to the task once, in its own column."""
+    at = [n.lower() for n in names].index("text")
+    for batch in batches:
+        texts = pc.fill_null(batch.column(at).cast(pa.string()), "")
+        begin = 0
+        for part in slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), limit=limit):
+            yield batch.slice(begin, part.num_rows), part.column("text")
+            begin += part.num_rows
+
+
 def offsets_of(array: pa.Array) -> np.ndarray:
     """Offsets of a string array into its data buffer."""
     wide = pa.types.is_large_string(array.type) or pa.types.is_large_binary(array.type)

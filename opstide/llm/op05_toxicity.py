@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import binary_array, bytes_of, documents_of, slices
+from .common import binary_array, bytes_of, documents_of, rows_and_texts, slices
 
 #: Terms that are in the lexicon before anything is learned.
 SEED_TERMS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
@@ -292,8 +292,8 @@ def toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD
 def _keep(model: ToxicityModel, threshold: float, names: list[str]):
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = LexiconTrie(model.terms)
-        for batch in slices(batches, "__text"):
-            score, _ = scores(model, trie, batch.column("__text"))
+        for batch, texts in rows_and_texts(batches, names):
+            score, _ = scores(model, trie, texts)
             kept = batch.filter(pa.array(score < threshold))
             yield pa.RecordBatch.from_arrays([kept.column(c) for c in range(len(names))], names)
 
@@ -302,5 +302,4 @@ def _keep(model: ToxicityModel, threshold: float, names: list[str]):
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; all columns stay as they are."""
-    marked = docs.withColumn("__text", F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return marked.mapInArrow(_keep(model, threshold, docs.columns), docs.schema)
+    return docs.mapInArrow(_keep(model, threshold, docs.columns), docs.schema)

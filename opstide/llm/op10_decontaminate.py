@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, digest, documents_of, slices
+from .common import bytes_of, digest, documents_of, rows_and_texts, slices
 
 #: Length of the shared character q-grams.
 Q = 12
@@ -19,7 +19,7 @@ EDIT_RATE = 0.07
 #: Benchmark characters that are held and sent to the tasks at once; larger benchmarks are searched in blocks.
 BLOCK_CHARS = 2_000_000
 #: Normalised characters of one document that are searched at once.
-WINDOW = 1 << 21
+WINDOW = 1 << 18
 #: Text bytes that a task searches at once; the arrays made of them are some fifty times as large.
 SEARCH_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -269,9 +269,9 @@ def _flag(benches: list[Benchmark], names: list[str]):
     """Rows of documents without any benchmark item, batch by batch."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
+        for batch, texts in rows_and_texts(batches, names):
             view = pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(batch.num_rows)), pa.nulls(batch.num_rows, pa.int64()), batch.column("__text")], ["doc_id", "digest", "text"]
+                [pa.array(np.arange(batch.num_rows)), pa.nulls(batch.num_rows, pa.int64()), texts], ["doc_id", "digest", "text"]
             )
             clean = np.ones(batch.num_rows, bool)
             for bench in benches:
@@ -291,6 +291,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: f
     """
     fields = docs.schema
     for bench in _blocks(benchmark, q, rate, block_chars):
-        marked = docs.withColumn("__text", F.coalesce(docs["text"].cast("string"), F.lit("")))
-        docs = marked.mapInArrow(_flag([bench], fields.names), fields)
+        docs = docs.mapInArrow(_flag([bench], fields.names), fields)
     return docs
