@@ -7,15 +7,28 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python task works on at once.
 SLICE_BYTES = 4 << 20
+#: Bytes of rows that Spark hands to a Python task at once, where the session names no other number.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by bytes: ten thousand long texts take much memory in the JVM and in Python.
+
+    A number that the session already names stays.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def documents_of(docs: DataFrame) -> DataFrame:
     """``doc_id`` (long) and ``text`` (null: empty); other columns, whatever their names, are left behind."""
+    small_batches(docs.sparkSession)
     return docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
@@ -38,6 +51,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(begin + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(begin, end - begin)
             begin, base = end, int(ends[end - 1])
+        pa.default_memory_pool().release_unused()  # worker processes are used again by later tasks
 
 
 def rows_and_texts(batches: Iterator[pa.RecordBatch], names: list[str], limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import binary_array, bytes_of, documents_of, rows_and_texts, slices
+from .common import binary_array, bytes_of, documents_of, rows_and_texts, slices, small_batches
 
 #: Terms that are in the lexicon before anything is learned.
 SEED_TERMS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
@@ -37,6 +37,8 @@ PRIOR_ROWS = 2.0
 #: How many documents a misspelling of one term must outweigh what misspellings say in general.
 POOLED_ROWS = 10.0
 LONGEST = 24
+#: Text bytes whose words a task holds as Python objects at once; they take some hundred bytes a word.
+WORD_BYTES = 1 << 20
 
 
 # ------------------------------------------------------- trie and automaton
@@ -181,7 +183,7 @@ def _leaning(n1: int, n: int, belief: float, rows: float = PRIOR_ROWS) -> float:
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words with their neighbours' digest, once per text."""
-    for batch in slices(batches):
+    for batch in slices(batches, limit=WORD_BYTES):
         words, marks, toxic = [], [], []
         for text, flag in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             own = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.lower())
@@ -302,4 +304,5 @@ def _keep(model: ToxicityModel, threshold: float, names: list[str]):
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; all columns stay as they are."""
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(_keep(model, threshold, docs.columns), docs.schema)

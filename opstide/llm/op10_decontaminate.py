@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, digest, documents_of, rows_and_texts, slices
+from .common import bytes_of, digest, documents_of, rows_and_texts, slices, small_batches
 
 #: Length of the shared character q-grams.
 Q = 12
@@ -289,6 +289,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: f
     Rows are judged where they are read, block of items after block, so
     nothing is shuffled. Null texts are clean.
     """
+    small_batches(docs.sparkSession)
     fields = docs.schema
     for bench in _blocks(benchmark, q, rate, block_chars):
         docs = docs.mapInArrow(_flag([bench], fields.names), fields)
