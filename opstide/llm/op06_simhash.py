@@ -252,7 +252,11 @@ def drop_near_duplicates(docs: DataFrame, run: int = RUN) -> DataFrame:
     All columns stay as they are. Rows equal in doc_id and text are one
     document, of which any one row stays.
     """
-    groups = near_groups(docs, run)
+    return keep_first(docs, near_groups(docs, run))
+
+
+def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that come first in their ``component``; ``groups`` names it for each (doc_id, digest)."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
     keep = groups.groupBy("component").agg(F.min(order).alias("k")).select(
         F.col("k.doc_id").alias("__id"), F.col("k.digest").alias("__digest")

@@ -1,0 +1,67 @@
+"""Near copies against the plain Jaccard similarity of all pairs."""
+
+import random
+from itertools import combinations
+
+from opstide.llm import near_copies as near
+from opstide.llm import op06_simhash as sim
+
+
+def plain_set(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def plain_kept(rows):
+    sets, parent = {d: plain_set(t) for d, t in rows}, {d: d for d, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(parent, 2):
+        if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    return {root(d) for d in parent}
+
+
+def edited_copies():
+    """Texts with copies of one to six changed words in two hundred, in long chains and in one large group."""
+    rng = random.Random(5)
+    rows = []
+    for group in range(30):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        for n in range(60 if group == 0 else 4):
+            copy = list(words)
+            for at in rng.sample(range(200), min(n, 6)):
+                copy[at] = f"x{rng.randrange(5000)}"
+            rows.append((len(rows), " ".join(copy)))
+            if group % 3 == 1:
+                words = copy
+    return rows + [(len(rows), ""), (len(rows) + 1, None), (len(rows) + 2, "Two words"), (len(rows) + 3, "two  WORDS"), (len(rows) + 4, "two others")]
+
+
+def test_edited_copies(spark):
+    rows = edited_copies()
+    far = [(a, b) for (_, a), (_, b) in combinations(rows[:180], 2) if len(plain_set(a) & plain_set(b)) >= 0.8 * len(plain_set(a) | plain_set(b))]
+    assert any((sim.simhash(a) ^ sim.simhash(b)).bit_count() > sim.MAX_BITS for a, b in far)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in near.drop_near_copies(docs).collect()} == plain_kept(rows)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    kept = near.drop_near_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([3, None, 5, 8, 9, 9, 10, 11, 12], key=repr)
+    assert near.drop_near_copies(no_docs).count() == 0
+
+
+def test_pipeline_stage(spark):
+    import corpus_pipeline
+
+    rows = edited_copies()[:120]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    assert {r["doc_id"] for r in stage(spark, docs, "").collect()} == plain_kept(rows)
