@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -100,31 +101,39 @@ class Benchmark:
         self.values, self.item, self.at = values[order], item[order], at[order]
         self.present = np.zeros(1 << FILTER_BITS, bool)
         self.present[self.values >> np.uint64(64 - FILTER_BITS)] = True
-        self.widest = int(self.budget.max(initial=0)) + 1
 
-    def candidates(self, points: np.ndarray) -> np.ndarray:
-        """(item, first diagonal) of the bands that meet the bound; a diagonal is a place in the text minus one in the item.
+    def candidates(self, points: np.ndarray, limits: np.ndarray) -> np.ndarray:
+        """(text number, item, first diagonal) of the bands that meet the bound; a diagonal is a place in the text minus one in the item.
 
         Bands are two steps wide and begin every step, where a step is one
-        more than the largest budget, so the diagonals of an occurrence within
+        more than the item's budget, so the diagonals of an occurrence within
         budget, which differ by the budget at most, lie in one band whole.
+        Grams are counted for each text apart; those across ``limits`` are in none.
         """
         h = grams(points, self.q)
         hit = np.nonzero(self.present[h >> np.uint64(64 - FILTER_BITS)])[0]
+        doc = np.searchsorted(limits, hit, "right") - 1
+        inside = (doc >= 0) & (doc < len(limits) - 1)
+        inside[inside] = hit[inside] + self.q <= limits[doc[inside] + 1]
+        hit, doc = hit[inside], doc[inside]
         h = h[hit]
         low, high = np.searchsorted(self.values, h, "left"), np.searchsorted(self.values, h, "right")
         real = high > low
-        hit, low, n = hit[real], low[real], (high - low)[real]
+        hit, doc, low, n = hit[real], doc[real], low[real], (high - low)[real]
         if not len(hit):
-            return np.zeros((0, 2), np.int64)
+            return np.zeros((0, 3), np.int64)
         post = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
         item = self.item[post]
-        diagonal = np.repeat(hit, n) - self.at[post]
-        step = (diagonal + (1 << 40)) // self.widest
-        key = np.concatenate([(item << 42) | step, (item << 42) | (step - 1)])
-        key, count = np.unique(key, return_counts=True)
-        key = key[count >= self.bound[key >> 42]]
-        return np.column_stack([key >> 42, ((key & ((1 << 42) - 1)) * self.widest) - (1 << 40)])
+        longest = int(self.size.max())
+        diagonal = np.repeat(hit, n) - self.at[post] + longest  # not negative
+        step = diagonal // (self.budget[item] + 1) + 1
+        span = len(points) + longest + 2
+        key = (np.repeat(doc, n) * len(self.size) + item) * span + step
+        key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        pair, step = key // span, key % span - 1
+        doc, item = pair // len(self.size), pair % len(self.size)
+        met = count >= self.bound[item]
+        return np.column_stack([doc, item, step * (self.budget[item] + 1) - longest])[met]
 
 
 def banded_alignment(item: np.ndarray, text: np.ndarray, budget: int) -> tuple[int, int, int] | None:
@@ -156,33 +165,30 @@ def banded_alignment(item: np.ndarray, text: np.ndarray, budget: int) -> tuple[i
 def matches(bench: Benchmark, points: np.ndarray, limits: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(text number, item, start, end, edits) in normalised ``points``; ``limits`` are the texts' offsets in it."""
     found = []
-    for item, diagonal in bench.candidates(points).tolist():
+    for doc, item, diagonal in bench.candidates(points, limits).tolist():
         size, budget = int(bench.size[item]), int(bench.budget[item])
-        lo, hi = diagonal - budget, diagonal + 2 * bench.widest + size + budget
-        middle = min(max(0, diagonal + bench.widest + size // 2), len(points) - 1)
-        for doc in {int(np.searchsorted(limits, max(0, x), "right")) - 1 for x in (lo + budget, middle, hi - budget)}:
-            if not 0 <= doc < len(limits) - 1:
-                continue
-            a, b = max(lo, int(limits[doc]), 0), min(hi, int(limits[doc + 1]))
-            if b - a < size - budget:
-                continue
-            got = banded_alignment(bench.items[item], points[a:b], budget)
-            if got and got[0] <= budget:
-                found.append((doc, item, a + got[1], a + got[2], got[0]))
+        # too narrow for two places of the item that do not overlap: the lemma's budget is below its size by a factor of q
+        lo, hi = diagonal - budget, diagonal + 2 * (budget + 1) + size + budget
+        a, b = max(lo, int(limits[doc]), 0), min(hi, int(limits[doc + 1]))
+        if b - a < size - budget:
+            continue
+        got = banded_alignment(bench.items[item], points[a:b], budget)
+        if got and got[0] <= budget:
+            found.append((doc, item, a + got[1], a + got[2], got[0]))
     return found
 
 
 def separate(found: set[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int, int, int]]:
     """Of overlapping places of an item in a text, as overlapping bands and windows see them, the one with fewest edits."""
     best: list[tuple[int, int, int, int, int]] = []
-    for row in sorted(found, key=lambda r: (r[0], r[1], r[2], r[4], r[3])):
-        last = best[-1] if best else None
-        if last and last[:2] == row[:2] and row[2] < last[3]:
-            if row[4] < last[4]:
-                best[-1] = row
-        else:
+    taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for row in sorted(found, key=lambda r: (r[0], r[1], r[4], r[2], r[3])):
+        places = taken.setdefault(row[:2], [])
+        at = bisect(places, row[2:4])
+        if (at == 0 or places[at - 1][1] <= row[2]) and (at == len(places) or row[3] <= places[at][0]):
+            places.insert(at, row[2:4])
             best.append(row)
-    return best
+    return sorted(best)
 
 
 def _search(bench: Benchmark):

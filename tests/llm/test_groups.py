@@ -235,3 +235,23 @@ def test_windows_of_long_texts(spark, monkeypatch):
         batch = pa.RecordBatch.from_pydict({"doc_id": [1], "digest": [2], "text": [body]})
         (found,) = decon._search(bench)(iter([batch]))
         assert found.num_rows == 1 and body[found["start"][0].as_py() : found["end"][0].as_py()] == item
+
+
+def test_short_items_beside_a_long_one(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklm"
+    prose = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    items = [prose(4000), prose(81), prose(60)]
+    rows = []
+    for n in range(200):
+        item = items[1 + n % 2] if n % 3 else ""
+        rows.append((n, f"{prose(rng.randrange(10, 50))} {item} {prose(rng.randrange(10, 50))}"))
+    rows.append((200, f"{items[1]} {prose(40)} {items[1]} {prose(300)} {items[1]} {items[2]} {items[1]}"))
+    rows.append((201, f"{items[0]} {prose(50)} {items[0]}"))
+    want = sorted((d, i, a) for d, t in rows for i, x in enumerate(items) for a in range(len(t)) if t.startswith(x, a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decon.contaminated_spans(docs, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["start"]) for r in got) == want
+    kept = {r["doc_id"] for r in decon.drop_contaminated(docs, bench).collect()}
+    assert kept == {d for d, _ in rows} - {d for d, _, _ in want}
