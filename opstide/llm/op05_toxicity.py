@@ -25,7 +25,7 @@ EVIDENCE = 30.0
 PURITY = 0.8
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.3
-#: Edits allowed for terms of at least so many bytes.
+#: Edits allowed for terms of at least so many characters.
 EDITS = ((9, 2), (5, 1), (0, 0))
 #: Characters before and after a hit that are searched for quotation marks and words that report speech.
 CONTEXT = 60
@@ -36,27 +36,49 @@ PRIOR = {(0, 0): 0.9, (0, 1): 0.4, (1, 0): 0.6, (1, 1): 0.25, (2, 0): 0.45, (2,
 PRIOR_ROWS = 2.0
 #: How many documents a misspelling of one term must outweigh what misspellings say in general.
 POOLED_ROWS = 10.0
-LONGEST = 24
 #: Text bytes whose words a task holds as Python objects at once; they take some hundred bytes a word.
 WORD_BYTES = 1 << 20
 
 
 # ------------------------------------------------------- trie and automaton
-def allowed(term: bytes) -> int:
+def allowed(term: str | bytes) -> int:
     return next(k for size, k in EDITS if len(term) >= size)
 
 
+def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words (of binary arrays: bytes) and each word's offsets into them."""
+    data, at = bytes_of(words)
+    if not (pa.types.is_string(words.type) or pa.types.is_large_string(words.type)):
+        return data, at
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+    return points, np.append(0, np.cumsum((data & 0xC0) != 0x80))[at]
+
+
 class LexiconTrie:
     """Terms as a trie that is walked together with the Levenshtein automata of many words at once."""
 
     def __init__(self, terms: list[str]):
-        self.terms = [t.encode() for t in terms]
+        self.by_letter = _Trie(terms)
+        self.by_byte = _Trie([t.encode() for t in terms])
+
+    def match(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the closest term within its edits and the distance; -1 where there is none.
+
+        Edits are of characters; of bytes where the words are binary.
+        """
+        text = pa.types.is_string(words.type) or pa.types.is_large_string(words.type)
+        return (self.by_letter if text else self.by_byte).match(*_letters(words))
+
+
+class _Trie:
+    def __init__(self, terms: list[str] | list[bytes]):
+        self.terms = terms
         self.children: list[dict[int, int]] = [{}]
         self.term: list[int] = [-1]
         self.reach: list[int] = [0]  # most edits that a term below allows
         for n, t in enumerate(self.terms):
             at = 0
-            for c in t:
+            for c in t if isinstance(t, bytes) else map(ord, t):
                 self.reach[at] = max(self.reach[at], allowed(t))
                 if c not in self.children[at]:
                     self.children[at][c] = len(self.term)
@@ -68,24 +90,32 @@ class LexiconTrie:
             self.term[at] = n
         self.sizes = {len(t) + d for t in self.terms for d in range(-allowed(t), allowed(t) + 1)}
 
-    def match(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """For each word the closest term within its edits and the distance; -1 where there is none.
+    def match(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The state of a word's automaton after a trie path is its row of edit distances.
 
-        The state of a word's automaton after a trie path is its row of edit
-        distances; a word leaves the walk when no entry is within reach.
+        A word leaves the walk when no entry is within reach. Words of about
+        the same length walk together, so a long one does not widen all rows.
         """
-        data, at = bytes_of(words)
         size = np.diff(at)
-        term, edits = np.full(len(words), -1, np.int64), np.full(len(words), 99, np.int64)
-        chosen = np.nonzero(np.isin(size, list(self.sizes)) & (size <= LONGEST))[0]
-        if not len(chosen):
-            return term, edits
+        term, edits = np.full(len(size), -1, np.int64), np.full(len(size), 99, np.int64)
+        chosen = np.nonzero(np.isin(size, list(self.sizes)))[0]
+        widths = [24]
+        while len(chosen) and widths[-1] < size[chosen].max():
+            widths.append(2 * widths[-1])
+        for least, most in zip([-1, *widths], widths):
+            own = chosen[(size[chosen] > least) & (size[chosen] <= most)]
+            if len(own):
+                self._walk(data, at, size, own, term, edits)
+        return term, edits
+
+    def _walk(self, data: np.ndarray, at: np.ndarray, size: np.ndarray, chosen: np.ndarray, term: np.ndarray, edits: np.ndarray) -> None:
         width = int(size[chosen].max())
-        letters = np.zeros((len(chosen), width), np.uint8)
+        letters = np.zeros((len(chosen), width), data.dtype)
         inside = np.arange(width) < size[chosen][:, None]
         letters[inside] = data[(at[chosen][:, None] + np.arange(width))[inside]]
         # rows beyond a word's end are never read for it
-        first = np.broadcast_to(np.arange(width + 1, dtype=np.int8), (len(chosen), width + 1))
+        kind = np.int8 if width < 60 else np.int32
+        first = np.broadcast_to(np.arange(width + 1, dtype=kind), (len(chosen), width + 1))
         stack = [(0, np.arange(len(chosen)), first)]
         while stack:
             node, who, row = stack.pop()
@@ -104,7 +134,6 @@ class LexiconTrie:
                 alive = new.min(1) <= self.reach[child]
                 if alive.any():
                     stack.append((child, who[alive], new[alive]))
-        return term, edits
 
 
 def _word_spans(data: np.ndarray) -> np.ndarray:
@@ -138,7 +167,7 @@ def _hits(trie: LexiconTrie, texts: pa.Array) -> tuple[np.ndarray, ...]:
         return tuple(np.zeros(0, np.int64) for _ in range(5))
     every = binary_array(data, np.append(np.column_stack([begins, ends]).ravel(), len(data))).take(pa.array(np.arange(0, 2 * len(begins), 2)))
     coded = every.dictionary_encode()
-    term, edits = trie.match(coded.dictionary)
+    term, edits = trie.match(coded.dictionary.cast(pa.string()))
     code = coded.indices.to_numpy()
     hit = np.nonzero(term[code] >= 0)[0]
     row = np.searchsorted(doc_at, begins[hit], "right") - 1
@@ -187,7 +216,7 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         words, marks, toxic = [], [], []
         for text, flag in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             own = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.lower())
-            seen = {(w, hash_of(a, b)) for a, w, b in zip(["", *own], own, [*own[1:], ""]) if 3 <= len(w) <= LONGEST}
+            seen = {(w, hash_of(a, b)) for a, w, b in zip(["", *own], own, [*own[1:], ""]) if len(w) >= 3}
             words += [w for w, _ in seen]
             marks += [m for _, m in seen]
             toxic += [flag] * len(seen)

@@ -86,3 +86,26 @@ def test_held_out_accuracy(spark, size):
     own = [r for r in judged if r["doc_id"] in english]
     hit = sum(r["predicted"] and r["toxic"] for r in own)
     assert hit / sum(r["predicted"] for r in own) >= 0.95 and hit / sum(r["toxic"] for r in own) >= 0.85
+
+
+def test_long_words_and_letters_beyond_ascii(spark):
+    cyrillic, greek, chinese = "бесстыдникамиии", "ανεπαρκής", "愚蠢的人都在这里说话了"
+    german = "nichtsnutzigkeitsvertreterin"
+    terms = [cyrillic, greek, chinese, german, "дурак"]
+    words = [cyrillic, "ж" + cyrillic[1:], cyrillic + "ж", cyrillic[2:], "ж" * 3 + cyrillic[3:], greek[1:], chinese, chinese[1:], german + "s", "дурик", "дуриж", "x" * 5000]
+    term, edits = tox.LexiconTrie(terms).match(pa.array(words))
+    for w, n, d in zip(words, term, edits):
+        fits = [distance(t, w) for t in terms if distance(t, w) <= tox.allowed(t)]
+        assert (n >= 0) == bool(fits) and (not fits or d == min(fits))
+    model = tox.ToxicityModel(terms)
+    assert score(model, f"и вот {cyrillic} снова") >= tox.THRESHOLD and score(model, f"и вот ж{cyrillic[1:]} снова") >= tox.THRESHOLD
+    assert score(model, "und die " + german.capitalize() + " kam") >= tox.THRESHOLD
+
+
+def test_long_words_are_learned(spark):
+    word = "бесстыдникамиии"
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"так a{i} {word if i % 2 else 'хорошо'} b{i} конец") for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in ids], "doc_id long, quality int, toxic int")
+    assert word in tox.fit(docs, labels).terms
