@@ -103,7 +103,7 @@ def test_long_words_and_letters_beyond_ascii(spark):
 
 
 def test_long_words_are_learned(spark):
-    word = "бесстыдникамиии"
+    word = "бесстыдникамиии" * 2
     ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
     rows = [(i, f"так a{i} {word if i % 2 else 'хорошо'} b{i} конец") for i in ids]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
