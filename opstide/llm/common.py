@@ -40,6 +40,20 @@ def digest(column: str | Column) -> Column:
     return F.xxhash64(column)
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, row): ``row`` holds all columns as they are, so that no helper column meets one of the caller's."""
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), digest(text).alias("digest"), F.struct("*").alias("row"))
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with so many underscores before it that no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:

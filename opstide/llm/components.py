@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, remove
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
-        edges = materialise(small.where("a <> b").distinct(), "links")
+        old, edges = edges, materialise(small.where("a <> b").distinct(), "links")
+        remove(edges.sparkSession, old.written_at)
         before, mark = mark, _mark(edges)
         if mark == before:
             return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(

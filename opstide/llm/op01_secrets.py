@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents_of
+from .common import documents_of, unused
 
 #: Kinds in order of listing, with their patterns. Matches below the least lengths are dropped after matching.
 #: Hex runs and access ids are maximal runs of a class, so a least length inside the pattern finds the same ones.
@@ -188,10 +188,11 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     columns stay as they are.
     """
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    names = [f"__{k}" for k in KINDS]
+    names = [unused(docs, f"__{k}") for k in KINDS]
+    found = unused(docs, "__spans")
     rows = docs.select("*", *[c.alias(n) for c, n in zip(_kind_columns(text), names)])
     bare = [F.transform(n, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for n in names]
-    rows = rows.withColumn("__spans", F.array_sort(F.concat(*bare))).drop(*names)
+    rows = rows.withColumn(found, F.array_sort(F.concat(*bare))).drop(*names)
     cut = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
 
     def part(cuts: Column, a: Column, b: Column) -> Column:
@@ -200,13 +201,13 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.when(b > a, F.substring(own, (a % CUT + 1).cast("int"), (b - a).cast("int"))).otherwise("")
 
     def marked(cuts: Column) -> Column:
-        reached = _running(F.transform("__spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b))
-        pieces = F.zip_with("__spans", reached, lambda s, at: F.concat(part(cuts, at, s["start"]), F.when(s["start"] < at, "").otherwise(mark)))
-        last = F.array_max(F.transform("__spans", lambda s: s["end"]))
+        reached = _running(F.transform(found, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        pieces = F.zip_with(found, reached, lambda s, at: F.concat(part(cuts, at, s["start"]), F.when(s["start"] < at, "").otherwise(mark)))
+        last = F.array_max(F.transform(found, lambda s: s["end"]))
         return F.concat(F.array_join(pieces, ""), part(cuts, last, F.char_length("text").cast("bigint")))
 
     whole = _let(cut, marked)
-    rows = rows.withColumn("text", F.when(F.size("__spans") > 0, whole).otherwise(F.col("text"))).drop("__spans")
+    rows = rows.withColumn("text", F.when(F.size(found) > 0, whole).otherwise(F.col("text"))).drop(found)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
     return rows.select(docs.columns)

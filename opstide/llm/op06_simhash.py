@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import digest, documents_of
+from .common import digest, documents_of, packed_rows
 from .components import components
 
 SHINGLE = 4
@@ -258,10 +258,7 @@ def drop_near_duplicates(docs: DataFrame, run: int = RUN) -> DataFrame:
 def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows of ``docs`` that come first in their ``component``; ``groups`` names it for each (doc_id, digest)."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
-    keep = groups.groupBy("component").agg(F.min(order).alias("k")).select(
-        F.col("k.doc_id").alias("__id"), F.col("k.digest").alias("__digest")
-    )
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    rows = docs.withColumns({"__id": docs["doc_id"].cast("long"), "__digest": digest(text)})
-    same = rows["__id"].eqNullSafe(keep["__id"]) & (rows["__digest"] == keep["__digest"])
-    return rows.join(keep, same, "left_semi").dropDuplicates(["__id", "__digest"]).drop("__id", "__digest")
+    keep = groups.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.digest")
+    rows = packed_rows(docs)
+    same = rows["doc_id"].eqNullSafe(keep["doc_id"]) & (rows["digest"] == keep["digest"])
+    return rows.join(keep, same, "left_semi").dropDuplicates(["doc_id", "digest"]).select("row.*")
