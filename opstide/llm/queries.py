@@ -135,23 +135,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": """
-        WITH lines AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
-            FROM documents
+        WITH cut AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '.*?(?:[.!?]+[ \\t\\r]+|[。！？]+|\\n|$)') AS parts FROM documents
+        ), units AS (
+            SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS n FROM cut
         ), placed AS (
-            SELECT doc_id, trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) AS unit, length(line) AS size,
-                   coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY n
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-            FROM lines
+            SELECT doc_id, n, trim(regexp_replace(lower(part), '\\s+', ' ', 'g')) AS unit,
+                   length(rtrim(part, ' ' || chr(9) || chr(13) || chr(10))) AS chars,
+                   coalesce(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+            FROM units
         ), ranked AS (
-            SELECT *, first_value(doc_id) OVER w AS kept_doc_id, first_value(start) OVER w AS kept_start,
-                   row_number() OVER w AS place
-            FROM placed
-            WHERE len(string_split(unit, ' ')) >= 5
+            SELECT *, strlen(unit) AS size, first_value(doc_id) OVER w AS kept_doc_id, first_value(start) OVER w AS kept_start,
+                   row_number() OVER w > 1 AS again, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS place
+            FROM placed WHERE unit <> ''
             WINDOW w AS (PARTITION BY unit ORDER BY doc_id, start)
+        ), runs AS (
+            SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM ranked WHERE again
         )
-        SELECT doc_id, start::BIGINT AS start, (start + size)::BIGINT AS "end", kept_doc_id, kept_start::BIGINT AS kept_start
-        FROM ranked WHERE place > 1
+        SELECT doc_id, start::BIGINT AS start, (start + chars)::BIGINT AS "end", kept_doc_id, kept_start::BIGINT AS kept_start
+        FROM runs QUALIFY sum(size) OVER (PARTITION BY doc_id, run) >= 150
     """,
 }

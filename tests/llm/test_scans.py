@@ -111,37 +111,100 @@ def test_long_candidates_and_many_secrets(spark):
     assert got == {i: plain_redaction(t) for i, t in enumerate(texts)}
 
 
-def plain_repeats(rows, min_words=5):
-    first, out = {}, []
-    units = []
-    for doc_id, text in {(d, t or "") for d, t in rows}:
-        at = 0
-        for line in text.split("\n"):
-            unit = " ".join(line.lower().split())
-            if len(unit.split()) >= min_words:
-                units.append(((doc_id is None, doc_id or 0, at), unit, doc_id, at, at + len(line)))
-            at += len(line) + 1
-    for _, unit, doc_id, a, b in sorted(units, key=lambda u: u[0]):
-        if unit in first:
-            out.append((doc_id, a, b, *first[unit]))
+def plain_units(text):
+    """(start, end, normal form) of sentences and lines, character by character."""
+    out, begin, i = [], 0, 0
+
+    def close(after):
+        end = after
+        while end > begin and text[end - 1] in " \t\r\n":
+            end -= 1
+        out.append((begin, end, " ".join(text[begin:after].lower().split())))
+
+    while i < len(text):
+        j = i
+        while j < len(text) and text[j] in ".!?":
+            j += 1
+        k = j
+        while k < len(text) and text[k] in " \t\r":
+            k += 1
+        if j > i and k > j:
+            after = k
+        elif text[i] in "\n。！？":
+            after = i + 1
+            while text[i] != "\n" and after < len(text) and text[after] in "。！？":
+                after += 1
         else:
-            first[unit] = (doc_id, a)
+            i += 1
+            continue
+        close(after)
+        begin = i = after
+    close(len(text))
+    return [u for u in out if u[2]]
+
+
+def plain_repeats(rows, min_bytes=150):
+    first, out, docs = {}, [], {}
+    rank = lambda d, a: (d is None, d or 0, a)
+    for doc_id, text in {(d, t or "") for d, t in rows}:
+        docs[doc_id, text] = plain_units(text)
+        for a, _, unit in docs[doc_id, text]:
+            first[unit] = min(first.get(unit, (rank(doc_id, a), doc_id, a)), (rank(doc_id, a), doc_id, a), key=lambda x: x[0])
+    for (doc_id, _), units in docs.items():
+        run = []
+        for unit in [*units, None]:
+            if unit and first[unit[2]][0] != rank(doc_id, unit[0]):
+                run.append(unit)
+                continue
+            if sum(len(u[2].encode()) for u in run) >= min_bytes:
+                out += [(doc_id, a, b, *first[u][1:]) for a, b, u in run]
+            run = []
     return sorted(out, key=repr)
 
 
-def test_repeated_units(docs, odd_docs, no_docs):
+@pytest.mark.parametrize("min_bytes", [1, 40, 150])
+def test_repeated_units(docs, odd_docs, no_docs, min_bytes):
     for table in (docs, odd_docs):
         rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
-        got = substrings.repeated_units(table).select("doc_id", "start", "end", "kept_doc_id", "kept_start")
-        assert sorted(map(tuple, got.collect()), key=repr) == plain_repeats(rows)
+        got = substrings.repeated_units(table, min_bytes=min_bytes).select("doc_id", "start", "end", "kept_doc_id", "kept_start")
+        assert sorted(map(tuple, got.collect()), key=repr) == plain_repeats(rows, min_bytes)
     assert substrings.repeated_units(no_docs).count() == 0
 
 
+def test_passages_inside_lines(spark):
+    """A passage of 50 words within other sentences is found, whatever stands around it; one sentence of it alone is not."""
+    words = [f"word{i}" for i in range(50)]
+    passage = ". ".join(" ".join(words[i : i + 10]) for i in range(0, 50, 10)) + "."
+    rows = [(1, f"First text. {passage} It ends."), (2, f"Another\none begins. And {passage} goes on"), (3, f"Only this. {' '.join(words[:10])}. Nothing more."), (4, passage)]
+    got = substrings.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    found = sorted((r["doc_id"], text[r["doc_id"]][r["start"] : r["end"]], r["kept_doc_id"]) for r in got)
+    sentences = [s if s.endswith(".") else s + "." for s in passage.split(". ")]
+    assert found == sorted([(2, s, 1) for s in sentences[1:]] + [(4, s, 1) for s in sentences])
+    for r in got:
+        assert text[1][r["kept_start"] :].startswith(text[r["doc_id"]][r["start"] : r["end"]])
+
+
+def test_passages_without_blanks(spark):
+    passage = "。".join("的一是在不了有和人这中大为上个国我以要他"[i : i + 9] * 2 for i in range(6)) + "。"
+    rows = [(1, passage), (2, "前文。" + passage + "后文"), (3, "别的文字。")]
+    got = substrings.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 6 and {(r["doc_id"], r["kept_doc_id"]) for r in got} == {(2, 1)}
+
+
 def test_texts_without_repeats(spark, odd_docs):
-    rows = [(1, "One line of five words é.\nshort\nOne  LINE of five words é."), (2, "x\none line of five words é.\nnew words stand here after it"), (3, None)]
-    got = {r["doc_id"]: (r["text"], [tuple(x) for x in r["removed"]]) for r in substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: ("One line of five words é.\nshort\n", [(32, 58)]), 2: ("x\n\nnew words stand here after it", [(2, 27)]), 3: (None, [])}
-    assert substrings.without_repeats(odd_docs).count() == odd_docs.count()
+    rows = [(1, "One line of five words é.\nshort\nOne  LINE of five words é."), (2, "x\none line of five words é.  Short\nnew words stand here after it"), (3, None)]
+    table = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, removed string")
+    cut = substrings.without_repeats(table, min_bytes=20)
+    assert cut.columns == ["doc_id", "text", "removed", "_removed"]
+    got = {r["doc_id"]: (r["text"], [tuple(x) for x in r["_removed"]], r["removed"]) for r in cut.collect()}
+    assert got == {
+        1: ("One line of five words é.\nshort\n", [(32, 58)], "mine"),
+        2: ("x\n\nnew words stand here after it", [(2, 34)], "mine"),
+        3: (None, [], "mine"),
+    }
+    cut = substrings.without_repeats(odd_docs)
+    assert cut.count() == odd_docs.count() and cut.columns == [*odd_docs.columns, "_removed"]
 
 
 URLS = [
