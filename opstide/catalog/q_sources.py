@@ -8,7 +8,7 @@ from ..operators import rollups as R
 from ..operators.features import training_rows
 from ..session import scratch_path
 from ..sinks import tables as K
-from ..sources import logs, samples, tables
+from ..sources import logs, records, samples, tables
 from .bindings import AS_OF
 from .q_rollups import DAY, DL, NOW, SESSION_HOURLY, TT, avg, last_days, total
 from .registry import query
@@ -49,6 +49,32 @@ def _(t):
     ).agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
 
 
+def _wrapped_folder(t, lines, fields):
+    """Two of three records wrapped before the named fields, as plain and gzip text files in the shared folder."""
+    path = scratch_path(t.spark, "wrapped")
+    wrapped = F.regexp_replace("line", f",({'|'.join(fields)})=", ",\n$1=")
+    lines = lines.select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("line")).otherwise(wrapped).alias("line"))
+    even = F.col("event_id") % 2 == 0
+    lines.filter(even).select("line").write.text(f"{path}/plain")
+    lines.filter(~even).select("line").write.text(f"{path}/packed", compression="gzip")
+    return records.read_log_records(t.spark, path, "*.txt", gzip_partitions=8)
+
+
+SESSION_WRAPS = ["computerName", "session", "lockWaitTime"]
+LOCK_WRAPS = ["session", "userName", "tableName", "lockType", "lockWaitTime", "dbpid"]
+
+
+@query("s1_wrapped_records", """
+SELECT CAST(event_id % 2 AS int) AS packed, count(*) AS records, CAST(sum(length(line)) AS bigint) AS chars,
+  count(DISTINCT line) AS different
+FROM lock_lines GROUP BY 1""")
+def _(t):
+    found = _wrapped_folder(t, t.lock_lines, LOCK_WRAPS)
+    return found.groupBy(F.endswith("file", F.lit(".gz")).cast("int").alias("packed")).agg(
+        F.count("*").alias("records"), F.sum(F.length("line")).alias("chars"), F.countDistinct("line").alias("different")
+    )
+
+
 @query("s2_file_event_hour", """
 SELECT DISTINCT strftime(ts, '%y%m%d%H') || '.log' AS file, CAST(ts AS date) AS file_date, CAST(hour(ts) AS int) AS file_hour
 FROM events
@@ -229,6 +255,8 @@ def _(t):
 HEAD = f"""event_id, {LINE_TS} AS event_datetime, CAST({LINE_TS} AS date) AS event_date,
   CAST(hour({LINE_TS}) AS int) AS event_hour, CAST(minute({LINE_TS}) AS int) AS event_minute"""
 
+HEAD_COLUMNS = ["event_datetime", "event_date", "event_hour", "event_minute"]
+
 
 @query("p1_parse_session_lines", f"""
 SELECT {HEAD}, {rx('[ ,]([A-Z_]+),')} AS event_type, {rx_int('session=([0-9]+)')} AS session_id,
@@ -257,6 +285,31 @@ def _(t):
     return P.parse_lock_lines(t.lock_lines)
 
 
+@query("p1_wrapped_session_records", f"""
+SELECT {HEAD.removeprefix('event_id, ')}, {rx('[ ,]([A-Z_]+),')} AS event_type, {rx_int('session=([0-9]+)')} AS session_id,
+  {rx_int('duration=([0-9]+)')} AS duration, {rx_int('lockWaitTime=([0-9]+)')} AS lock_wait_time,
+  {rx_int('lockTime=([0-9]+)')} AS lock_time, {rx('userName="([^"]*)"')} AS user_name,
+  {rx('computerName="([^"]*)"')} AS computer_name, {rx('processName=([^,]+)')} AS process_name, left(line, 1000) AS raw_line
+FROM log_lines""")
+def _(t):
+    parsed = P.parse_session_lines(_wrapped_folder(t, t.log_lines, SESSION_WRAPS))
+    return parsed.select(
+        *HEAD_COLUMNS, "event_type", "session_id", "duration", "lock_wait_time", "lock_time", "user_name", "computer_name", "process_name", "raw_line"
+    )
+
+
+@query("p2_wrapped_lock_records", f"""
+SELECT {HEAD.removeprefix('event_id, ')}, {rx('[ ,]([A-Z_]+),')} AS event_type, {rx_int('session=([0-9]+)')} AS session_id,
+  {rx_int('transaction=([0-9]+)')} AS transaction_id, {rx_int('lockWaitTime=([0-9]+)')} AS lock_wait_time,
+  {rx_int('lockTime=([0-9]+)')} AS lock_time, {rx_int('dbpid=([0-9]+)')} AS dbpid,
+  {rx('userName="([^"]*)"')} AS user_name, {rx('processName=([^,]+)')} AS process_name,
+  {rx('tableName="?([^",]+)"?')} AS table_name, {rx('lockType="?([^",]+)"?')} AS lock_type,
+  {rx('lockMode="?([^",]+)"?')} AS lock_mode, {rx('lockName="?([^",]+)"?')} AS lock_name
+FROM lock_lines WHERE {rx('[ ,]([A-Z_]+),')} IN ('LOCK', 'DEADLOCK', 'TTIMEOUT', 'SDBL')""")
+def _(t):
+    return P.parse_lock_lines(_wrapped_folder(t, t.lock_lines, LOCK_WRAPS)).drop("file")
+
+
 def rx_or_null(pattern, kind="varchar"):
     """What the pattern finds, null where it finds nothing."""
     return f"CAST(CASE WHEN regexp_matches(line, '{pattern}') THEN regexp_extract(line, '{pattern}', 1) END AS {kind})"

@@ -6,6 +6,7 @@ from ..session import scratch_path
 from ..sinks.tables import event_month
 from ..sources.logs import stream_log_lines
 from ..streaming import alerts as A
+from ..streaming import compaction as C
 from ..streaming import ingest as I
 from ..streaming import rollups as R
 from .q_locks import NOTIFICATIONS
@@ -32,6 +33,13 @@ def stored(t, stream, shape, name):
     return t.spark.read.parquet(path)
 
 
+def in_batches(t, view, n=12):
+    """A view over the events, which arrive in ``n`` files of their own and so in ``n`` micro-batches."""
+    folder = scratch_path(t.spark, "arrivals")
+    t.events.repartitionByRange(n, "ts").write.parquet(folder)
+    return t.view(view, events=t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+
+
 def without_sketches(df):
     return df.drop(*[c for c in df.columns if c.startswith("approx_")])
 
@@ -71,6 +79,16 @@ def _(t):
     return without_sketches(R.techlog_hourly(stored(t, streamed(t, "techlog"), R.techlog_hour_partials, "techlog_hourly")))
 
 
+@query("st1_lock_hourly_compacted", f"""
+SELECT * EXCLUDE (p95_lock_wait_time, unique_sessions, unique_transactions, unique_users) FROM ({LOCK_HOURLY})""")
+def _(t):
+    """Twelve micro-batches, merged three by three into two levels before they are read."""
+    path = scratch_path(t.spark, "lock_hourly")
+    R.run_partials(in_batches(t, "lock_events"), R.lock_hour_partials, path, f"{path}__checkpoint").awaitTermination()
+    C.compact(t.spark, path, R.LOCK_HOUR.merged, fanout=3)
+    return without_sketches(R.lock_hourly(C.read_partials(t.spark, path)))
+
+
 @query("st2_session_event_stream", f"""
 SELECT CAST({LINE_TS} AS date) AS event_date, regexp_extract(line, 'userName="([^"]*)"', 1) AS user_name, count(*) AS n,
   CAST(sum(CAST(regexp_extract(line, 'duration=([0-9]+)', 1) AS bigint)) AS bigint) AS duration
@@ -101,6 +119,18 @@ def _(t):
     return t.spark.read.parquet(path).groupBy("event_date").agg(F.count("*").alias("n"))
 
 
+@query("st3_positioned_records", f"""
+SELECT CAST({LINE_TS} AS date) AS event_date, 2 * count(*) AS n FROM log_lines GROUP BY 1""")
+def _(t):
+    """Every line stands twice in its file, and every file arrives twice."""
+    folder, path = scratch_path(t.spark, "incoming"), scratch_path(t.spark, "positioned")
+    copies = t.log_lines.select("line", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+    copies.select(F.concat_ws("\n", "line", "line").alias("line"), "copy").write.partitionBy("copy").text(folder)
+    lines = I.stream_placed_lines(t.spark, folder, "*.txt", max_files=4)
+    I.run_positioned(lines, I.session_event_stream, path, f"{path}__checkpoint").awaitTermination()
+    return t.spark.read.parquet(path).groupBy("event_date").agg(F.count("*").alias("n"))
+
+
 @query("st4_rolling_last_hour", f"""
 WITH w AS (SELECT unnest(range(0, 4)) AS k),
 e AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, event_datetime) + INTERVAL 15 MINUTE * (k + 1) AS as_of FROM lock_events, w)
@@ -133,6 +163,27 @@ def _(t):
     return A.alert_states(kept, ["instance"], F.col("value") > 30, 1800)
 
 
+@query("st5_alert_transitions", """
+WITH s AS (SELECT event_type AS instance, ts, value FROM events),
+g AS (SELECT *, value > 30 AS c, sum(CASE WHEN value > 30 THEN 0 ELSE 1 END) OVER (PARTITION BY instance ORDER BY ts) AS grp FROM s),
+r AS (SELECT *, min(CASE WHEN c THEN ts END) OVER (PARTITION BY instance, grp) AS rs FROM g),
+a AS (SELECT instance, ts, CASE WHEN c THEN rs END AS run_start,
+  CASE WHEN NOT c THEN 'inactive' WHEN ts - rs >= INTERVAL 30 MINUTE THEN 'firing' ELSE 'pending' END AS state FROM r),
+b AS (SELECT *, lag(state, 1, 'inactive') OVER (PARTITION BY instance ORDER BY ts) AS before FROM a)
+SELECT instance, ts, state, run_start FROM b WHERE state <> before""")
+def _(t):
+    """The samples arrive in four files, in order of time."""
+    folder, path = scratch_path(t.spark, "samples"), scratch_path(t.spark, "transitions")
+    first, last = t.events.agg(F.min("ts"), F.max("ts")).first()
+    part = F.floor(4 * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp"))) / max((last - first).total_seconds() * 1e6 + 1, 1))
+    for n in range(4):
+        t.events.where(part == n).select("event_type", "ts", "value").coalesce(1).write.mode("append").parquet(folder)
+    samples = t.spark.readStream.schema("event_type string, ts timestamp_ntz, value double").option("maxFilesPerTrigger", 1).parquet(folder)
+    samples = samples.withColumnRenamed("event_type", "instance")
+    A.run_transitions(samples, path, f"{path}__checkpoint", ["instance"], F.col("value") > 30, 1800).awaitTermination()
+    return t.spark.read.parquet(path).drop("batch")
+
+
 @query("st6_notifications_stream", NOTIFICATIONS)
 def _(t):
     kept = stored(t, streamed(t, "alerts"), lambda batch: batch, "alerts")

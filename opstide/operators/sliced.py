@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import AsOf, epoch_micros, from_epoch_micros, ts_literal
+from ..session import materialise, remove_since, written
 
 SECOND = 1_000_000
 HOUR = 3_600
@@ -204,25 +205,52 @@ def hold_for(df: DataFrame, labels: list[str], condition: Column, seconds: int)
     return condition_runs(df, labels, condition).withColumn("state", state)
 
 
+def successors(times: DataFrame, labels: list[str], step: int, slice_seconds: int = HOUR) -> DataFrame:
+    """(labels, _t, _next): for each time of a series the first one at least ``step`` microseconds later, null if none.
+
+    Each time puts itself and a mark ``step`` later into the series. Looking
+    forward, a mark sees the first time of its own slice; where its slice has
+    none any more, the first time of the next slice that has one, which is one
+    row per slice.
+    """
+    point = F.struct(F.col("_t").alias("_at"), F.lit(None).cast("long").alias("_mark"))
+    mark = F.struct((F.col("_t") + step).alias("_at"), F.col("_t").alias("_mark"))
+    laid_out = times.select(*labels, F.inline(F.array(point, mark))).withColumn("_cut", _slice(slice_seconds, "_at"))
+    forward = Window.partitionBy(*labels, "_cut").orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
+    seen = F.min(F.when(F.col("_mark").isNull(), F.col("_at")))
+    later = Window.partitionBy(*labels).orderBy("_cut").rowsBetween(1, Window.unboundedFollowing)
+    carry = laid_out.groupBy(*labels, "_cut").agg(seen.alias("_first")).select(
+        *labels, "_cut", F.first("_first", ignorenulls=True).over(later).alias("_carry")
+    )
+    marks = laid_out.withColumn("_seen", seen.over(forward)).where("_mark is not null")
+    return marks.join(carry, [*labels, "_cut"]).select(*labels, F.col("_mark").alias("_t"), F.coalesce("_seen", "_carry").alias("_next"))
+
+
 def notification_times(alerts: DataFrame, labels: list[str], repeat_hours: int = 24) -> DataFrame:
     """Times at which a firing group is announced: the first alert, then the first
     alert at least ``repeat_hours`` after the previous announcement.
 
-    The choice is sequential within a group; it works on the group's distinct
-    alert times, to the microsecond.
+    Each distinct alert time, to the microsecond, points to the one that would
+    follow it. What the first one leads to is found by doubling: who is reached
+    within 2^k steps and the pointers of 2^k steps give those of 2^(k+1). So no
+    group meets in one task, and the rounds are the logarithm of a group's
+    announcements. Rows without a time are no alerts; null labels are a group.
     """
-    step = F.lit(repeat_hours * 3600 * SECOND).cast("bigint")
-    empty = F.array().cast("array<bigint>")
-
-    def pick(sent: Column, t: Column) -> Column:
-        due = (F.size(sent) == 0) | (t >= F.try_element_at(sent, F.lit(-1)) + step)
-        return F.when(due, F.concat(sent, F.array(t))).otherwise(sent)
-
-    times = F.sort_array(F.collect_set(epoch_micros("ts")))
-    chosen = (
-        alerts.select(*labels, "ts")
-        .groupBy(*labels)
-        .agg(F.aggregate(times, empty, pick).alias("_sent"))
-        .select(*labels, F.explode("_sent").alias("_t"))
-    )
-    return chosen.select(*labels, from_epoch_micros(F.col("_t")).alias("notified_at"))
+    step, mark = repeat_hours * 3600 * SECOND, written()
+    # joins by one text, so that null labels meet as well
+    group = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in labels]), {"ignoreNullFields": "false"})
+    times = alerts.select(*labels, group.alias("_g"), epoch_micros("ts").alias("_t")).where("_t is not null")
+    named = materialise(times.groupBy("_g").agg(*[F.first(c).alias(c) for c in labels], F.min("_t").alias("_t")), "alert-groups")
+    pointers = materialise(successors(times.select("_g", "_t").distinct(), ["_g"], step), "alert-pointers")
+    # only times that something points to can be reached, beside the first ones
+    reached = named.select("_g", "_t")
+    targets = pointers.where("_next is not null").select("_g", F.col("_next").alias("_t")).distinct()
+    pointers = materialise(pointers.join(targets.unionByName(reached).distinct(), ["_g", "_t"], "left_semi"), "alert-pointers")
+    while not (open_ := pointers.where("_next is not null")).isEmpty():
+        ahead = reached.join(open_, ["_g", "_t"]).select("_g", F.col("_next").alias("_t"))
+        reached = materialise(reached.unionByName(ahead).distinct(), "alerts-reached")
+        further = open_.select("_g", F.col("_t").alias("_next"), F.col("_next").alias("_further"))
+        pointers = materialise(open_.join(further, ["_g", "_next"]).select("_g", "_t", F.col("_further").alias("_next")), "alert-pointers")
+        remove_since(alerts.sparkSession, mark, named, reached, pointers)
+    found = reached.join(named.drop("_t"), "_g")
+    return found.select(*labels, from_epoch_micros(F.col("_t")).alias("notified_at"))

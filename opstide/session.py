@@ -89,6 +89,6 @@ def remove_since(spark: SparkSession, mark: int, *keep) -> None:
 
     Only for a point where nothing but ``keep`` is read any more.
     """
-    kept = {df.written_at for df in keep}
+    kept = {getattr(df, "written_at", None) for df in keep}
     for path in [p for p in _written[mark:] if p not in kept]:
         remove(spark, path)

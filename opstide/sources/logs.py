@@ -15,9 +15,13 @@ SPLIT_BYTES = 128 * 1024 * 1024
 GZIP_RATIO = 8
 
 
+def cleaned(value: str) -> Column:
+    """Text without undecodable bytes."""
+    return F.replace(F.make_valid_utf8(value), F.lit(REPLACEMENT), F.lit(""))
+
+
 def _lines(frame: DataFrame) -> DataFrame:
-    clean = F.replace(F.make_valid_utf8("value"), F.lit(REPLACEMENT), F.lit(""))
-    return frame.select(F.col("_metadata.file_name").alias("file"), clean.alias("line"))
+    return frame.select(F.col("_metadata.file_name").alias("file"), cleaned("value").alias("line"))
 
 
 def _below(spark: SparkSession, pattern: str):

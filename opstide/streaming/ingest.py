@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.parsing import SPACE, header_time, parse_lock_lines, parse_session_lines
-from ..session import scratch_path
+from ..session import materialise, remove_since, scratch_path, written
 from ..sinks.tables import exists, upsert_latest
+from ..sources.records import numbered, pieces_of, placed_lines, stitched
+from .compaction import FANOUT, Store, compact
+from .rollups import View
 
 
 def session_event_stream(lines: DataFrame) -> DataFrame:
@@ -60,6 +63,58 @@ def run_deduplicated(
     )
 
 
+#: What was read of each file: the number of its lines.
+FILE_LINES = View(["file"], highs=["n_lines"])
+
+
+def stream_placed_lines(
+    spark: SparkSession, path: str, pattern: str = "*.{log,log.gz}", max_files: int | None = None
+) -> DataFrame:
+    """(file, path, block, line) of log files as they appear."""
+    reader = spark.readStream.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return placed_lines((reader.option("maxFilesPerTrigger", max_files) if max_files else reader).text(path))
+
+
+def run_positioned(
+    lines: DataFrame, parse: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, fanout: int = FANOUT
+) -> StreamingQuery:
+    """Parse every record of a file once and append the events below ``path``; a record is known by its file and its place.
+
+    ``lines`` are placed lines. Log files only grow, so what was read of a file
+    is one number, its lines: of a file that comes again, from whatever folder,
+    only records after that place are new, and equal lines at two places are
+    two. Of copies of a file in one batch the longest counts. Wrapped records
+    are joined first; one that a file's end cuts off counts as it stands.
+
+    The numbers are stored for each batch and compacted, so a batch reads one
+    row per file ever seen and no event. A replayed batch reads the numbers of
+    the others and overwrites its own folders.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark, seen = batch.sparkSession, f"{path}/_files"
+        mark = written()
+        pieces = materialise(pieces_of(batch), "log-pieces")
+        counts = pieces.groupBy("file", "path").agg(F.sum("lines").alias("n_lines"))
+        longest = counts.groupBy("file").agg(F.min_by("path", F.struct(-F.col("n_lines"), "path")).alias("path"), F.max("n_lines").alias("n_lines"))
+        longest = materialise(longest, "log-files")
+        records = numbered(stitched(pieces), pieces).join(longest.select("file", "path"), ["file", "path"], "left_semi")
+        store_of = Store(spark, seen)
+        units = [u for u in store_of.units(store_of.current()[1]) if u.level or u.first != batch_id]
+        if units:
+            known = FILE_LINES.merged(store_of.read(units)).select("file", F.col("high_n_lines").alias("_known"))
+            records = records.join(known, "file", "left").where("_known is null or line_no >= _known").drop("_known")
+        events = parse(records.drop("path", "block", "first", "lines")).withColumn("month", F.date_format("event_date", "yyyy-MM"))
+        events.write.mode("overwrite").partitionBy("month").parquet(f"{path}/batch={batch_id}")
+        FILE_LINES.partial(longest).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+        compact(spark, seen, FILE_LINES.merged, fanout)
+        remove_since(spark, mark)
+
+    return (
+        lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process everything available into a Parquet table, restartable from its checkpoint."""
     return (

@@ -84,3 +84,39 @@ def test_notifications_are_a_day_apart(spark):
     assert [(r["instance"], (r["notified_at"] - START).total_seconds() / 3600) for r in sent] == [
         ("a", 0), ("a", 24), ("a", 49), ("a", 80), ("b", 5),
     ]
+
+
+def plain_notifications(times, step):
+    sent = []
+    for t in sorted(set(times)):
+        if not sent or t >= sent[-1] + step:
+            sent.append(t)
+    return sent
+
+
+def test_notifications_by_doubling(spark):
+    """A dense group over many announcements, sparse ones, one alert, exact distances, microseconds, null labels, no alerts."""
+    rng = np.random.default_rng(8)
+    day = 86_400.0
+    data = {
+        "dense": np.round(np.cumsum(rng.exponential(1500, 6000)), 6).tolist(),
+        "sparse": np.cumsum(rng.exponential(3 * day, 40)).round(6).tolist(),
+        "exact": [i * day / 2 for i in range(9)] * 2,
+        "near": [0.0, day - 1e-6, day, 2 * day - 1e-6, 2 * day],
+        "one": [5.0],
+        None: [0.0, 10.0, day + 1],
+    }
+    rows = [(n, START + dt.timedelta(microseconds=round(t * 1e6))) for n, ts in data.items() for t in ts] + [("one", None)]
+    alerts = spark.createDataFrame(rows, "instance string, ts timestamp_ntz")
+    got = {}
+    for r in S.notification_times(alerts, ["instance"], 24).collect():
+        got.setdefault(r["instance"], []).append((r["notified_at"] - START) // dt.timedelta(microseconds=1))
+    want = {n: plain_notifications([round(t * 1e6) for t in ts], 86_400_000_000) for n, ts in data.items()}
+    assert {n: sorted(ts) for n, ts in got.items()} == want and len(want["dense"]) > 60
+    assert S.notification_times(alerts.where("1 = 0"), ["instance"], 24).count() == 0
+
+
+def test_no_group_of_alerts_meets_in_one_row(spark):
+    alerts = spark.range(10).selectExpr("'a' AS instance", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id AS int)) AS ts")
+    plan = S.successors(alerts.selectExpr("instance", "unix_micros(cast(ts AS timestamp)) AS _t"), ["instance"], 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect" not in plan and plan.count("Window [") == 2
