@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -136,13 +138,52 @@ class _Trie:
                     stack.append((child, who[alive], new[alive]))
 
 
-def _word_spans(data: np.ndarray) -> np.ndarray:
-    """Begin and end of each run of letters, digits and bytes beyond ASCII."""
-    table = np.zeros(256, bool)
-    for low, high in ((48, 58), (65, 91), (97, 123), (128, 256)):
-        table[low:high] = True
-    inside = np.concatenate([[False], table[data], [False]])
-    return np.nonzero(inside[1:] != inside[:-1])[0]
+#: Code points of scripts that are written without blanks; a word changes where such a letter meets another.
+UNSPACED = ((0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x2E80, 0x2FE0), (0x3040, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0))
+#: Signs beyond the basic plane that are no letters.
+PICTURES = (0x1F000, 0x1FB00)
+
+
+@lru_cache(1)
+def _letter_classes() -> np.ndarray:
+    """Of each code point of the basic plane: 0 no letter, 1 letter, digit or mark on a letter, 2 letter of a script without blanks."""
+    table = np.zeros(0x10000, np.int8)
+    for c in range(0x10000):
+        if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c))[0] in "LMN":
+            table[c] = 2 if any(low <= c < high for low, high in UNSPACED) else 1
+    return table
+
+
+def _byte_classes(data: np.ndarray) -> np.ndarray:
+    """Class of the character that each byte belongs to."""
+    table = _letter_classes()
+    found = table[np.minimum(data, 0x7F)]
+    lead = np.nonzero(data >= 0xC2)[0]
+    if len(lead):
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        point = data[lead].astype(np.int64) & (0x7F >> size)
+        for k in range(1, 4):
+            more = size > k
+            point[more] = point[more] << 6 | (data[lead[more] + k] & 0x3F)
+        kind = np.where(point < 0x10000, table[np.minimum(point, 0xFFFF)], np.where((point >= PICTURES[0]) & (point < PICTURES[1]), 0, 1))
+        for k in range(4):
+            found[lead[size > k] + k] = kind[size > k]
+    return found
+
+
+def _word_spans(data: np.ndarray, doc_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the words: runs of letters, digits and marks of one class, none over two texts.
+
+    Typographic quotes, dashes, dots and blanks beyond ASCII part words as the
+    plain ones do, and so does a change to or from a script without blanks.
+    """
+    kind = np.concatenate([np.zeros(1, np.int8), _byte_classes(data), np.zeros(1, np.int8)])
+    cut = kind[1:] != kind[:-1]
+    cut[doc_at] = True
+    edge = np.nonzero(cut)[0]
+    begins, ends = edge[:-1], edge[1:]
+    words = kind[begins + 1] > 0
+    return begins[words], ends[words]
 
 
 def quoted(data: np.ndarray, begin: int, end: int, low: int, high: int) -> bool:
@@ -156,13 +197,7 @@ def quoted(data: np.ndarray, begin: int, end: int, low: int, high: int) -> bool:
 def _hits(trie: LexiconTrie, texts: pa.Array) -> tuple[np.ndarray, ...]:
     """(row, term, edits, quoted, count) of all hits, one entry per distinct (row, term, edits, quoted)."""
     data, doc_at = bytes_of(pc.utf8_lower(texts))
-    edge = _word_spans(data)
-    # a word never spans two texts: cut at the texts' ends as well
-    begins, ends = edge[::2], edge[1::2]
-    inner = doc_at[1:-1]
-    over = np.searchsorted(begins, inner, "left") - 1
-    cut = inner[(over >= 0) & (inner > begins[np.maximum(over, 0)]) & (inner < ends[np.maximum(over, 0)])] if len(begins) else inner[:0]
-    begins, ends = np.sort(np.append(begins, cut)), np.sort(np.append(ends, cut))
+    begins, ends = _word_spans(data, doc_at)
     if not len(begins):
         return tuple(np.zeros(0, np.int64) for _ in range(5))
     every = binary_array(data, np.append(np.column_stack([begins, ends]).ravel(), len(data))).take(pa.array(np.arange(0, 2 * len(begins), 2)))
@@ -214,8 +249,11 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Words with their neighbours' digest, once per text."""
     for batch in slices(batches, limit=WORD_BYTES):
         words, marks, toxic = [], [], []
-        for text, flag in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            own = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.lower())
+        data, doc_at = bytes_of(pc.utf8_lower(batch.column("text")))
+        begins, ends = _word_spans(data, doc_at)
+        first, data = np.searchsorted(begins, doc_at), data.tobytes()
+        for a, b, flag in zip(first, first[1:], batch.column("toxic").to_pylist()):
+            own = [data[i:j].decode() for i, j in zip(begins[a:b].tolist(), ends[a:b].tolist())]
             seen = {(w, hash_of(a, b)) for a, w, b in zip(["", *own], own, [*own[1:], ""]) if len(w) >= 3}
             words += [w for w, _ in seen]
             marks += [m for _, m in seen]
@@ -332,6 +370,10 @@ def _keep(model: ToxicityModel, threshold: float, names: list[str]):
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; all columns stay as they are."""
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay as they are.
+
+    Null and empty texts score as texts without findings and stay, repeated
+    rows are judged alike, an empty table stays empty.
+    """
     small_batches(docs.sparkSession)
     return docs.mapInArrow(_keep(model, threshold, docs.columns), docs.schema)

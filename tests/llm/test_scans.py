@@ -310,16 +310,78 @@ LICENSES = [
 ]
 
 
+BY_NC = "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+PERMISSION = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+DENIED = [
+    "This work is not licensed under a Creative Commons Attribution 4.0 International License, permission is refused.",
+    "It was never licensed under the GNU Lesser General Public License.",
+]
+CLAUSES = (
+    "Permission is hereby granted, as the holders decided after long talks, free of charge, to any person obtaining a copy of this "
+    "software and associated documentation files, whatever their form may be on that day, the software, to deal in the software without restriction"
+)
+
+
+def plain_labels(text, cover=licenses.COVER):
+    """(labels, score) from all matches of all templates, without any join."""
+    words = [w for w in re.split(licenses.SPLIT, "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
+    labels, notices, score = set(), [], 0.0
+    for n, (form, label) in enumerate([*licenses.PHRASES, *licenses.NOTICES]):
+        t, base = form.split(), n < len(licenses.PHRASES)
+        hits = [(i, j) for i in range(len(words) - 2) for j in range(len(t) - 2) if words[i : i + 3] == t[j : j + 3]]
+        groups = []
+        for d in sorted({i - j for i, j in hits}):
+            if not base and groups and d - groups[-1][-1] <= max(3, len(t) // 2):
+                groups[-1].append(d)
+            else:
+                groups.append([d])
+        for group in groups:
+            mine = [(i, j) for i, j in hits if i - j in group]
+            ours, theirs = {i + k for i, _ in mine for k in range(3)}, {j + k for _, j in mine for k in range(3)}
+            matched, start, end = min(len(ours), len(theirs)), min(ours), max(ours) + 1
+            if base:
+                found = matched / len(t)
+                labels |= {label} if found == 1 else set()
+            else:
+                seen = {i + o for i, _ in mine for o in (-2, -1, 3, 4)} - ours
+                denied = any(start - 2 <= p < end and 0 <= p < len(words) and words[p] in licenses.NEGATIONS for p in seen)
+                found = 0.0 if denied else 2 * matched / (len(t) + end - start)
+                notices.append((start, end, n, found, matched, label))
+            score = max(score, found)
+    notices.sort()
+    while notices:
+        stretch, reach = [notices.pop(0)], 0
+        reach = stretch[0][1]
+        while notices and notices[0][0] < reach:
+            stretch.append(notices.pop(0))
+            reach = max(reach, stretch[-1][1])
+        best = max(stretch, key=lambda r: (r[3], r[4], -r[2], r[0]))
+        labels |= {r[5] for r in stretch if r[3] >= cover and (r is best or r[0] >= best[1] or r[1] <= best[0])}
+    return ",".join(sorted(labels)), score
+
+
 def test_license_report(spark, docs, odd_docs, no_docs):
-    extra = spark.createDataFrame([(200 + i, t) for i, t in enumerate(LICENSES)], "doc_id long, text string")
-    for table in (docs, odd_docs, extra):
+    texts = [*LICENSES, BY_NC, *DENIED, CLAUSES, f"{BY_NC} {PERMISSION}. {BY_NC}", *(f"xx {t} yy" for t, _ in licenses.NOTICES)]
+    texts += [" ".join(t.split()[:n] + ["other", "words"] * (n % 3) + t.split()[n + n % 2 :]) for n, (t, _) in enumerate(licenses.NOTICES)]
+    extra = spark.createDataFrame([(200 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    short_odd = odd_docs.where("doc_id is null or doc_id <> 8")
+    for table in (docs.where("doc_id < 60"), short_odd, extra):
         rows = [(r["doc_id"], r["text"]) for r in table.select("doc_id", "text").collect()]
         got = licenses.license_report(table).collect()
-        short = sorted([(r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in got], key=repr)
-        assert short == sorted([(d, *plain_base(t)) for d, t in rows], key=repr)
+        base = sorted([(r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in got], key=repr)
+        assert base == sorted([(d, *plain_base(t)) for d, t in rows], key=repr)
+        labels = sorted([(r["doc_id"], r["labels"], round(r["score"], 9)) for r in got], key=repr)
+        want = [(d, *plain_labels(t)) for d, t in rows]
+        assert labels == sorted([(d, names, round(score, 9)) for d, names, score in want], key=repr)
         for r in got:
             assert 0 <= r["score"] <= 1 and set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(","))
             assert r["n_base"] == 0 or r["score"] == 1
-    last = [r for r in got if r["doc_id"] == 204][0]
-    assert last["labels"] == "mit" and last["n_base"] == 0 and 0.6 <= last["score"] < 1
+    found = {texts[r["doc_id"] - 200]: (r["labels"], r["score"]) for r in got}
+    assert found[LICENSES[4]][0] == "mit" and 0.6 <= found[LICENSES[4]][1] < 1
+    assert found[BY_NC] == ("cc-by-nc", 1.0) and found[CLAUSES][0] == "mit"
+    assert [found[t][0] for t in DENIED] == ["", ""]
+    assert found[f"{BY_NC} {PERMISSION}. {BY_NC}"][0] == "cc-by-nc,mit"
+    for t, label in licenses.NOTICES:
+        assert label in found[f"xx {t} yy"][0].split(",") and found[f"xx {t} yy"][1] == 1.0
+    assert licenses.license_report(docs).count() == docs.count() and licenses.license_report(odd_docs).count() == odd_docs.count()
     assert licenses.license_report(no_docs).count() == 0

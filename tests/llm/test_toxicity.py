@@ -5,6 +5,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
+import regex
 from llm_data import *  # noqa: F403
 
 from opstide.llm import op05_toxicity as tox
@@ -109,3 +110,59 @@ def test_long_words_are_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, 0, i % 2) for i in ids], "doc_id long, quality int, toxic int")
     assert word in tox.fit(docs, labels).terms
+
+
+ABUSE = [
+    "“idiot”, they said", "«moron» und mehr", "you idiot—go away", "你是idiot吗", "an idiot and more", "idiot…", "İdiot ſcum", "x\U0001f600moron\U0001f600y",
+    "ไทยidiotไทย", "naïve idioté", "stupid²", "a’idiot‘b", "idiot" + "́", "word " * 30 + "„trash“ " + "word " * 30,
+]
+
+
+def test_typographic_signs_part_words():
+    model = tox.ToxicityModel(list(tox.SEED_TERMS))
+    base = score(model, "a calm text")
+    for text in ABUSE[:6] + ABUSE[7:9]:
+        assert score(model, text) > base
+    for text in ("you idiot—go away", "你是idiot吗", "an idiot and more", "idiot…"):
+        assert score(model, text) == score(model, "you are an idiot") >= tox.THRESHOLD
+    assert score(model, "“idiot”, the word") < score(model, "you are an idiot")
+    words = ["ünï", "2", "中文", "x", "क्षि"]
+    data, at = tox.bytes_of(pa.array(["ünï–2…中文x “क्षि”\U0001f600", ""]))
+    begins, ends = tox._word_spans(data, at)
+    assert [data[i:j].tobytes().decode() for i, j in zip(begins, ends)] == words
+
+
+def plain_score(model, text, near):
+    """Score from all words and all terms, one at a time."""
+    text = (text or "").replace("İ", "i").lower()  # one letter for one letter
+    unspaced = "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in tox.UNSPACED)
+    pictures = f"{chr(tox.PICTURES[0])}-{chr(tox.PICTURES[1] - 1)}"
+    strong, best = 1.0, model.base
+    for m in regex.finditer(rf"(?V1)[[\p{{L}}\p{{M}}\p{{N}}]&&[{unspaced}]]+|[[\p{{L}}\p{{M}}\p{{N}}]--[{unspaced}{pictures}]]+", text):
+        if m[0] not in near:
+            found = [distance(t, m[0]) for t in model.terms if abs(len(t) - len(m[0])) <= 2 and distance(t, m[0]) <= tox.allowed(t)]
+            near[m[0]] = min(found, default=None)
+        if near[m[0]] is None:
+            continue
+        raw = text.encode()
+        begin, end = len(text[: m.start()].encode()), len(text[: m.end()].encode())
+        before, after = raw[max(0, begin - 60) : begin].decode(errors="ignore"), raw[end : end + 60].decode(errors="ignore")
+        quotes = sum(c in tox.QUOTES for c in before) % 2 == 1 and any(c in tox.QUOTES for c in after)
+        weight = model.pooled[near[m[0]], int(quotes or bool(tox.REPORTING.search(before)))]
+        best = max(best, weight)
+        strong *= 1 - min(weight, 0.999999) if weight >= 0.5 and (m[0], weight) else 1
+    return best, strong
+
+
+def test_scores_against_all_terms(docs, odd_docs):
+    """One hit after the other; hits of equal term, edits and quotation count once, so only their kinds are compared."""
+    model, near = tox.ToxicityModel(list(tox.SEED_TERMS)), {}
+    rows = [r["text"] for r in docs.select("text").collect()] + [r["text"] for r in odd_docs.where("doc_id <> 8").collect()] + ABUSE
+    got, _ = tox.scores(model, tox.LexiconTrie(model.terms), pa.array([t or "" for t in rows]))
+    for text, value in zip(rows, got):
+        best, strong = plain_score(model, text, near)
+        assert value >= best - 1e-9
+        # one strong finding alone scores its weight; more add up to at most what all of them would
+        assert value <= max(best, 1 - strong) + 1e-9
+        if 1 - strong <= best + 1e-9:
+            assert abs(value - best) < 1e-9
