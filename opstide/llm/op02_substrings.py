@@ -10,12 +10,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .common import digest, documents_of, packed_rows, unused
 
 #: UTF-8 bytes that a run of neighbouring repeated units has at least; shorter ones repeat by chance.
 MIN_BYTES = 150
 #: What ends a unit: a line end and the end of a sentence, a line end, or an empty line.
 SENTENCES, LINES, PARAGRAPHS = r"[.!?]+[ \t\r]+|[。！？]+|\n", r"\n", r"\n[^\S\n]*\n\s*"
+#: Most units whose first occurrences are broadcast.
+HOT = 1000
 #: Units held before a task passes them on.
 UNITS = 50_000
 BLANKS = " \t\r\n"
@@ -71,13 +74,19 @@ def repeated_runs(docs: DataFrame, separator: str = SENTENCES, min_bytes: int =
     rows = documents_of(docs).select("doc_id", digest("text").alias("digest"), "text")
     units = rows.mapInArrow(_units(separator), UNIT_COLUMNS)
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "start")
-    first = (
-        units.groupBy("high", "low")
-        .agg(F.min(rank).alias("first"), F.max(rank).alias("rest"))
-        .where("first <> rest")
-        .select("high", "low", "first")
-    )
-    again = units.join(first, ["high", "low"]).where(rank != F.col("first"))
+    first = units.groupBy("high", "low").agg(F.min(rank).alias("first"), F.max(rank).alias("rest"), F.count("*").alias("n"))
+    first = materialise(first.where("first <> rest").select("high", "low", "first", "n"), "repeated-units")
+    total = first.agg(F.sum("n")).first()[0] or 0
+    # a unit that makes up a part of 1 / HOT of the repeated ones is hot, so there are at most HOT of them
+    hot = first.where(F.col("n") * HOT >= total).select(F.col("high").alias("hot_high"), F.col("low").alias("hot_low"), F.col("first").alias("hot_first"))
+    cold = first.where(F.col("n") * HOT < total).select(F.col("high").alias("key"), F.col("low").alias("cold_low"), "first")
+    known = units.join(F.broadcast(hot), (units["high"] == hot["hot_high"]) & (units["low"] == hot["hot_low"]), "left")
+    # rows of hot units need no partner any more and are dealt evenly
+    known = known.withColumn("dealt", F.when(F.col("hot_first").isNotNull(), F.xxhash64("doc_id", "digest", "place")).otherwise(F.col("high")))
+    joined = known.join(cold, (known["dealt"] == cold["key"]) & (known["low"] == cold["cold_low"]), "left")
+    joined = joined.withColumn("first", F.coalesce("hot_first", "first"))
+    again = joined.where(F.col("first").isNotNull() & (rank != F.col("first")))
+    again = again.select("doc_id", "digest", "place", "start", "end", "size", "first")
     order = Window.partitionBy("doc_id", "digest").orderBy("place")
     step = F.col("place") - F.lag("place").over(order)  # none for the copy of a repeated row
     again = again.withColumns({"new": F.coalesce(step != 0, F.lit(True)), "begins": F.coalesce(step > 1, F.lit(True)).cast("int")})
@@ -107,9 +116,11 @@ def repeated_units(docs: DataFrame, separator: str = SENTENCES, min_bytes: int =
     stands around it, and a sentence that repeats by chance stays. Rows equal in
     doc_id and text are one document. Null and empty texts have no units.
 
-    The rank is a minimum, so equal units meet only as one row per task; a unit
-    of many documents is joined back as a skewed join that Spark splits. Runs
-    are formed from the repeated units of one document.
+    The rank is a minimum, so equal units meet only as one row per task. Units
+    that make up a thousandth of the repeated ones or more, at most a thousand
+    of them, are joined back by broadcast, the others by shuffle, so no task
+    gets all places of a common line. Runs are formed from the repeated units
+    of one document.
     """
     return repeated_runs(docs, separator, min_bytes).drop("run")
 
