@@ -159,7 +159,7 @@ def _(t):
 @query("a31_slow_query_report", f"""
 WITH m AS (SELECT query_text, date_trunc('month', event_date - CAST(query_id % 3 * 31 AS int))::date AS month,
     avg(duration) AS d, count(*) AS runs FROM slow_queries GROUP BY 1, 2),
-c AS (SELECT *, (d - lag(d) OVER w) / nullif(lag(d) OVER w, 0) * 100 AS change_pct FROM m
+c AS (SELECT *, CASE WHEN lag(month) OVER w = month - INTERVAL 1 MONTH THEN (d - lag(d) OVER w) / nullif(lag(d) OVER w, 0) * 100 END AS change_pct FROM m
   WINDOW w AS (PARTITION BY query_text ORDER BY month))
 SELECT query_text, month, round(d, 4) AS mean_duration, runs, round(change_pct, 4) AS change_pct,
   array_to_string(list_sort(list_distinct(regexp_extract_all(query_text, '_([A-Za-z]+[0-9]*)', 1))), ',') AS tables,

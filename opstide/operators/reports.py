@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,19 +151,23 @@ def budget_check(df: DataFrame, budget: float) -> DataFrame:
 
 
 def slow_query_report(df: DataFrame, as_of: AsOf, margin_pct: float = 10.0) -> DataFrame:
-    """Latest month per query: mean time, change to the month before, tables and a label."""
-    month = F.trunc("event_date", "MM")
-    monthly = (
-        df.filter(F.col("event_date") <= date_literal(as_of))
-        .groupBy("query_text", month.alias("month"))
-        .agg(F.avg("duration").alias("mean_duration"), F.count("*").alias("runs"))
-    )
-    before = F.lag("mean_duration").over(Window.partitionBy("query_text").orderBy("month"))
+    """This month per query: mean time, change to the calendar month before (null without runs in it), tables and a label.
+
+    Only the two months are read, in one aggregation.
+    """
     current = as_datetime(as_of).date().replace(day=1)
-    change = F.col("change_pct")
+    earlier = (current - timedelta(days=1)).replace(day=1)
+    day, change = F.col("event_date"), F.col("change_pct")
+    now = day >= date_literal(current)
+    rows = df.filter((day >= date_literal(earlier)) & (day <= date_literal(as_of)))
+    means = rows.groupBy("query_text").agg(
+        F.avg(F.when(now, F.col("duration"))).alias("mean_duration"),
+        F.avg(F.when(~now, F.col("duration"))).alias("_before"),
+        F.count_if(now).alias("runs"),
+    )
     return (
-        monthly.withColumn("change_pct", pct_change(before, "mean_duration"))
-        .filter(F.col("month") == date_literal(current))
+        means.filter("runs > 0")
+        .select("query_text", date_literal(current).alias("month"), "mean_duration", "runs", pct_change("_before", "mean_duration").alias("change_pct"))
         .withColumns(
             {
                 "tables": F.array_sort(extract_tables("query_text")),

@@ -183,8 +183,8 @@ def retain(spark: SparkSession, path: str, as_of: AsOf, table: str, day: str = "
     boundary = start.year * 100 + start.month
     stored = spark.read.parquet(path)
     kept = stored.filter((F.col(partition) == boundary) & (F.col(day) >= date_literal(start)))
-    staged = f"{path.rstrip('/')}__staged"
-    kept.write.mode("overwrite").parquet(staged)
+    staged = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex[:12]}"
+    kept.write.parquet(staged)
     remaining = spark.read.parquet(staged)
     boundary_empty = remaining.isEmpty()
     if not boundary_empty:
@@ -197,6 +197,7 @@ def retain(spark: SparkSession, path: str, as_of: AsOf, table: str, day: str = "
             month = int(name.split("=")[1])
             if month < boundary or (month == boundary and boundary_empty):
                 fs.delete(status.getPath(), True)
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(staged), True)
 
 
 def default_thresholds(spark: SparkSession) -> DataFrame:
