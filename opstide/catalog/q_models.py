@@ -7,7 +7,7 @@ from ..functions.text import normalise_text, with_error_type
 from ..operators import reports as E
 from ..operators.features import SESSION_FEATURES, operation_features
 from ..plans import models as M
-from ..plans.iforest import Forest, iforest_fit, iforest_score
+from ..plans.iforest import Forest, iforest_fit, iforest_score, training_scores
 from ..plans.sessions import anomaly_verdict, model_warnings
 from ..session import materialise, scratch_path
 from .q_features import session_frame
@@ -33,17 +33,14 @@ def _(t):
 
 @query("m16_iforest_score")
 def _(t):
-    frame, model = _session_forest(t)
-    path = scratch_path(t.spark, "forest")
-    model.save(t.spark, path)
-    scored = iforest_score(frame, Forest.load(t.spark, path))
-    return scored.select("date", "hour", "score", "prediction")
+    _, model = _session_forest(t)
+    return training_scores(model).select("date", "hour", "score", "prediction")
 
 
 @query("m16_most_anomalous_hours")
 def _(t):
-    frame, model = _session_forest(t)
-    scored = iforest_score(frame, model).filter(F.col("prediction") == -1)
+    _, model = _session_forest(t)
+    scored = training_scores(model).filter(F.col("prediction") == -1)
     return scored.select("date", "hour", "sessions", "score").orderBy("score", "date", "hour").limit(10)
 
 
@@ -51,14 +48,17 @@ def _(t):
 def _(t):
     queries = t.slow_queries
     model = iforest_fit(queries, ["duration"], ["query_id"], contamination=0.1)
-    return iforest_score(queries, model).filter(F.col("prediction") == -1).select("query_id", "duration", "score")
+    return training_scores(model).filter(F.col("prediction") == -1).select("query_id", "duration", "score")
 
 
 @query("m18_model_verdict")
 def _(t):
     frame, model = _session_forest(t)
+    # A stored forest judges rows as a later job would.
+    path = scratch_path(t.spark, "forest")
+    model.save(t.spark, path)
     hour_start = F.timestamp_add("HOUR", F.col("hour"), F.col("date").cast("timestamp_ntz"))
-    scored = iforest_score(frame, model).withColumn("hour_start", hour_start)
+    scored = iforest_score(frame, Forest.load(t.spark, path)).withColumn("hour_start", hour_start)
     return anomaly_verdict(model_warnings(scored))
 
 
@@ -114,6 +114,15 @@ def _(t):
     return _hits(scored, accuracy)
 
 
+@query("m22_class_probabilities")
+def _(t):
+    labels, scored = M.train_error_probabilities(_labelled_errors(t))
+    names = F.array(*[F.lit(x) for x in labels])
+    return scored.select(
+        "doc_id", "error_type", F.get(names, F.col("prediction").cast("int")).alias("predicted_type"), "probability"
+    )
+
+
 @query("m23_train_duration_rf")
 def _(t):
     rows = operation_features(t.operation_log)
@@ -149,6 +158,25 @@ def _(t):
     return M.co_occurrence(t.techlog, "user_name", "context", anchors.select(F.col("context").alias("anchor")))
 
 
+# Contexts that a session opens on one day; rules from one context to one context.
+@query("m35_usage_rules", """
+WITH b AS (SELECT DISTINCT session, event_date, context FROM techlog),
+n AS (SELECT count(DISTINCT (session, event_date)) AS n FROM b),
+i AS (SELECT context, count(*) AS c FROM b GROUP BY 1),
+p AS (SELECT x.context AS context, y.context AS leads_to, count(*) AS c
+      FROM b x JOIN b y ON x.session = y.session AND x.event_date = y.event_date AND x.context <> y.context GROUP BY 1, 2)
+SELECT p.context, leads_to, round(p.c / i.c::double, 6) AS confidence, round(p.c / i.c::double / (j.c / n::double), 6) AS lift,
+  round(p.c / n::double, 6) AS support
+FROM p JOIN i ON p.context = i.context JOIN i j ON p.leads_to = j.context, n
+WHERE p.c >= ceil(0.0006::double * n) AND p.c / i.c::double >= 0.01""", digits=6)
+def _(t):
+    rules = M.usage_rules(t.techlog, ["session", "event_date"], "context", min_support=0.0006, min_confidence=0.01)
+    single = rules.filter(F.size("antecedent") == 1)
+    return single.select(
+        F.col("antecedent")[0].alias("context"), F.col("consequent")[0].alias("leads_to"), "confidence", "lift", "support"
+    )
+
+
 PROBE = "connection to the server was lost during data transfer"
 
 

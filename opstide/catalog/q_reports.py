@@ -123,7 +123,7 @@ FROM (SELECT *, avg(value) OVER w AS mean, stddev_pop(value) OVER w AS std FROM
   WINDOW w AS (PARTITION BY instance ORDER BY ts RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW))
 WHERE abs(value - mean) / nullif(std, 0) > 2 AND ts >= {NOW} - INTERVAL 7 DAY AND ts <= {NOW}""", digits=9)
 def _(t):
-    chart = S.control_chart(t.metric_samples, AS_OF, ["instance"], sigmas=2.0)
+    chart = S.control_chart(t.metric_samples, AS_OF, ["instance"], sigmas=2.0, last_days=7)
     found = chart.filter("alarm").select(
         F.col("ts").alias("detected_at"),
         F.col("instance").alias("metric_name"),
@@ -265,6 +265,16 @@ def _(t):
     return G.user_growth_fit(t.license_stats)
 
 
+@query("m26_user_growth_forecast")
+def _(t):
+    return G.user_growth_forecast(t.license_stats)
+
+
+@query("m27_license_outlook")
+def _(t):
+    return G.license_plan(G.user_growth_forecast(t.license_stats))
+
+
 @query("m28_seasonal_forecast")
 def _(t):
     return G.seasonal_forecast(t.metric_samples, "instance", 48)
@@ -287,6 +297,11 @@ def _(t):
     return G.ar_forecast(_daily_tickets(t), "priority", "tickets")
 
 
+@query("m29_arma_forecast")
+def _(t):
+    return G.arma_forecast(_daily_tickets(t), "priority", "tickets")
+
+
 NEXT = f"""(SELECT product, last_version, '8.3.' || (CAST(split_part(last_version, '.', 3) AS bigint) + 1) AS next_version,
   last_date + CAST(floor(round(avg_interval, 9)) AS int) AS next_date,
   last_date + CAST(floor(round(avg_interval - std_interval, 9)) AS int) AS confidence_low,

@@ -119,6 +119,14 @@ def _(t):
     return samples.instant(t.metric_samples, "active_sessions", AS_OF, ["instance"])
 
 
+# A series whose newest sample is over a day old is not shown, and no older sample is read.
+@query("s6_instant_fresh", f"""
+SELECT instance, max(ts) AS ts, arg_max(value, ts) AS value FROM metric_samples
+WHERE metric = 'active_sessions' AND ts >= {NOW} - INTERVAL 24 HOUR AND ts <= {NOW} GROUP BY instance""")
+def _(t):
+    return samples.instant(t.metric_samples, "active_sessions", AS_OF, ["instance"], hours=24)
+
+
 @query("s6_tagged_samples", """
 SELECT instance, metric, count(*) AS n, max(value) AS peak FROM metric_samples GROUP BY instance, metric""")
 def _(t):

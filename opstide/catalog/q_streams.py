@@ -141,6 +141,28 @@ def _(t):
     return without_sketches(R.rolling_last_hour(stored(t, streamed(t, "lock_events"), R.lock_quarter_partials, "last_hour")))
 
 
+# At every quarter the score that the lock risk would give at that time, end excluded; the trend is over exact spans.
+@query("st4_rolling_risk", f"""
+WITH w AS (SELECT unnest(range(0, 4)) AS k),
+e AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, event_datetime) + INTERVAL 15 MINUTE * (k + 1) AS as_of FROM lock_events, w),
+s AS (SELECT as_of, count(*) AS total_locks, {DL} AS deadlocks, {TT} AS timeouts,
+  avg(lock_wait_time) / 1000 AS avg_wait_ms, max(lock_wait_time) / 1000 AS max_wait_ms FROM e GROUP BY 1),
+d AS (SELECT as_of, CAST(event_datetime AS date) AS day, avg(lock_wait_time) AS wait FROM s JOIN lock_events
+  ON event_datetime < as_of AND event_datetime >= as_of - INTERVAL 7 DAY GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY as_of ORDER BY day) AS rn, count(*) OVER (PARTITION BY as_of) AS n FROM d),
+h AS (SELECT as_of, avg(wait) FILTER (WHERE rn <= n // 2) AS a, avg(wait) FILTER (WHERE rn > n // 2) AS b FROM r GROUP BY 1 HAVING count(*) >= 2),
+t AS (SELECT as_of, CASE WHEN a > 0 THEN (b - a) / a * 100 ELSE 0 END AS trend_pct FROM h),
+p AS (SELECT s.*, trend_pct, CAST((CASE WHEN deadlocks >= 1 THEN 50 ELSE 0 END)
+    + (CASE WHEN max_wait_ms > 1000 THEN 30 WHEN avg_wait_ms > 500 THEN 15 ELSE 0 END)
+    + (CASE WHEN trend_pct > 100 THEN 40 WHEN trend_pct > 50 THEN 20 ELSE 0 END) AS int) AS risk_score FROM s LEFT JOIN t USING (as_of))
+SELECT * REPLACE (round(avg_wait_ms, 4) AS avg_wait_ms, round(max_wait_ms, 4) AS max_wait_ms, round(trend_pct, 4) AS trend_pct),
+  CASE WHEN risk_score >= 70 THEN 'critical' WHEN risk_score >= 40 THEN 'high' WHEN risk_score >= 20 THEN 'warning'
+  ELSE 'normal' END AS risk_level FROM p""")
+def _(t):
+    risk = R.rolling_risk(stored(t, streamed(t, "lock_events"), R.lock_quarter_partials, "rolling_risk"))
+    return without_sketches(risk).drop("warnings")
+
+
 @query("st4_rolling_sessions", f"""
 WITH w AS (SELECT unnest(range(0, 4)) AS k),
 e AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, event_datetime) + INTERVAL 15 MINUTE * (k + 1) AS as_of FROM session_events, w)

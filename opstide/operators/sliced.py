@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import AsOf, epoch_micros, from_epoch_micros, ts_literal
+from ..functions.timeparts import AsOf, epoch_micros, from_epoch_micros, ts_literal, within
 from ..session import materialise, remove_since, written
 
 SECOND = 1_000_000
@@ -74,10 +74,15 @@ def trailing_sums(
 
 
 def control_chart(
-    samples: DataFrame, as_of: AsOf, labels: list[str], days: int = 7, sigmas: float = 3.0
+    samples: DataFrame, as_of: AsOf, labels: list[str], days: int = 7, sigmas: float = 3.0, last_days: int | None = None
 ) -> DataFrame:
-    """Trailing mean and population deviation per sample, the control band and the alarm."""
-    rows = samples.filter(F.col("ts") <= ts_literal(as_of))
+    """Trailing mean and population deviation per sample, the control band and the alarm.
+
+    With ``last_days`` the chart holds only the samples of that span before ``as_of``,
+    and reads no more than the range of its first one.
+    """
+    read = None if last_days is None else days + last_days
+    rows = samples.filter(F.col("ts") <= ts_literal(as_of)) if read is None else within(samples, "ts", as_of, days=read)
     # Values are taken relative to the series' rounded mean: the squares stay small
     # and whole-number series are summed without any rounding.
     centres = rows.groupBy(*labels).agg(F.round(F.avg("value")).alias("_a"))
@@ -89,6 +94,8 @@ def control_chart(
     differs = F.coalesce(F.col("value") != F.col("_next"), F.lit(False)).cast("int")
     x = F.col("value") - F.col("_a")
     sums = trailing_sums(timed, labels, {"w": days * DAY}, {"_n": F.lit(1), "_s1": x, "_s2": x * x, "_ch": differs})
+    if last_days is not None:
+        sums = within(sums, "ts", as_of, days=last_days)
     n = F.col("_n_w")
     mean = F.col("_s1_w") / n
     square = F.col("_s2_w") / n

@@ -36,8 +36,8 @@ def daily_deviation(df: DataFrame, as_of: AsOf, days: int = 30, exact: bool = Tr
     ).withColumn("deviation", F.try_divide(F.col("queries") - F.col("avg_7d"), F.col("std_7d")))
 
 
-def _numbered(daily: DataFrame, order: str) -> DataFrame:
-    everything = Window.partitionBy()
+def _numbered(daily: DataFrame, order: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    everything = Window.partitionBy(*keys)
     return daily.withColumns(
         {"_rn": F.row_number().over(everything.orderBy(order)), "_n": F.count("*").over(everything)}
     )
@@ -57,7 +57,7 @@ def weekly_trend(df: DataFrame, as_of: AsOf, days: int = 7, mode: str = "halves"
     return trend_of_days(daily, mode)
 
 
-def trend_of_days(daily: DataFrame, mode: str = "halves") -> DataFrame:
+def trend_of_days(daily: DataFrame, mode: str = "halves", keys: tuple[str, ...] = ()) -> DataFrame:
     rn, n = F.col("_rn"), F.col("_n")
     if mode == "ends":
         early, late, enough, digits = rn <= 3, rn > n - 3, 4, 1
@@ -65,7 +65,8 @@ def trend_of_days(daily: DataFrame, mode: str = "halves") -> DataFrame:
         half = F.floor(n / 2)
         early, late, enough, digits = rn <= half, rn > half, 2, None
     means = (
-        _numbered(daily, "date")
+        _numbered(daily, "date", keys)
+        .groupBy(*keys)
         .agg(
             F.avg(F.when(early, F.col("avg_wait"))).alias("first"),
             F.avg(F.when(late, F.col("avg_wait"))).alias("second"),
@@ -75,6 +76,7 @@ def trend_of_days(daily: DataFrame, mode: str = "halves") -> DataFrame:
     )
     change = F.when(F.col("first") > 0, pct_change("first", "second")).otherwise(0.0)
     return means.select(
+        *keys,
         (F.round(change, digits) if digits else change).alias("trend_pct"),
         (F.col("first") / 1000).alias("avg_first_ms"),
         (F.col("second") / 1000).alias("avg_second_ms"),

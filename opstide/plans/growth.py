@@ -122,6 +122,48 @@ def user_growth_fit(monthly: DataFrame) -> DataFrame:
     return model.select("month", "total_users", linear_value(_quadratic(USER_FEATURES)).alias("fitted_users"))
 
 
+FORECAST_FEATURES = ["month_num", "users_lag_3", "users_lag_6", "users_before_3"]
+
+
+def user_growth_forecast(monthly: DataFrame, months: int = 12, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Users of the next ``months`` months, each step fed with the earlier ones; at least zero.
+
+    The quadratic model takes the mean of the three months before instead of the
+    mean that holds the month itself, which is not known ahead. Only the newest six
+    months of each key are rolled on, as one array; keys without six months have no row.
+    """
+    ordered = Window.partitionBy(*keys).orderBy("month")
+    before = F.avg("total_users").over(ordered.rowsBetween(-3, -1))
+    frame = user_growth_features(monthly, keys).withColumn("users_before_3", before)
+    known = frame.select(*keys, "total_users", *FORECAST_FEATURES).dropna()
+    models = fit_ols(known, list(keys), _quadratic(FORECAST_FEATURES), "total_users").select(*keys, "coef")
+    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("month")))
+    state = (
+        frame.withColumn("_rank", newest)
+        .groupBy(*keys)
+        .agg(
+            F.sort_array(F.collect_list(F.when(F.col("_rank") <= 6, F.struct("month", "total_users")))).alias("_recent"),
+            F.max("month").alias("_last"),
+            F.count("*").alias("_n"),
+        )
+        .filter(F.size("_recent") == 6)
+        .withColumn("_users", F.transform("_recent.total_users", lambda u: u.cast("double")))
+    )
+    rows = state.join(models, list(keys)) if keys else state.withColumn("coef", models.select("coef").scalar())
+
+    def ahead(users: Column, step: Column) -> Column:
+        back = lambda i: F.element_at(users, -i)
+        single = [(F.col("_n") - 1 + step).cast("double"), back(3), back(6), (back(1) + back(2) + back(3)) / 3]
+        features = [*single, *[a * b for i, a in enumerate(single) for b in single[i:]]]
+        return F.concat(users, F.array(F.greatest(linear_value(features), F.lit(0.0))))
+
+    rolled = F.aggregate(F.sequence(F.lit(1), F.lit(months)), F.col("_users"), ahead)
+    steps = rows.select(*keys, "_last", F.posexplode(F.slice(rolled, 7, months)).alias("_step", "users_forecast"))
+    return steps.filter(F.col("users_forecast").isNotNull()).select(
+        *keys, F.add_months("_last", F.col("_step") + 1).alias("month"), "users_forecast"
+    )
+
+
 def license_plan(forecast: DataFrame, safety: float = 1.1, price: float = 1800.0, order: str = "month") -> DataFrame:
     """Licences, cost and growth against the first period for a user forecast."""
     first = F.first("users_forecast").over(Window.partitionBy().orderBy(order))
@@ -289,3 +331,76 @@ def ar_forecast(daily: DataFrame, key: str, value: str, *, date: str = "date", l
     )
     rows = models.join(state, key).select(F.col(key).cast("string").alias("key"), "coef", "recent", "last_date", "last_value")
     return rows.mapInPandas(_roll_ar(lags, steps), "key string, step int, date date, forecast double")
+
+
+def arma_fit(
+    daily: DataFrame, key: str, value: str, *, date: str = "date", lags: int = 7, averages: int = 7, long: int = 14
+) -> tuple[DataFrame, DataFrame]:
+    """Autoregression with moving-average terms on daily differences, fitted in two regressions.
+
+    A long autoregression yields the errors; the change of a day is then regressed on
+    its own lags and on the lagged errors.  Both come from grouped sums.  Returns the
+    models (key, n, coef: constant, lags, errors) and the rows (key, date, ``_v``, ``_d``,
+    first-stage error ``_e``).  Days without a value are no rows of a regression.
+    """
+    ordered = Window.partitionBy(key).orderBy(date)
+    level = F.col("_v")
+    base = daily.select(F.col(key), F.col(date), F.col(value).cast("double").alias("_v"))
+    differenced = base.withColumn("_d", level - F.lag(level).over(ordered))
+    past = [f"_d{i}" for i in range(1, max(lags, long) + 1)]
+    frame = differenced.withColumns({n: F.lag("_d", i + 1).over(ordered) for i, n in enumerate(past)})
+    first = fit_ols(frame, [key], past[:long], "_d").filter(F.col("n") > long + 1).select(key, F.col("coef").alias("_long"))
+    gap = F.col("_d") - linear_value(past[:long], "_long")
+    # What rounding leaves of a series told exactly is no error to regress on.
+    error = F.when(F.abs(gap) > 1e-9 * F.abs("_d"), gap).when(gap.isNotNull(), 0.0)
+    errors = frame.join(first, key).withColumn("_e", error).drop("_long")
+    shocks = [f"_e{i}" for i in range(1, averages + 1)]
+    second = errors.withColumns({n: F.lag("_e", i + 1).over(ordered) for i, n in enumerate(shocks)})
+    models = fit_ols(second, [key], [*past[:lags], *shocks], "_d").filter(F.col("n") > lags + averages + 1)
+    return models, errors.select(key, date, "_v", "_d", "_e")
+
+
+def _roll_arma(key: str, date: str, lags: int, averages: int, steps: int):
+    def forecast(group: tuple, pdf: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty or model.empty:
+            return pd.DataFrame({"key": [], "step": [], "date": [], "forecast": []})
+        pdf = pdf.sort_values(date)
+        coef = np.asarray(model["coef"].iloc[0], dtype=float)
+        phi, theta = coef[1 : lags + 1], coef[lags + 1 :]
+        changes = pdf["_d"].to_numpy(float)
+        errors = np.nan_to_num(pdf["_e"].to_numpy(float))
+        # The model's own errors, if its moving average can be inverted; else those of the long autoregression stay.
+        roots = np.roots(np.concatenate([[1.0], theta]))
+        if not len(roots) or np.abs(roots).max() < 1:
+            filled = np.nan_to_num(changes)
+            for i in range(max(lags, averages) + 1, len(filled)):
+                told = coef[0] + phi @ filled[i - lags : i][::-1] + theta @ errors[i - averages : i][::-1]
+                errors[i] = filled[i] - told
+        recent = list(np.nan_to_num(changes[-lags:]))
+        shocks = list(errors[-averages:])
+        level = pdf["_v"].dropna().iloc[-1]
+        out = []
+        for _ in range(steps):
+            change = coef[0] + phi @ np.array(recent[-lags:][::-1]) + theta @ np.array(shocks[-averages:][::-1])
+            recent.append(change)
+            shocks.append(0.0)
+            level += change
+            out.append(level)
+        start = pd.Timestamp(pdf[date].iloc[-1])
+        days = [(start + pd.Timedelta(days=i)).date() for i in range(1, steps + 1)]
+        return pd.DataFrame({"key": str(group[0]), "step": range(1, steps + 1), "date": days, "forecast": out})
+
+    return forecast
+
+
+def arma_forecast(
+    daily: DataFrame, key: str, value: str, *, date: str = "date", lags: int = 7, averages: int = 7, long: int = 14, steps: int = 30
+) -> DataFrame:
+    """Every series rolled ``steps`` days ahead with lags and moving-average terms, see :func:`arma_fit`.
+
+    A series is one row per day, so a task that filters one holds as many rows as its calendar has days.
+    """
+    models, rows = arma_fit(daily, key, value, date=date, lags=lags, averages=averages, long=long)
+    roll = _roll_arma(key, date, lags, averages, steps)
+    fitted = models.select(F.col(key).alias("_key"), "coef").groupBy("_key")
+    return rows.groupBy(key).cogroup(fitted).applyInPandas(roll, "key string, step int, date date, forecast double")

@@ -9,7 +9,7 @@ enough to ship to every scoring task.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -117,6 +117,7 @@ class Forest:
     nodes: pd.DataFrame
     psi: int
     offset: float
+    training: DataFrame | None = field(default=None, compare=False, repr=False)
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Store the model as tables."""
@@ -183,13 +184,23 @@ def iforest_fit(
     nodes = built.sort_values(["tree", "node"], ignore_index=True)
     score = _scorer(df.sparkSession, nodes, psi)
     # Written once: the quantile reads the scores twice, the trees should run once.
-    scores = materialise(scaled.select((-score(*features)).alias("score")), "forest_scores")
-    offset = exact_quantile(scores, [], "score", contamination, "offset", resolution=65536).first()["offset"]
-    return Forest(scaler, nodes, psi, offset)
+    training = materialise(df.withColumn("score", -score(*scaled_columns(scaler))), "forest_scores")
+    offset = exact_quantile(training, [], "score", contamination, "offset", resolution=65536).first()["offset"]
+    return Forest(scaler, nodes, psi, offset, training)
+
+
+def _decided(df: DataFrame, decision: Column) -> DataFrame:
+    return df.withColumn("score", decision).withColumn("prediction", F.when(F.col("score") < 0, -1).otherwise(1))
+
+
+def training_scores(model: Forest) -> DataFrame:
+    """What ``iforest_score`` would yield for the rows of the fit, read from the scores that the fit stored."""
+    if model.training is None:
+        raise ValueError("a loaded forest holds no training rows")
+    return _decided(model.training, F.col("score") - F.lit(model.offset))
 
 
 def iforest_score(df: DataFrame, model: Forest) -> DataFrame:
     """Add ``score`` (negative = anomalous) and ``prediction`` (-1 or 1)."""
     score = _scorer(df.sparkSession, model.nodes, model.psi)
-    decision = -score(*scaled_columns(model.scaler)) - F.lit(model.offset)
-    return df.withColumn("score", decision).withColumn("prediction", F.when(F.col("score") < 0, -1).otherwise(1))
+    return _decided(df, -score(*scaled_columns(model.scaler)) - F.lit(model.offset))

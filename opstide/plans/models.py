@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.feature import (
     IDF,
     PCA,
@@ -22,6 +26,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 # Stop words of query texts and of error texts.
 QUERY_STOP_WORDS = ["select", "from", "where", "and", "or", "inner", "left", "join"]
 ERROR_STOP_WORDS = ["в", "на", "с", "по", "для"]
@@ -94,6 +100,105 @@ def train_error_svm(df: DataFrame, row_id: str = "doc_id"):
     return _train_text(df, row_id, svm, [])
 
 
+def fit_sigmoids(margins: DataFrame, classes: int, rounds: int = 20) -> list[tuple[float, float]]:
+    """Slope and offset of a sigmoid per class, by Newton steps over sums.
+
+    ``margins`` has ``label`` and the array ``margin``, one value per class. Targets are
+    smoothed by the class's counts, so a class that its margin separates wholly keeps a
+    finite slope. Each step is one aggregate of one row per class.
+    """
+    rows = margins.select(F.col("label").cast("int").alias("_label"), F.posexplode("margin").alias("_class", "_m"))
+    hit = F.col("_class") == F.col("_label")
+    counts = {r["_class"]: r for r in rows.groupBy("_class").agg(F.count_if(hit).alias("yes"), F.count("*").alias("n")).collect()}
+    high = [(counts[c]["yes"] + 1) / (counts[c]["yes"] + 2) if c in counts else 0.5 for c in range(classes)]
+    low = [1 / (counts[c]["n"] - counts[c]["yes"] + 2) if c in counts else 0.5 for c in range(classes)]
+    # Starts at the class's share without any slope.
+    shares = [(counts[c]["yes"] + 1) / (counts[c]["n"] + 2) if c in counts else 0.5 for c in range(classes)]
+    fits = [(0.0, math.log(share / (1 - share))) for share in shares]
+
+    def by_class(values) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("_class") + 1)
+
+    losses = [math.inf] * classes
+    steps = [(0.0, 0.0)] * classes
+    done = [c not in counts for c in range(classes)]
+    for _ in range(rounds):
+        z = by_class([a for a, _ in fits]) * F.col("_m") + by_class([b for _, b in fits])
+        p = 1 / (1 + F.exp(-z))
+        target = F.when(hit, by_class(high)).otherwise(by_class(low))
+        loss = F.greatest(z, F.lit(0.0)) - target * z + F.log1p(F.exp(-F.abs(z)))
+        m, gap, weight = F.col("_m"), p - target, p * (1 - p)
+        sums = rows.groupBy("_class").agg(
+            F.sum(loss).alias("loss"), F.sum(gap * m).alias("ga"), F.sum(gap).alias("gb"),
+            F.sum(weight * m * m).alias("haa"), F.sum(weight * m).alias("hab"), F.sum(weight).alias("hbb"),
+        )
+        for r in sums.collect():
+            c = r["_class"]
+            if done[c]:
+                continue
+            (a, b), (da, db) = fits[c], steps[c]
+            if r["loss"] > losses[c] + 1e-9 and max(abs(da), abs(db)) > 1e-9:
+                # A step too far: half of it.
+                fits[c], steps[c] = (a - da / 2, b - db / 2), (da / 2, db / 2)
+                continue
+            losses[c] = r["loss"]
+            haa, hbb = r["haa"] + 1e-12, r["hbb"] + 1e-12
+            det = haa * hbb - r["hab"] ** 2
+            da, db = -(hbb * r["ga"] - r["hab"] * r["gb"]) / det, -(haa * r["gb"] - r["hab"] * r["ga"]) / det
+            done[c] = max(abs(da), abs(db)) < 1e-7
+            fits[c], steps[c] = (a + da, b + db), (da, db)
+        if all(done):
+            break
+    return fits
+
+
+def with_probabilities(scored: DataFrame, fits: list[tuple[float, float]], margin: str = "margin") -> DataFrame:
+    """``probabilities`` per class (sum 1) from the margins, the likeliest ``prediction`` and its ``probability``."""
+    slopes = F.array(*[F.struct(F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")) for a, b in fits])
+    single = F.zip_with(margin, slopes, lambda m, s: 1 / (1 + F.exp(-(s["a"] * m + s["b"]))))
+    total = F.aggregate("_single", F.lit(0.0), lambda a, x: a + x)
+    shares = F.transform("_single", lambda x: F.when(F.col("_total") > 0, x / F.col("_total")).otherwise(1.0 / len(fits)))
+    likely = (F.array_position("probabilities", F.col("probability")) - 1).cast("double")
+    return (
+        scored.withColumn("_single", single)
+        .withColumn("_total", total)
+        .withColumn("probabilities", shares)
+        .withColumn("probability", F.array_max("probabilities"))
+        .withColumn("prediction", likely)
+        .drop("_single", "_total")
+    )
+
+
+def train_error_probabilities(df: DataFrame, row_id: str = "doc_id", folds: int = 2):
+    """Linear support-vector machines with class probabilities: labels in order, scored test rows.
+
+    The sigmoids are fitted on margins of rows that the machine in question has not
+    seen: each fold of the training rows is scored by machines of the other folds.
+    """
+    train, test = hash_split(df, row_id)
+    text = Pipeline(
+        stages=[StringIndexer(inputCol="error_type", outputCol="label", handleInvalid="keep"), *tfidf_stages("text_for_vector", 500, [])]
+    ).fit(train)
+    labels = list(text.stages[0].labels)
+    vectors = materialise(text.transform(train).select(row_id, "label", "features"), "error_vectors")
+
+    def machine(rows: DataFrame):
+        return OneVsRest(classifier=LinearSVC(maxIter=20, regParam=0.01)).fit(rows)
+
+    def margins(model, rows: DataFrame) -> DataFrame:
+        return model.transform(rows).withColumn("margin", vector_to_array("rawPrediction"))
+
+    fold = F.pmod(F.xxhash64(F.col(row_id), F.lit(43)), F.lit(folds))
+    held = []
+    for i in range(folds):
+        model = machine(vectors.filter(fold != i))
+        # A fold's machines know the classes up to the last one among their rows.
+        held.append(margins(model, vectors.filter(fold == i)).select("label", F.slice("margin", 1, len(labels)).alias("margin")))
+    fits = fit_sigmoids(materialise(reduce(DataFrame.unionByName, held), "error_margins"), len(labels))
+    scored = margins(machine(vectors), text.transform(test))
+    return labels, with_probabilities(scored, fits)
+
+
 DURATION_FEATURES = (
     "documents_count lines_count db_size_gb month day_of_month day_of_week is_weekend is_month_start is_month_end "
     "is_quarter_end is_year_end log_documents log_lines log_db_size"
@@ -155,6 +260,23 @@ def co_occurrence(df: DataFrame, user: str, item: str, anchors: DataFrame, top:
     return counts.withColumn("rank", rank).filter(F.col("rank") <= top)
 
 
+def usage_rules(
+    df: DataFrame, basket: list[str], item: str, min_support: float = 0.01, min_confidence: float = 0.1
+) -> DataFrame:
+    """Rules "who uses these items also uses that one" for all items: antecedent, consequent, confidence, lift, support.
+
+    Baskets are the distinct items per ``basket`` columns; rows without an item are left
+    out, rows without a basket column form a basket of their own value.  Frequent sets are
+    grown from conditional trees that Spark deals by item, so no basket's pairs are listed.
+    A basket holds at most the vocabulary; only items above the support reach the driver.
+    Baskets should be sparse (a day of a session, not a year of a user): the number of
+    frequent sets, and so of rules, doubles with every further item that is always used along.
+    """
+    baskets = df.filter(F.col(item).isNotNull()).groupBy(*basket).agg(F.collect_set(item).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    return model.associationRules.select("antecedent", "consequent", "confidence", "lift", "support")
+
+
 def similar_errors(df: DataFrame, probe: str, row_id: str = "doc_id", text: str = "error_text", top: int = 10) -> DataFrame:
     """Rows most similar to a probe text by TF-IDF cosine.
 

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import AsOf, ts_literal
+from ..functions.timeparts import AsOf, ts_literal, within
 
 
-def instant(df: DataFrame, metric: str, as_of: AsOf, labels: list[str]) -> DataFrame:
-    """Newest sample per label set at ``as_of``."""
+def instant(df: DataFrame, metric: str, as_of: AsOf, labels: list[str], hours: int | None = None) -> DataFrame:
+    """Newest sample per label set at ``as_of``.
+
+    With ``hours`` only that span is read, and a series without a sample in it is stale and left out.
+    """
+    rows = df.filter(F.col("ts") <= ts_literal(as_of)) if hours is None else within(df, "ts", as_of, hours=hours)
     return (
-        df.filter((F.col("metric") == metric) & (F.col("ts") <= ts_literal(as_of)))
+        rows.filter(F.col("metric") == metric)
         .groupBy(*labels)
         .agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
     )

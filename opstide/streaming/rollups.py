@@ -19,8 +19,11 @@ from ..functions.numeric import pct_change
 from ..functions.timeparts import calendar_flags, epoch_micros, from_epoch_micros, second_start
 from ..operators.joins import pair_counts
 from ..operators.rollups import DEADLOCKS, HOUR_KEYS, TIMEOUTS, non_empty
+from ..operators.windows import trend_of_days
+from ..plans.locks import score_hourly
 
 QUARTER = 15 * 60 * 1_000_000
+DAY_QUARTERS = 96
 Shape = Callable[[DataFrame], DataFrame]
 
 
@@ -298,6 +301,40 @@ def rolling_last_hour(partials: DataFrame) -> DataFrame:
     )
 
 
+def rolling_risk(partials: DataFrame, days: int = 7) -> DataFrame:
+    """Risk of the last hour, renewed every 15 minutes: statistics, the week's trend, score, level and warnings.
+
+    The trend compares the halves of the days on which the span of ``days`` before the
+    quarter has events.  It comes from sums per day and per quarter: the first day counts from
+    the span's start on, the last one up to its end.  A trend reads at most ``days`` + 1
+    rows per end, whatever the number of events.
+    """
+    day = DAY_QUARTERS
+    quarters = LOCK_QUARTER.merged(partials).select("quarter", "wait", "seen_wait")
+    inside = Window.partitionBy("_day").orderBy("quarter").rowsBetween(Window.unboundedPreceding, 0)
+    running = (
+        quarters.withColumn("_day", F.floor(F.col("quarter") / day))
+        .withColumns({"_wait": F.sum("wait").over(inside), "_seen": F.sum("seen_wait").over(inside)})
+    )
+    # What a day held up to each of its quarters, an array of at most 96.
+    so_far = F.sort_array(F.collect_list(F.struct("quarter", "_wait", "_seen")))
+    daily = running.groupBy("_day").agg(so_far.alias("_so_far"))
+    statistics = rolling_last_hour(partials).withColumn("_end", (epoch_micros("as_of") / QUARTER).cast("bigint"))
+    start = F.col("_end") - days * day
+    spans = statistics.select("_end", F.explode(F.sequence(F.floor(start / day), F.floor((F.col("_end") - 1) / day))).alias("_day"))
+
+    def before(bound: Column, c: str) -> Column:
+        earlier = F.filter("_so_far", lambda q: q["quarter"] < bound)
+        return F.coalesce(F.try_element_at(F.transform(earlier, lambda q: q[c]), F.lit(-1)), F.lit(0))
+
+    shares = spans.join(daily, "_day").withColumns(
+        {out: before(F.col("_end"), c) - before(start, c) for out, c in (("_w", "_wait"), ("_s", "_seen"))}
+    )
+    means = shares.filter(F.col("_s") > 0).select("_end", F.col("_day").alias("date"), (F.col("_w") / F.col("_s")).alias("avg_wait"))
+    trend = trend_of_days(means, keys=("_end",)).select("_end", "trend_pct")
+    return score_hourly(statistics.join(trend, "_end", "left").drop("_end"))
+
+
 def rolling_sessions(partials: DataFrame) -> DataFrame:
     """Session statistics of the last hour, renewed every 15 minutes."""
     return _rolling(SESSION_QUARTER, partials).select(

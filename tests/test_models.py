@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from opstide.operators.regress import fit_ols
 from opstide.plans import growth as G
 from opstide.plans import models as M
-from opstide.plans.iforest import Forest, fit_scaler, iforest_fit, iforest_score, standardise
+from opstide.plans.iforest import Forest, fit_scaler, iforest_fit, iforest_score, standardise, training_scores
 
 
 def test_ols_matches_lstsq(spark):
@@ -135,3 +135,130 @@ def test_forest_regression_and_candidates(spark):
     assert ranked[0]["feature"] == "a"
     best = M.score_candidates(spark, model, {"a": (1, 8), "b": (2, 6)}, n=500, top=5).collect()
     assert len(best) == 5 and all(r["a"] <= 2 for r in best)
+
+
+def test_training_scores_are_the_scores_of_the_model(spark, tmp_path):
+    df = grid(spark, 500)
+    model = iforest_fit(df, ["a", "b"], ["id"], trees=20)
+    stored, again = (df.select("id", "score", "prediction").orderBy("id").toPandas() for df in (training_scores(model), iforest_score(df, model)))
+    assert len(stored) == 501 and np.allclose(stored, again)
+    model.save(spark, str(tmp_path / "m"))
+    with pytest.raises(ValueError):
+        training_scores(Forest.load(spark, str(tmp_path / "m")))
+
+
+def test_arma_finds_planted_coefficients(spark):
+    rng = np.random.default_rng(4)
+    shock = rng.normal(0, 1, 6001)
+    change = np.zeros(6001)
+    for i in range(1, 6001):
+        change[i] = 0.3 + 0.6 * change[i - 1] + shock[i] + 0.4 * shock[i - 1]
+    level = np.cumsum(change)
+    start = dt.date(2000, 1, 1)
+    rows = [("a", start + dt.timedelta(days=i), float(v)) for i, v in enumerate(level)]
+    rows += [("b", start + dt.timedelta(days=i), float(2 * i)) for i in range(100)]
+    rows += [("short", start, 1.0), ("empty", start, None)]
+    daily = spark.createDataFrame(rows, "k string, date date, v double")
+    models, _ = G.arma_fit(daily, "k", "v", lags=1, averages=1, long=14)
+    found = {r["k"]: r for r in models.collect()}
+    assert set(found) == {"a", "b"}
+    assert found["a"]["coef"] == pytest.approx([0.3, 0.6, 0.4], abs=0.08)
+    out = {}
+    for r in G.arma_forecast(daily, "k", "v", lags=1, averages=1, steps=200).collect():
+        out.setdefault(r["key"], []).append((r["step"], r["date"], r["forecast"]))
+    assert set(out) == {"a", "b"} and all(len(v) == 200 for v in out.values())
+    line = sorted(out["b"])
+    assert [f for _, _, f in line[:3]] == pytest.approx([200, 202, 204], abs=1e-6)
+    assert line[0][1] == start + dt.timedelta(days=100)
+    # The first step knows the last shock, later ones tend to the mean change 0.3 / (1 - 0.6).
+    ahead = sorted(out["a"])
+    c, phi, theta = found["a"]["coef"]
+    error = 0.0
+    for i in range(2, 6001):
+        error = change[i] - (c + phi * change[i - 1] + theta * error)
+    assert ahead[0][2] == pytest.approx(level[-1] + c + phi * change[-1] + theta * error, abs=1e-3)
+    assert ahead[-1][2] - ahead[-2][2] == pytest.approx(c / (1 - phi), abs=1e-3)
+
+
+def plain_users_ahead(users, months):
+    def single(series, t):
+        return [float(t), series[t - 3], series[t - 6], sum(series[t - 3 : t]) / 3]
+
+    def row(series, t):
+        s = single(series, t)
+        return [1.0, *s, *[a * b for i, a in enumerate(s) for b in s[i:]]]
+
+    design = np.array([row(users, t) for t in range(6, len(users))])
+    target = np.array(users[6:], dtype=float)
+    scale = np.sqrt((design**2).sum(axis=0))
+    coef = np.linalg.lstsq(design / scale, target, rcond=None)[0] / scale
+    series = list(map(float, users))
+    for _ in range(months):
+        series.append(max(float(np.dot(coef, row(series, len(series)))), 0.0))
+    return series[len(users) :]
+
+
+def test_users_months_ahead(spark):
+    rng = np.random.default_rng(5)
+    series = {k: [int(100 + slope * i + rng.integers(-9, 10)) for i in range(60)] for k, slope in (("a", 1), ("b", 3))}
+    rows = [(k, dt.date(2000 + i // 12, i % 12 + 1, 1), u) for k, v in series.items() for i, u in enumerate(v)]
+    rows.append(("new", dt.date(2004, 1, 1), 5))
+    monthly = spark.createDataFrame(rows, "k string, month date, total_users bigint")
+    got = {}
+    for r in G.user_growth_forecast(monthly, 12, ("k",)).orderBy("k", "month").collect():
+        got.setdefault(r["k"], []).append(r)
+    assert set(got) == {"a", "b"}
+    for k, rows in got.items():
+        assert [r["month"] for r in rows] == [dt.date(2005, m, 1) for m in range(1, 13)]
+        assert [r["users_forecast"] for r in rows][:6] == pytest.approx(plain_users_ahead(series[k], 6), rel=1e-2)
+    alone = monthly.filter("k = 'a'").drop("k")
+    assert [r["users_forecast"] for r in G.user_growth_forecast(alone, 12).orderBy("month").collect()] == pytest.approx(
+        [r["users_forecast"] for r in got["a"]], rel=1e-6
+    )
+    assert G.user_growth_forecast(alone.limit(5), 12).count() == 0
+
+
+def test_sigmoids_match_the_likelihood(spark):
+    rng = np.random.default_rng(6)
+    label = rng.integers(0, 3, 3000)
+    margin = rng.normal(0, 1, (3000, 3)) + 1.5 * np.eye(3)[label]
+    df = spark.createDataFrame([(float(y), [float(x) for x in m]) for y, m in zip(label, margin)], "label double, margin array<double>")
+    fits = M.fit_sigmoids(df.repartition(3), 3)
+    for c, (a, b) in enumerate(fits):
+        # Zero gradient of the smoothed likelihood.
+        yes = label == c
+        target = np.where(yes, (yes.sum() + 1) / (yes.sum() + 2), 1 / ((~yes).sum() + 2))
+        gap = 1 / (1 + np.exp(-(a * margin[:, c] + b))) - target
+        assert abs(gap.sum()) < 1e-3 and abs((gap * margin[:, c]).sum()) < 1e-3
+    out = M.with_probabilities(df, fits).collect()
+    shares = np.array([r["probabilities"] for r in out])
+    assert shares.sum(axis=1) == pytest.approx(np.ones(3000))
+    assert [r["prediction"] for r in out] == list(shares.argmax(axis=1))
+    # Calibrated: in every fifth of a class's sigmoid as many rows are of the class as its mean says.
+    for c, (a, b) in enumerate(fits):
+        told = 1 / (1 + np.exp(-(a * margin[:, c] + b)))
+        bins = np.digitize(told, np.quantile(told, np.arange(0.2, 1, 0.2)))
+        assert all(abs(told[bins == i].mean() - (label[bins == i] == c).mean()) < 0.06 for i in range(5))
+
+
+def test_sigmoids_of_separated_and_missing_classes(spark):
+    rows = [(0.0, [2.0, -2.0]), (1.0, [-2.0, 2.0])] * 20
+    fits = M.fit_sigmoids(spark.createDataFrame(rows, "label double, margin array<double>"), 3)
+    assert all(np.isfinite(f).all() for f in map(np.array, fits)) and fits[0][0] > 0 and fits[2] == (0.0, 0.0)
+
+
+def test_usage_rules_against_counting(spark):
+    baskets = [["a", "b"], ["a", "b", "c"], ["a", "c"], ["b"], ["a", "b", None], ["d"]]
+    rows = [(i, x) for i, b in enumerate(baskets) for x in [*b, b[0]]]
+    got = {
+        (tuple(sorted(r["antecedent"])), r["consequent"][0]): (r["support"], r["confidence"])
+        for r in M.usage_rules(spark.createDataFrame(rows, "u int, x string"), ["u"], "x", 0.3, 0.5).collect()
+    }
+    sets = [{x for x in b if x} for b in baskets]
+    want = {}
+    for a, b in [("a", "b"), ("b", "a"), ("a", "c"), ("c", "a")]:
+        both, one = sum({a, b} <= s for s in sets), sum(a in s for s in sets)
+        if both / 6 >= 0.3 and both / one >= 0.5:
+            want[((a,), b)] = (pytest.approx(both / 6), pytest.approx(both / one))
+    assert got == want
+    assert M.usage_rules(spark.createDataFrame([], "u int, x string"), ["u"], "x").count() == 0

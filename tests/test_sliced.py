@@ -120,3 +120,18 @@ def test_no_group_of_alerts_meets_in_one_row(spark):
     alerts = spark.range(10).selectExpr("'a' AS instance", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id AS int)) AS ts")
     plan = S.successors(alerts.selectExpr("instance", "unix_micros(cast(ts AS timestamp)) AS _t"), ["instance"], 1)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect" not in plan and plan.count("Window [") == 2
+
+
+def test_chart_of_the_last_days_reads_only_its_range(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("a", start + dt.timedelta(hours=5 * i), float(i * i % 17)) for i in range(140)]
+    samples = spark.createDataFrame(rows, "k string, ts timestamp_ntz, value double")
+    as_of = "2024-01-25 00:00:00"
+    columns = ["ts", "mean", "std", "sigma"]
+    whole = S.control_chart(samples, as_of, ["k"]).filter("ts >= timestamp_ntz'2024-01-22 00:00:00'").select(*columns).orderBy("ts").collect()
+    part = S.control_chart(samples, as_of, ["k"], last_days=3).select(*columns).orderBy("ts").collect()
+    assert len(part) > 10 and [r["ts"] for r in part] == [r["ts"] for r in whole]
+    assert np.allclose([r[1:] for r in part], [r[1:] for r in whole])
+    # Nothing before the first sample's range is read.
+    poisoned = samples.withColumn("value", F.when(F.col("ts") < "2024-01-15", F.raise_error(F.lit("read"))).otherwise(F.col("value")))
+    assert S.control_chart(poisoned, as_of, ["k"], last_days=3).count() == len(part)
