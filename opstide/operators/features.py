@@ -12,10 +12,10 @@ from ..functions.text import extract_tables
 from ..functions.timeparts import AsOf, within
 
 # Model inputs of the session detector, in order.
-SESSION_FEATURES = (
-    "sessions users computers avg_duration p95_duration deadlocks exceptions timeouts "
-    "sessions_deviation sessions_trend error_rate hour_sin hour_cos log_sessions log_duration"
-).split()
+SESSION_FEATURES = [
+    "sessions", "users", "computers", "avg_duration", "p95_duration", "deadlocks", "exceptions", "timeouts",
+    "sessions_deviation", "sessions_trend", "error_rate", "hour_sin", "hour_cos", "log_sessions", "log_duration",
+]
 
 # Storage name to training name of the hourly session columns.
 TRAINING_NAMES = {

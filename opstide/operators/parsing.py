@@ -140,9 +140,11 @@ LEGACY_NUMBERS = {
     "session": r"session=(\d+)",
     "dbpid": r"dbpid=(\d+)",
 }
-LEGACY_ORDER = (
-    "duration wait_time lock_time transaction connection session user computer app_id data context dbms dbpid block func"
-).split()
+# Fields of the legacy form, in the order in which a part is tried.
+LEGACY_ORDER = [
+    "duration", "wait_time", "lock_time", "transaction", "connection", "session", "user", "computer", "app_id",
+    "data", "context", "dbms", "dbpid", "block", "func",
+]
 LEGACY_KEYS = {"app_id": "app-id"}
 
 

@@ -9,7 +9,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.feature import (
     IDF,
     PCA,
@@ -21,6 +20,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -199,10 +199,11 @@ def train_error_probabilities(df: DataFrame, row_id: str = "doc_id", folds: int
     return labels, with_probabilities(scored, fits)
 
 
-DURATION_FEATURES = (
-    "documents_count lines_count db_size_gb month day_of_month day_of_week is_weekend is_month_start is_month_end "
-    "is_quarter_end is_year_end log_documents log_lines log_db_size"
-).split()
+# Model inputs of the duration forest.
+DURATION_FEATURES = [
+    "documents_count", "lines_count", "db_size_gb", "month", "day_of_month", "day_of_week", "is_weekend",
+    "is_month_start", "is_month_end", "is_quarter_end", "is_year_end", "log_documents", "log_lines", "log_db_size",
+]
 
 
 def train_forest(

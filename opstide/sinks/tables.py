@@ -21,14 +21,17 @@ LOCK_WIDTHS = {
     "lock_mode": 20,
     "lock_name": 200,
 }
-SESSION_COLUMNS = (
-    "event_date event_hour event_minute event_datetime session_id user_name computer_name process_name app_name "
-    "duration lock_wait_time lock_time is_deadlock is_exception is_timeout raw_line"
-).split()
-LOCK_COLUMNS = (
-    "event_date event_hour event_minute event_datetime event_type session_id transaction_id user_name process_name "
-    "table_name lock_type lock_mode lock_name lock_wait_time lock_time dbpid raw_line"
-).split()
+# Stored columns of the session and of the lock event table, in order.
+SESSION_COLUMNS = [
+    "event_date", "event_hour", "event_minute", "event_datetime", "session_id", "user_name", "computer_name",
+    "process_name", "app_name", "duration", "lock_wait_time", "lock_time", "is_deadlock", "is_exception",
+    "is_timeout", "raw_line",
+]
+LOCK_COLUMNS = [
+    "event_date", "event_hour", "event_minute", "event_datetime", "event_type", "session_id", "transaction_id",
+    "user_name", "process_name", "table_name", "lock_type", "lock_mode", "lock_name", "lock_wait_time", "lock_time",
+    "dbpid", "raw_line",
+]
 NUMERIC = {"dbpid", "transaction_id", "session_id", "duration", "lock_wait_time", "lock_time"}
 
 # Days (or months) each table is kept.
