@@ -31,7 +31,7 @@ T_QUANTILE = f"""CASE WHEN n - 2 >= 5 THEN {Z} + {(Z**3 + Z) / 4!r} / (n - 2)
 def model_sql(day=AS_OF[:10]):
     rows = split_sql(day)
     return f"""(
-SELECT c.*, round(q.mae, 2) AS mae, CASE WHEN n - train >= 2 THEN round(1 - sse / nullif(sst, 0), 3) END AS r2, q.residual_std
+SELECT c.*, round_even(q.mae, 2) AS mae, CASE WHEN n - train >= 2 THEN round_even(1 - sse / nullif(sst, 0), 3) END AS r2, q.residual_std
 FROM (SELECT volume, regr_slope(used_gb, x) FILTER (WHERE tr) AS slope, regr_intercept(used_gb, x) FILTER (WHERE tr) AS intercept,
         count(*) AS n, count(*) FILTER (WHERE tr) AS train, max(x) AS last_day, max(date) AS metric_date,
         arg_max(used_gb, date) AS current_used, avg(x) AS x_mean, regr_sxx(used_gb, x) AS sxx FROM {rows} GROUP BY 1) c
@@ -44,17 +44,17 @@ JOIN (SELECT r.volume, avg(abs(used_gb - a - b * x)) FILTER (WHERE NOT tr) AS ma
       GROUP BY 1) q ON c.volume = q.volume)"""
 
 
-DAYS_LEFT = f"CASE WHEN slope > 0 THEN greatest(0.0, round(({LIMIT} - current_used) / slope, 1)) END"
+DAYS_LEFT = f"CASE WHEN slope > 0 THEN greatest(0.0, round_even(({LIMIT} - current_used) / slope, 1)) END"
 
 
 def forecast_sql(day=AS_OF[:10]):
     margin = f"({T_QUANTILE}) * residual_std * sqrt(1 + 1.0 / n + pow(last_day + 14 - x_mean, 2) / nullif(sxx, 0))"
-    steps = ", ".join(f"round(intercept + slope * (last_day + {h}), 2) AS forecast_{h}d_gb" for h in D.HORIZONS)
+    steps = ", ".join(f"round_even(intercept + slope * (last_day + {h}), 2) AS forecast_{h}d_gb" for h in D.HORIZONS)
     return f"""(
-SELECT metric_date, volume, current_used AS actual_used_gb, {steps}, round(slope, 3) AS growth_rate_gb_per_day,
+SELECT metric_date, volume, current_used AS actual_used_gb, {steps}, round_even(slope, 3) AS growth_rate_gb_per_day,
   {DAYS_LEFT} AS days_to_limit,
-  round(intercept + slope * (last_day + 14) - {margin}, 2) AS confidence_interval_lower,
-  round(intercept + slope * (last_day + 14) + {margin}, 2) AS confidence_interval_upper, mae, r2
+  round_even(intercept + slope * (last_day + 14) - {margin}, 2) AS confidence_interval_lower,
+  round_even(intercept + slope * (last_day + 14) + {margin}, 2) AS confidence_interval_upper, mae, r2
 FROM {model_sql(day)})"""
 
 
@@ -79,7 +79,7 @@ def _(t):
 
 
 @query("m3_forecast", f"""
-SELECT volume, CAST(h AS int) AS horizon, round(intercept + slope * (last_day + h), 2) AS forecast_gb
+SELECT volume, CAST(h AS int) AS horizon, round_even(intercept + slope * (last_day + h), 2) AS forecast_gb
 FROM {model_sql()}, (SELECT unnest([7, 14, 30]) AS h)""")
 def _(t):
     return D.forecast(_model(t))

@@ -292,6 +292,20 @@ def _(t):
     )
 
 
+# Table sizes whose growth may change.
+BENDING = {"ts": "date", "value": "size_gb", "seasons": {"weekly": 1, "yearly": 2}, "changes": 25}
+
+
+@query("m28_bending_forecast")
+def _(t):
+    return G.seasonal_forecast(t.table_stats, "table_name", 90, step_hours=24, **BENDING)
+
+
+@query("m28_trend_changes")
+def _(t):
+    return G.trend_changes(t.table_stats, "table_name", **BENDING)
+
+
 @query("m29_ar_forecast")
 def _(t):
     return G.ar_forecast(_daily_tickets(t), "priority", "tickets")

@@ -56,11 +56,11 @@ def fit_trend(history: DataFrame, key: str = "volume", order: str = "date", valu
         F.avg("_x").alias("x_mean"),
         F.regr_sxx(y, x).alias("sxx"),
         F.stddev_pop("_r").alias("residual_std"),
-        F.round(F.avg(F.abs(test_r)), 2).alias("mae"),
+        F.bround(F.avg(F.abs(test_r)), 2).alias("mae"),
         F.sum(test_r * test_r).alias("_sse"),
         F.regr_syy(test_y, test_y).alias("_sst"),
     )
-    r2 = F.when(F.col("test_samples") >= 2, F.round(1 - F.try_divide("_sse", "_sst"), 3))
+    r2 = F.when(F.col("test_samples") >= 2, F.bround(1 - F.try_divide("_sse", "_sst"), 3))
     return fitted.withColumn("r2", r2).drop("_sse", "_sst")
 
 
@@ -71,13 +71,13 @@ def predicted(day: Column) -> Column:
 def forecast(model: DataFrame, key: str = "volume", horizons: tuple[int, ...] = HORIZONS) -> DataFrame:
     """Forecast rows (key, horizon) at the given days after the last one."""
     steps = model.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons])))
-    return steps.select(key, "horizon", F.round(predicted(F.col("last_day") + F.col("horizon")), 2).alias("forecast_gb"))
+    return steps.select(key, "horizon", F.bround(predicted(F.col("last_day") + F.col("horizon")), 2).alias("forecast_gb"))
 
 
 def days_to_limit(limit: float | Column) -> Column:
-    """Days until the limit at the fitted rate; NULL when usage does not grow."""
+    """Days until the limit at the fitted rate; NULL when usage does not grow. Ties round to the even digit, as all figures here."""
     days = F.try_divide(F.lit(limit) - F.col("current_used"), F.col("slope"))
-    return F.when(F.col("slope") > 0, F.greatest(F.lit(0.0), F.round(days, 1)))
+    return F.when(F.col("slope") > 0, F.greatest(F.lit(0.0), F.bround(days, 1)))
 
 
 def interval_bounds(horizon: int = 14) -> dict[str, Column]:
@@ -87,8 +87,8 @@ def interval_bounds(horizon: int = 14) -> dict[str, Column]:
     scale = F.sqrt(1 + F.lit(1.0) / F.col("n") + F.try_divide(off * off, F.col("sxx")))
     margin = t_quantile_975(F.col("n") - 2) * F.col("residual_std") * scale
     return {
-        "confidence_interval_lower": F.round(predicted(at) - margin, 2),
-        "confidence_interval_upper": F.round(predicted(at) + margin, 2),
+        "confidence_interval_lower": F.bround(predicted(at) - margin, 2),
+        "confidence_interval_upper": F.bround(predicted(at) + margin, 2),
     }
 
 
@@ -99,11 +99,11 @@ def prediction_interval(model: DataFrame, horizon: int = 14) -> DataFrame:
 def forecast_table(usage: DataFrame, as_of: AsOf, limit: float = 200.0, days: int = 60) -> DataFrame:
     """One forecast row per volume, as stored in the forecast table."""
     model = fit_trend(usage_history(usage, as_of, days))
-    at = {f"forecast_{h}d_gb": F.round(predicted(F.col("last_day") + h), 2) for h in HORIZONS}
+    at = {f"forecast_{h}d_gb": F.bround(predicted(F.col("last_day") + h), 2) for h in HORIZONS}
     wide = model.withColumns(
         {
             **at,
-            "growth_rate_gb_per_day": F.round("slope", 3),
+            "growth_rate_gb_per_day": F.bround("slope", 3),
             "days_to_limit": days_to_limit(limit),
             **interval_bounds(14),
         }
@@ -131,7 +131,7 @@ def model_quality(usage: DataFrame, as_of: AsOf, days: int = 60) -> DataFrame:
         F.lit("linear_regression").alias("model_type"),
         "mae",
         "r2",
-        F.round("slope", 3).alias("growth_rate"),
+        F.bround("slope", 3).alias("growth_rate"),
         F.col("n").alias("samples_count"),
         F.lit(days).alias("training_days"),
     )

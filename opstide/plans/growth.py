@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.text import next_version
 from ..functions.timeparts import AsOf, date_literal
 from ..operators.features import table_growth_features, user_growth_features
-from ..operators.regress import fit_ols, linear_value
+from ..operators.regress import fit_ols, fit_penalised, linear_value
 from ..operators.windows import interval_stats
 
 # Model inputs and report horizons of the table forecast.
@@ -251,6 +251,29 @@ def _hours(ts: Column) -> Column:
     return F.unix_date(F.to_date(ts)).cast("double") * 24 + F.hour(ts) + F.minute(ts) / 60
 
 
+def _bends(elapsed: Column, length: Column, changes: int, history: float) -> list[Column]:
+    """Time passed since each of ``changes`` points spread evenly over the first ``history`` of a series, 0 before."""
+    points = [length * (history * j / (changes + 1)) for j in range(1, changes + 1)]
+    return [F.greatest(elapsed - point, F.lit(0.0)) / YEAR_HOURS for point in points]
+
+
+def _seasonal_models(
+    df: DataFrame, key: str, ts: str, value: str, seasons: dict[str, int], holidays: list[str],
+    changes: int, history: float, penalty: float,
+) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """Span and model per series, and the feature columns over ``_ts`` beside a span."""
+    timed = df.select(key, F.col(ts).cast("timestamp_ntz").alias("_ts"), F.col(value).cast("double").alias("_v"))
+    span = timed.groupBy(key).agg(
+        F.max("_ts").alias("_end"), F.min(_hours(F.col("_ts"))).alias("_t0"), F.max(_hours(F.col("_ts"))).alias("_t1")
+    )
+    elapsed = _hours(F.col("_ts")) - F.col("_t0")
+    features = list(seasonal_columns(elapsed, seasons, F.to_date("_ts"), holidays).values())
+    bends = _bends(elapsed, F.col("_t1") - F.col("_t0"), changes, history)
+    rows = timed.join(span, key).withColumn("_log", F.log1p("_v"))
+    models = fit_penalised(rows, [key], features, bends, "_log", penalty) if bends else fit_ols(rows, [key], features, "_log")
+    return span, models, [*features, *bends]
+
+
 def seasonal_forecast(
     df: DataFrame,
     key: str,
@@ -261,20 +284,19 @@ def seasonal_forecast(
     step_hours: int = 1,
     seasons: dict[str, int] | None = None,
     holidays: list[str] | None = None,
+    changes: int = 0,
+    history: float = 0.8,
+    penalty: float = 1.0,
 ) -> DataFrame:
     """Multiplicative trend-and-season forecast for every series at once.
 
     ``log(1 + value)`` is regressed on a trend, Fourier terms and holidays; the
-    next ``periods`` steps after each series' last sample are predicted.
+    next ``periods`` steps after each series' last sample are predicted.  With
+    ``changes`` the trend may bend at that many points, see :func:`trend_changes`;
+    the last slope goes on into the forecast.
     """
     seasons = seasons or {"daily": 3, "weekly": 2}
-    timed = df.select(key, F.col(ts).cast("timestamp_ntz").alias("_ts"), F.col(value).cast("double").alias("_v"))
-    span = timed.groupBy(key).agg(F.max("_ts").alias("_end"), F.min(_hours(F.col("_ts"))).alias("_t0"))
-
-    elapsed = _hours(F.col("_ts")) - F.col("_t0")
-    features = list(seasonal_columns(elapsed, seasons, F.to_date("_ts"), holidays or []).values())
-    history = timed.join(span, key).withColumn("_log", F.log1p("_v"))
-    models = fit_ols(history, [key], features, "_log")
+    span, models, features = _seasonal_models(df, key, ts, value, seasons, holidays or [], changes, history, penalty)
     offsets = F.sequence(F.lit(1), F.lit(periods))
     future = span.withColumn("step", F.explode(offsets)).withColumn(
         "_ts", F.timestamp_add("HOUR", F.col("step") * step_hours, F.col("_end"))
@@ -283,6 +305,43 @@ def seasonal_forecast(
     return future.join(models, key).select(key, "step", F.col("_ts").alias("ts"), predicted.alias("forecast"))
 
 
+def trend_changes(
+    df: DataFrame,
+    key: str,
+    *,
+    ts: str = "ts",
+    value: str = "value",
+    seasons: dict[str, int] | None = None,
+    holidays: list[str] | None = None,
+    changes: int = 25,
+    history: float = 0.8,
+    penalty: float = 1.0,
+) -> DataFrame:
+    """Times at which a series' trend bends: (key, ts, slope_before, slope_after), slopes of ``log(1 + value)`` per year.
+
+    The trend may bend at ``changes`` points spread evenly over the first ``history`` of
+    each series' span.  Bends are penalised by their absolute size, so those that noise
+    explains are exactly zero and have no row; what remains is shrunk, and a bend between
+    two points may show at both.  A series without a bend has no row, and its forecast is
+    that of the straight trend.  All series are fitted in one job from summed products.
+    """
+    seasons = seasons or {"daily": 3, "weekly": 2}
+    holidays = holidays or []
+    span, models, features = _seasonal_models(df, key, ts, value, seasons, holidays, changes, history, penalty)
+    straight = len(features) - changes
+    bends = F.slice("coef", straight + 2, changes)  # after the constant and the features of the straight trend
+    before = F.element_at("coef", 2) + F.aggregate(F.slice(bends, F.lit(1), F.col("_at")), F.lit(0.0), lambda a, x: a + x)
+    hours = F.col("_t0") + (F.col("_t1") - F.col("_t0")) * history * (F.col("_at") + 1) / (changes + 1)
+    found = models.select(key, "coef", F.posexplode(bends).alias("_at", "_bend")).filter(F.col("_bend") != 0)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return found.join(span, key).select(
+        key,
+        F.timestamp_add("SECOND", F.round(hours * 3600).cast("long"), epoch).alias("ts"),
+        before.alias("slope_before"),
+        (before + F.col("_bend")).alias("slope_after"),
+    )
+
+
 def _roll_ar(lags: int, steps: int):
     def forecast(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

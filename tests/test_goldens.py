@@ -75,6 +75,17 @@ def test_linear_usage_is_forecast_exactly(spark):
     assert (row["mae"], row["r2"], row["confidence_interval_lower"]) == (0.0, 1.0, 173.0)
 
 
+def test_ties_round_to_the_even_digit(spark):
+    model = spark.createDataFrame(
+        [("a", 0.0, 0.125, 0.0, 0.25), ("b", 0.0, 0.375, 0.0, 0.75)],
+        "volume string, intercept double, slope double, last_day double, current_used double",
+    )
+    got = {r["volume"]: r["forecast_gb"] for r in D.forecast(model, horizons=(1,)).collect()}
+    assert got == {"a": 0.12, "b": 0.38}
+    days = {r["volume"]: r["d"] for r in model.select("volume", D.days_to_limit(F.lit(0.28125)).alias("d")).collect()}
+    assert days == {"a": 0.2, "b": 0.0}
+
+
 def test_warning_levels(spark):
     schema = "volume string, metric_date date, actual_used_gb double, days_to_limit double, " + ", ".join(
         f"forecast_{h}d_gb double" for h in D.HORIZONS

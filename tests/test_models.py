@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opstide.operators.regress import fit_ols
+from opstide.operators.regress import fit_ols, solve_penalised
 from opstide.plans import growth as G
 from opstide.plans import models as M
 from opstide.plans.iforest import Forest, fit_scaler, iforest_fit, iforest_score, standardise, training_scores
@@ -71,6 +71,65 @@ def test_standardise(spark):
     assert [r["a"] for r in standardise(constant, fit_scaler(constant, ["a"])).collect()] == [0.0, 0.0]
 
 
+def hourly_series(bend: float, noise: float, seed: int, hours: int = 24 * 200):
+    """Daily season on a trend of 2 a year in logs, bent by ``bend`` a year at 0.4 of the series."""
+    rng = np.random.default_rng(seed)
+    t = np.arange(hours)
+    trend = 4 + 2 * t / 8766 + bend * np.maximum(t - 0.4 * hours, 0) / 8766
+    values = np.expm1(trend + 0.3 * np.sin(2 * np.pi * t / 24) + rng.normal(0, noise, hours))
+    return [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=int(h)), float(v)) for h, v in zip(t, values)]
+
+
+def test_trend_changes_find_a_planted_bend_and_leave_straight_series(spark):
+    made = {"bent": (-4.0, 0.05), "straight": (0.0, 0.05), "exact": (0.0, 0.0)}
+    rows = [(k, *r) for i, (k, (bend, noise)) in enumerate(made.items()) for r in hourly_series(bend, noise, i)]
+    rows += [("short", dt.datetime(2024, 1, 1), 3.0), ("short", dt.datetime(2024, 1, 2), None)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, value double").repartition(6)
+    found = G.trend_changes(df, "key").orderBy("ts").collect()
+    assert {r["key"] for r in found} == {"bent"}
+    at = dt.datetime(2024, 1, 1) + dt.timedelta(hours=0.4 * 24 * 200)
+    size = sum(r["slope_after"] - r["slope_before"] for r in found)
+    near = [r for r in found if abs(r["ts"] - at) < dt.timedelta(days=13)]
+    assert sum(r["slope_after"] - r["slope_before"] for r in near) == pytest.approx(-4, abs=0.8)
+    assert size == pytest.approx(-4, abs=0.4)
+    assert found[0]["slope_before"] == pytest.approx(2, abs=0.3) and found[-1]["slope_after"] == pytest.approx(-2, abs=0.3)
+    assert all(a["slope_after"] == pytest.approx(b["slope_before"]) for a, b in zip(found, found[1:]))
+
+    def last(changes):
+        told = G.seasonal_forecast(df, "key", 240, changes=changes).filter("step = 240").collect()
+        return {r["key"]: r["forecast"] for r in told}
+
+    plain, bending = last(0), last(25)
+    # Without a bend the forecast is that of the straight trend.
+    for key in ("straight", "exact", "short"):
+        assert bending[key] == pytest.approx(plain[key], rel=1e-6)
+    hours = 24 * 200 + 239
+    want = 4 + 2 * hours / 8766 - 4 * (hours - 0.4 * 24 * 200) / 8766 + 0.3 * np.sin(2 * np.pi * hours / 24)
+    assert np.log1p(bending["bent"]) == pytest.approx(want, abs=0.1)
+    assert abs(np.log1p(plain["bent"]) - want) > 0.2
+    assert G.trend_changes(df.filter("false"), "key").count() == 0
+
+
+def test_penalised_solution_meets_its_conditions():
+    rng = np.random.default_rng(5)
+    x = np.column_stack([np.ones(400), rng.normal(0, 1, (400, 3)), rng.normal(0, 1, (400, 6)).cumsum(axis=1)])
+    y = x[:, :4] @ [1.0, 2.0, -1.0, 0.5] + 1.5 * x[:, 6] + rng.normal(0, 1, 400)
+    rows = np.column_stack([x, y])
+    n, coef, _ = solve_penalised(rows.T @ rows, 3, 1.0)
+    gap = x.T @ (y - x @ coef)
+    assert n == 400 and gap[:4] == pytest.approx(0, abs=1e-6)
+    # At the optimum every penalised feature's product with the residual is at its bound or, at zero, within it.
+    held = x[:, 4:] - x[:, :4] @ np.linalg.lstsq(x[:, :4], x[:, 4:], rcond=None)[0]
+    full = y - x @ np.linalg.lstsq(x, y, rcond=None)[0]
+    bounds = np.sqrt(full @ full / (400 - 10) * 2 * np.log(6)) * np.sqrt((held**2).sum(axis=0))
+    for g, bound, b in zip(gap[4:], bounds, coef[4:]):
+        assert abs(g) <= bound * (1 + 1e-6)
+        assert b == 0 or g == pytest.approx(np.sign(b) * bound, rel=1e-6)
+    # A penalty beyond reach leaves plain least squares of the free features.
+    _, none, _ = solve_penalised(rows.T @ rows, 3, 1e9)
+    assert none[4:] == [0.0] * 6 and none[:4] == pytest.approx(np.linalg.lstsq(x[:, :4], y, rcond=None)[0], rel=1e-9)
+
+
 def test_seasonal_forecast_follows_a_clean_season(spark):
     start = dt.datetime(2024, 1, 1)
     rows = []
