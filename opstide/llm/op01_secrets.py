@@ -29,17 +29,23 @@ CLASSES = [
     (r"^[A-Z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 3.3),
     (r"^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
 ]
-#: Candidates that are not secrets: without a digit or without a letter, unique ids, dates, paths, separators, samples.
+#: Candidates that are not secrets: without a digit or without a letter, unique ids, words with separators.
 #: Repeated groups are possessive: what follows them cannot take a part back, and they match without recursion.
 ALLOWED = [
     r"^[^0-9]*$",
     r"^[^A-Za-z]*$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    r"^/?([A-Za-z]+[0-9]{0,3}/)++[A-Za-z0-9_-]*$",
     r"^[A-Za-z]+([_-][A-Za-z]+)++[_-]?[0-9]{0,4}$",
+]
+#: Candidates that are no secrets as a whole but may hold one in a part: dates, paths, samples.
+DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T_/-]?"
+TRUSTED = [
+    DATE,
+    r"^/?([A-Za-z]+[0-9]{0,3}/)++[A-Za-z0-9_-]*$",
     r"(?i)example|sample|placeholder|xxxxx|test_?key",
 ]
+#: Parts that are words and short numbers.
+SLUG = r"^([A-Za-z]+|[0-9]{1,4})([_-]([A-Za-z]+|[0-9]{1,4}))++$"
 #: Values of a block of running sums, and characters that a long text is cut into.
 BLOCK, CUT = 128, 1024
 SPAN = "array<struct<start:bigint,end:bigint,text:string>>"
@@ -130,15 +136,32 @@ def _entropy(string: Column, symbols: str) -> Column:
     return F.lit(math.log2(WINDOW)) - F.aggregate(moves, start, step, lambda a: a["least"]) / WINDOW
 
 
+def _any(string: Column, patterns: list[str]) -> Column:
+    hit = F.lit(False)
+    for pattern in patterns:
+        hit = hit | string.rlike(pattern)
+    return hit
+
+
 def is_secret(string: Column) -> Column:
-    """Whether a candidate has a window of high entropy for its class and is on no allow-list."""
-    fine = F.lit(False)
-    for pattern in ALLOWED:
-        fine = fine | string.rlike(pattern)
-    verdict = F.when(fine, False)
-    for pattern, symbols, bits in CLASSES:
-        verdict = verdict.when(string.rlike(pattern), _entropy(string, symbols) >= bits)
-    return verdict.otherwise(False)
+    """Whether a candidate has a window of high entropy for its class and is on no allow-list.
+
+    A date, a path or a sample is judged by its parts: those between slashes,
+    what follows the date, and those between any separators, each of them
+    unless it is on a list itself or made of words and short numbers.
+    """
+    parts = F.concat(F.split(string, "/"), F.array(F.regexp_replace(string, DATE, "")), F.split(string, "[/_=-]"))
+    long = F.filter(parts, lambda p: F.char_length(p) >= WINDOW)
+    odd = F.filter(long, lambda p: ~_any(p, [*ALLOWED, *TRUSTED, SLUG]))
+    judged = F.when(_any(string, ALLOWED), F.array().cast("array<string>")).when(_any(string, TRUSTED), odd).otherwise(F.array(string))
+
+    def high(part: Column) -> Column:
+        verdict = F.when(F.lit(False), False)
+        for pattern, symbols, bits in CLASSES:
+            verdict = verdict.when(part.rlike(pattern), _entropy(part, symbols) >= bits)
+        return verdict.otherwise(False)
+
+    return F.exists(judged, high)
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:

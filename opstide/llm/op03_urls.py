@@ -23,10 +23,11 @@ ORDER = 4
 START = "\u0002"
 #: Size of the alphabet that the shortest context falls back to.
 SYMBOLS = 256
-#: One of so many labelled URLs, by hash, is kept from the counts and sets the threshold.
+#: One of so many labelled URLs, by hash, is kept from the counts while the threshold is sought.
 HELD = 4
-#: Parts that a window's rows are dealt to: all URLs share their first windows.
-SALT = 32
+#: Parts that a hot window's rows are dealt to, and the share of all rows (one in so many) from which a window is hot:
+#: all URLs share their first windows.
+SALT, HOT = 32, 1000
 #: Steps of score, per character, at which the threshold is sought.
 STEP = 0.01
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -117,29 +118,44 @@ class UrlModel:
     def score(self, urls: DataFrame) -> DataFrame:
         """(page_key, score): log-likelihood difference per character; empty URLs have no row."""
         spread = materialise(windows(urls.select("page_key", "url"), self.order), "url-windows")
-        gains = window_scores(spread.select("window").distinct(), self.grams, self.contexts, self.order)
-        gains = gains.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        spread = spread.withColumn("salt", F.pmod(F.xxhash64("page_key"), F.lit(SALT)).cast("int"))
+        counted = materialise(spread.groupBy("window").agg(F.count("*").alias("n")), "url-window-counts")
+        rows = counted.agg(F.sum("n")).scalar()
+        # at most HOT windows hold so large a share each
+        hot = counted.where(F.col("n") * HOT > rows).select("window", F.lit(True).alias("hot"))
+        gains = window_scores(counted.select("window"), self.grams, self.contexts, self.order).join(F.broadcast(hot), "window", "left")
+        parts = F.when(F.col("hot"), SALT - 1).otherwise(0)
+        gains = gains.withColumn("salt", F.explode(F.sequence(F.lit(0), parts))).drop("hot")
+        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("page_key"), F.lit(SALT)).cast("int")).otherwise(0)
+        spread = spread.join(F.broadcast(hot), "window", "left").withColumn("salt", salt)
         return spread.join(gains, ["window", "salt"]).groupBy("page_key").agg(F.avg("gain").alias("score"))
 
 
 def fit(labelled: DataFrame, order: int = ORDER) -> UrlModel:
     """Models of the accepted and rejected URLs, and the threshold between them.
 
-    ``labelled`` has page_key, url, verdict. Three of four URLs, by hash, are
-    counted; the scores of the others give the threshold with the fewest
+    ``labelled`` has page_key, url, verdict. Models of three of four URLs, by
+    hash, score the others; these scores give the threshold with the fewest
     errors weighted by class (the smallest of equal ones nearest zero), from
-    counts per step of score.
+    counts per step of score. The models returned count all labelled URLs. One
+    pass over the URLs counts both.
     """
     held = F.pmod(F.xxhash64("url"), F.lit(HELD)) == 0
-    spread = windows(labelled.where(~held).select("url", "verdict"), order)
-    counted = spread.groupBy("window").agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block"))
-    model = UrlModel(*gram_counts(materialise(counted, "url-counts"), order), 0.0, order)
-    own = labelled.where(held).select("page_key", "url", "verdict")
-    bins = model.score(own).join(own.select("page_key", "verdict"), "page_key").groupBy(F.floor(F.col("score") / STEP).alias("bin"))
+    spread = windows(labelled.select("url", "verdict", held.alias("held")), order)
+    allow, block, own = F.col("verdict") == "allow", F.col("verdict") == "block", ~F.col("held")
+    counted = spread.groupBy("window").agg(
+        F.count_if(allow).alias("allow"),
+        F.count_if(block).alias("block"),
+        F.count_if(allow & own).alias("own_allow"),
+        F.count_if(block & own).alias("own_block"),
+    )
+    counted = materialise(counted, "url-counts")
+    part = counted.where("own_allow + own_block > 0").select("window", F.col("own_allow").alias("allow"), F.col("own_block").alias("block"))
+    trial = UrlModel(*gram_counts(part, order), 0.0, order)
+    apart = labelled.where(held).select("page_key", "url", "verdict")
+    bins = trial.score(apart).join(apart.select("page_key", "verdict"), "page_key").groupBy(F.floor(F.col("score") / STEP).alias("bin"))
     rows = bins.agg(F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block")).orderBy("bin").collect()
-    model.threshold = best_threshold([(r["bin"], r["allow"], r["block"]) for r in rows])
-    return model
+    threshold = best_threshold([(r["bin"], r["allow"], r["block"]) for r in rows])
+    return UrlModel(*gram_counts(counted.select("window", "allow", "block"), order), threshold, order)
 
 
 def best_threshold(bins: list[tuple[int, int, int]]) -> float:
