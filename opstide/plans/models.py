@@ -22,11 +22,11 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
+from .forest import RegressionForest, fit_regression_forest
 
 # Stop words of query texts and of error texts.
 QUERY_STOP_WORDS = ["select", "from", "where", "and", "or", "inner", "left", "join"]
@@ -209,27 +209,22 @@ DURATION_FEATURES = [
 def train_forest(
     df: DataFrame, features: list[str], target: str, row_id: str, *, trees: int = 100, depth: int = 10, seed: int = 42
 ):
-    """Random-forest regression with hold-out R2: model pipeline, scored test rows, R2."""
+    """Random-forest regression with hold-out R2: model, scored test rows, R2."""
     train, test = hash_split(df, row_id)
-    stages = [
-        VectorAssembler(inputCols=features, outputCol="features"),
-        RandomForestRegressor(labelCol=target, numTrees=trees, maxDepth=depth, seed=seed),
-    ]
-    model = Pipeline(stages=stages).fit(train)
+    model = fit_regression_forest(train, features, target, trees=trees, depth=depth, seed=seed)
     scored = model.transform(test)
     r2 = RegressionEvaluator(labelCol=target, metricName="r2").evaluate(scored)
     return model, scored, r2
 
 
-def importances(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame:
+def importances(spark: SparkSession, model: RegressionForest, features: list[str]) -> DataFrame:
     """Feature importances of the fitted forest, largest first."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(f, float(v)) for f, v in zip(features, values)]
+    rows = [(f, float(v)) for f, v in zip(features, model.feature_importances)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
 def score_candidates(
-    spark: SparkSession, model: PipelineModel, space: dict[str, tuple[int, int]], n: int = 10_000, top: int = 10, seed: int = 42
+    spark: SparkSession, model: RegressionForest, space: dict[str, tuple[int, int]], n: int = 10_000, top: int = 10, seed: int = 42
 ) -> DataFrame:
     """Random integer settings inside ``space`` ranked by the model's predicted response time."""
     columns: list[Column] = []

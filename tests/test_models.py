@@ -3,10 +3,12 @@
 import datetime as dt
 
 import numpy as np
+import pyspark
 import pytest
 from pyspark.sql import functions as F
 
 from opstide.operators.regress import fit_ols, solve_penalised
+from opstide.plans import forest
 from opstide.plans import growth as G
 from opstide.plans import models as M
 from opstide.plans.iforest import Forest, fit_scaler, iforest_fit, iforest_score, standardise, training_scores
@@ -196,6 +198,35 @@ def test_forest_regression_and_candidates(spark):
     assert len(best) == 5 and all(r["a"] <= 2 for r in best)
 
 
+def test_forest_works_in_all_cores(spark, monkeypatch):
+    # One input partition; the old fit kept all work in it.
+    df = spark.range(20_000, numPartitions=1).select(
+        "id", (F.col("id") % 7).alias("a"), (F.hash("id") % 1000).alias("b"), F.lit(1).alias("c"), ((F.col("id") % 7) * 3.0 + F.col("id") % 2).alias("y")
+    )
+    stages = []
+    save = pyspark.RDD.saveAsPickleFile
+    monkeypatch.setattr(pyspark.RDD, "saveAsPickleFile", lambda rdd, *a: (stages.append(rdd.getNumPartitions()), save(rdd, *a))[1])
+    rows = forest.fit_regression_forest(df, ["a", "b", "c"], "y", trees=6, depth=4)
+    assert all(n > 1 for n in stages)
+    # Trees of their own samples; a node's mean is that of its rows.
+    assert len(np.unique(rows.value[:, 1])) == 6 and rows.value[:, 1] == pytest.approx(9.5, abs=0.2)
+    assert rows.feature_importances[0] > 0.9 and rows.feature_importances[2] == 0
+    with pytest.raises(ValueError):
+        forest.fit_regression_forest(df.withColumn("a", F.expr("nullif(a, 3)")), ["a", "b", "c"], "y", trees=2, depth=2)
+
+
+def test_forest_finds_the_split_of_least_error(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 20, (4000, 2)).astype(float)
+    y = np.where(x[:, 0] > 12, 5.0, 0.0) + x[:, 1] / 10
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, y double")
+    tree = forest.fit_regression_forest(df, ["a", "b"], "y", trees=1, depth=2)
+    assert tree.feature[0, 1] == 0 and tree.threshold[0, 1] == 12.5
+    assert tree.feature[0, 2] == tree.feature[0, 3] == 1
+    scored = tree.transform(df).select("y", "prediction").toPandas()
+    assert np.abs(scored["y"] - scored["prediction"]).max() < 1.1
+
+
 def test_training_scores_are_the_scores_of_the_model(spark, tmp_path):
     df = grid(spark, 500)
     model = iforest_fit(df, ["a", "b"], ["id"], trees=20)
