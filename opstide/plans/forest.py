@@ -5,6 +5,8 @@ Each level of all trees is one pass over the blocks: a task sums bootstrap weigh
 targets per (tree, node, feature, range) with numpy, the sums are added per tree and the
 best split of every node is found where they meet.  Only splits reach the driver, at most
 2 ** depth per tree.  Every row takes part in every tree with a Poisson weight of mean 1.
+Where the features' ranges make few cells, the rows are summed once per (tree, cell), and
+the levels read these sums instead of the rows: the same sums, added in another order.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from ..session import remove, scratch_path
 
 BINS = 32
+#: Up to so many combinations of ranges are summed per tree once.
+MOST_CELLS = 1 << 16
 #: A target's variance times this is no gain but rounding.
 LEAST_GAIN = 1e-12
 #: Poisson weights of mean 1 by 16 random bits.
@@ -181,6 +185,42 @@ def _summing(state, level: int, width: int, bootstrap):
     return sums_of
 
 
+def _cell_summing(sizes: list[int], trees: int, bootstrap):
+    def cells_of(blocks):
+        """Weights and weighted targets per (tree, cell) of a task's rows."""
+        cells, sums = math.prod(sizes), None
+        for number, bins, y in blocks:
+            y, x = np.frombuffer(y), np.frombuffer(bins, np.uint8).reshape(-1, len(sizes))
+            code = np.ravel_multi_index(x.T.astype(np.intp), sizes)
+            if sums is None:
+                sums = np.zeros((trees, 2, cells))
+            for tree, weight in enumerate(bootstrap(number, len(y))):
+                w = weight.astype(float)
+                sums[tree, 0] += np.bincount(code, w, cells)
+                sums[tree, 1] += np.bincount(code, w * y, cells)
+        if sums is not None:
+            yield from enumerate(sums)
+
+    return cells_of
+
+
+def _summing_cells(state, level: int, sizes: list[int]):
+    add = _adding(state, level, len(sizes))
+
+    def sums_of(tables):
+        """The sums of ``_summing`` from a tree's cells."""
+        _, _, grows, subset = state.value
+        flat = np.stack(np.unravel_index(np.arange(math.prod(sizes)), sizes), axis=1).astype(np.uint8).ravel()
+        for tree, (weights, targets) in tables:
+            if grows[tree].any():
+                rows = np.flatnonzero(weights)
+                sums = np.zeros((2, subset.shape[2], BINS << level))
+                add(sums, tree, flat, rows, weights[rows], targets[rows])
+                yield tree, sums
+
+    return sums_of
+
+
 def _splitting(least: float):
     def best(sums: np.ndarray):
         """Per node of a level: which of its features, the last range to the left, what the split removes of the
@@ -215,7 +255,10 @@ def fit_regression_forest(
     path = scratch_path(spark, "forest_rows")
     rows = min(1 << 16, max(1 << 10, math.ceil(n / (2 * parts))))
     blocks = _blocks(df, features, target, ends, mean, rows).repartition(parts).rdd.map(tuple)
-    bootstrap = _bootstrapping(trees, seed)
+    bootstrap, sizes = _bootstrapping(trees, seed), [len(e) + 1 for e in ends]
+    few_cells = math.prod(sizes) <= MOST_CELLS
+    if few_cells:
+        blocks = blocks.mapPartitions(_cell_summing(sizes, trees, bootstrap)).reduceByKey(lambda a, b: a + b, min(trees, parts))
     blocks.saveAsPickleFile(path, 1)
     blocks = sc.pickleFile(path).coalesce(parts)
 
@@ -229,7 +272,10 @@ def fit_regression_forest(
         first = 1 << level
         subset = np.random.default_rng([seed, level]).random((trees, first, width)).argsort(axis=2)[:, :, :looks]
         state = sc.broadcast((feature[:, :first].copy(), cut[:, :first].copy(), grows, subset))
-        sums = blocks.mapPartitions(_summing(state, level, width, bootstrap)).reduceByKey(lambda a, b: a + b, min(trees, parts))
+        if few_cells:
+            sums = blocks.mapPartitions(_summing_cells(state, level, sizes))
+        else:
+            sums = blocks.mapPartitions(_summing(state, level, width, bootstrap)).reduceByKey(lambda a, b: a + b, min(trees, parts))
         found = sums.mapValues(_splitting(LEAST_GAIN * variance)).collect()
         state.destroy()
         grown = np.zeros((trees, 2 * first), bool)

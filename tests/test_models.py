@@ -198,7 +198,7 @@ def test_forest_regression_and_candidates(spark):
     assert len(best) == 5 and all(r["a"] <= 2 for r in best)
 
 
-def test_forest_works_in_all_cores(spark, monkeypatch):
+def test_forest_works_in_all_cores_and_sums_cells_once(spark, monkeypatch):
     # One input partition; the old fit kept all work in it.
     df = spark.range(20_000, numPartitions=1).select(
         "id", (F.col("id") % 7).alias("a"), (F.hash("id") % 1000).alias("b"), F.lit(1).alias("c"), ((F.col("id") % 7) * 3.0 + F.col("id") % 2).alias("y")
@@ -206,8 +206,12 @@ def test_forest_works_in_all_cores(spark, monkeypatch):
     stages = []
     save = pyspark.RDD.saveAsPickleFile
     monkeypatch.setattr(pyspark.RDD, "saveAsPickleFile", lambda rdd, *a: (stages.append(rdd.getNumPartitions()), save(rdd, *a))[1])
+    cells = forest.fit_regression_forest(df, ["a", "b", "c"], "y", trees=6, depth=4)
+    monkeypatch.setattr(forest, "MOST_CELLS", 0)
     rows = forest.fit_regression_forest(df, ["a", "b", "c"], "y", trees=6, depth=4)
     assert all(n > 1 for n in stages)
+    assert np.array_equal(cells.feature, rows.feature) and np.allclose(cells.value, rows.value)
+    assert np.allclose(cells.threshold, rows.threshold) and np.allclose(cells.feature_importances, rows.feature_importances)
     # Trees of their own samples; a node's mean is that of its rows.
     assert len(np.unique(rows.value[:, 1])) == 6 and rows.value[:, 1] == pytest.approx(9.5, abs=0.2)
     assert rows.feature_importances[0] > 0.9 and rows.feature_importances[2] == 0
