@@ -273,30 +273,71 @@ def usage_rules(
     return model.associationRules.select("antecedent", "consequent", "confidence", "lift", "support")
 
 
+#: Terms whose weights are sent to every task: as many of the most frequent ones as fit.
+SHIPPED_TERMS = 50_000
+
+
+def _row_terms(df: DataFrame, only: Column | None = None) -> DataFrame:
+    """Terms of each row's sorted ``tokens`` with their number ``tf``, without a shuffle; of rows that are ``only``.
+
+    Nothing is a filter: it would be moved below the tokens and make them twice.
+    """
+    tokens, starts = F.col("tokens"), F.col("_starts")
+    first = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: (i == 0) | (F.get(tokens, i) != F.get(tokens, i - 1)))
+    runs = F.transform(
+        starts,
+        lambda at, i: F.struct(
+            F.get(tokens, at).alias("term"), (F.coalesce(F.get(starts, i + 1), F.size(tokens)) - at).cast("long").alias("tf")
+        ),
+    )
+    wanted = F.size(tokens) > 0 if only is None else (F.size(tokens) > 0) & only
+    return df.select("id", "tokens", F.when(wanted, first).alias("_starts")).select("id", F.inline(runs))
+
+
 def similar_errors(df: DataFrame, probe: str, row_id: str = "doc_id", text: str = "error_text", top: int = 10) -> DataFrame:
     """Rows most similar to a probe text by TF-IDF cosine.
 
-    Whole texts are tokenised; only document-term counts are shuffled, and the
-    probe's terms are a handful of literals.
+    Whole texts are tokenised.  Terms are counted inside the row; rows that share an id
+    are one text, theirs are counted by a shuffle.  Weights of frequent terms go to the
+    tasks, so only occurrences of rare terms are shuffled, and of texts without a term
+    of the probe none.
     """
-    tokens = F.regexp_extract_all(F.lower(F.col("t")), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
-    probes = df.sparkSession.range(1).select(F.explode(F.regexp_extract_all(F.lower(F.lit(probe)), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))).alias("term"))
-    probe_counts = probes.groupBy("term").agg(F.count("*").alias("probe_tf"))
-    counts = (
-        df.select(F.col(row_id).alias("id"), F.col(text).alias("t"))
-        .select("id", F.explode(tokens).alias("term"))
-        .groupBy("id", "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    n = df.agg(F.count("*")).scalar()
-    frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
+    def tokens(column: Column) -> Column:
+        return F.regexp_extract_all(F.lower(column), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+
+    spark = df.sparkSession
+    probes = spark.range(1).select(F.explode(tokens(F.lit(probe))).alias("term"))
+    probe_tf = {r["term"]: r["count"] for r in probes.groupBy("term").count().collect()}
+    rows = df.select(F.col(row_id).alias("id"), F.sort_array(tokens(F.col(text))).alias("tokens"))
+    ids = df.select(F.col(row_id).alias("id"))
+    shared = materialise(ids.filter(F.col("id").isNotNull()).groupBy("id").count().filter(F.col("count") > 1).select("id"), "shared_ids")
+    own = rows.filter(F.col("id").isNotNull()).join(shared, "id", "left_anti")
+    joint = rows.filter(F.col("id").isNull()).unionByName(rows.join(shared, "id", "left_semi"))
+    joint_terms = joint.select("id", F.explode("tokens").alias("term")).groupBy("id", "term").agg(F.count("*").alias("tf"))
+
+    n = df.count()
+    counted = _row_terms(own).unionByName(joint_terms).groupBy("term").agg(F.count("*").alias("df"))
     idf = F.ln((n + 1) / (F.col("df") + 1)) + 1
-    weights = frequency.select("term", idf.alias("idf")).join(probe_counts, "term", "left")
-    weighted = counts.join(weights, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    scored = weighted.groupBy("id").agg(
-        F.sum(F.col("w") * F.col("probe_tf") * F.col("idf")).alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")
-    )
-    length = weights.agg(F.sqrt(F.sum(F.pow(F.col("probe_tf") * F.col("idf"), F.lit(2))))).scalar()
+    weights = materialise(counted.select("term", "df", idf.alias("idf")), "term_weights")
+    # The least document count whose terms, and all more frequent ones, can be shipped.
+    least, shipped = math.inf, 0
+    for r in weights.groupBy("df").count().orderBy(F.desc("df")).limit(SHIPPED_TERMS).collect():
+        if (shipped := shipped + r["count"]) > SHIPPED_TERMS:
+            break
+        least = r["df"]
+    asked = F.col("term").isin(list(probe_tf))
+    is_frequent = asked | (F.col("df") >= least)
+    frequent, rare = weights.filter(is_frequent).select("term", "idf"), weights.filter(~is_frequent).select("term", "idf")
+
+    probe_idf = {r["term"]: r["idf"] for r in frequent.filter(asked).collect()}
+    length = math.sqrt(sum((tf * probe_idf[t]) ** 2 for t, tf in probe_tf.items() if t in probe_idf))
+    hit = F.arrays_overlap("tokens", F.array(*[F.lit(t) for t in probe_tf]).cast("array<string>"))
+    terms = _row_terms(own, hit).unionByName(joint_terms)
+    known = terms.join(F.broadcast(frequent), "term", "left")
+    weighted = known.filter(F.col("idf").isNotNull()).unionByName(known.filter(F.col("idf").isNull()).drop("idf").join(rare, "term"))
+    w = F.col("tf") * F.col("idf")
+    asked_tf = F.coalesce(*[F.when(F.col("term") == t, F.lit(tf)) for t, tf in probe_tf.items()], F.lit(0))
+    scored = weighted.groupBy("id").agg(F.sum(w * asked_tf * F.col("idf")).alias("dot"), F.sqrt(F.sum(w * w)).alias("norm"))
     similarity = F.col("dot") / (F.col("norm") * length)
     return (
         scored.filter(F.col("dot") > 0)

@@ -1,6 +1,8 @@
 """Model properties: regression, forests, forecasts, text and clusters."""
 
+import collections
 import datetime as dt
+import math
 
 import numpy as np
 import pyspark
@@ -231,6 +233,31 @@ def test_forest_finds_the_split_of_least_error(spark):
     assert np.abs(scored["y"] - scored["prediction"]).max() < 1.1
 
 
+def test_similar_errors_shuffles_rare_terms_only(spark, monkeypatch):
+    words = [f"w{i % 40} w{i % 40} lost w{i % 3} rare{i}" for i in range(200)] + ["server lost", "lost lost server x"]
+    rows = [(i, w) for i, w in enumerate(words)] + [(7, "server lost"), (None, "lost a"), (None, "b server"), (300, None), (301, "")]
+    df = spark.createDataFrame(rows, "doc_id int, error_text string")
+    docs = {}
+    for i, w in rows:
+        docs.setdefault(i, []).extend((w or "").split())
+    tf = {i: collections.Counter(w) for i, w in docs.items()}
+    n_docs = collections.Counter(t for c in tf.values() for t in c)
+    idf = {t: math.log((len(rows) + 1) / (d + 1)) + 1 for t, d in n_docs.items()}
+    length = math.sqrt(idf["server"] ** 2 + idf["lost"] ** 2)
+    want = {}
+    for i, c in tf.items():
+        if dot := sum(c[t] * idf[t] ** 2 for t in ("server", "lost")):
+            want[i] = dot / math.sqrt(sum((k * idf[t]) ** 2 for t, k in c.items())) / length
+    for shipped in (50_000, 5):
+        monkeypatch.setattr(M, "SHIPPED_TERMS", shipped)
+        found = M.similar_errors(df, "Server lost", top=400)
+        got = {r["doc_id"]: r["similarity"] for r in found.collect()}
+        assert got == pytest.approx(want)
+    # Terms are counted in the row: rows of an id of their own meet by id only after their sums are made.
+    plan = M._row_terms(df.select(F.col("doc_id").alias("id"), F.split("error_text", " ").alias("tokens")))
+    assert "Exchange" not in plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+
+
 def test_training_scores_are_the_scores_of_the_model(spark, tmp_path):
     df = grid(spark, 500)
     model = iforest_fit(df, ["a", "b"], ["id"], trees=20)
